@@ -41,5 +41,5 @@ def change_level(change: Column | str) -> Column:
     """Five levels of first-to-last change at +-0.2 and +-0.05."""
     c = _c(change)
     return (F.when(c > 0.2, "significant improvement").when(c > 0.05, "moderate improvement")
-            .when(c >= -0.05, "stable").when(c >= -0.2, "moderate decline")
-            .otherwise("significant decline"))
+            .when(c < -0.2, "significant decline").when(c < -0.05, "moderate decline")
+            .otherwise("relatively stable"))
