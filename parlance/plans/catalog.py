@@ -129,7 +129,8 @@ _SQL_SESSION_SENT = f"""
 ss AS (SELECT s.*, coalesce(a.ac, 0.0) AS avg_compound, coalesce(a.ap, 0.0) AS avg_positive,
          coalesce(a.an, 0.0) AS avg_negative, coalesce(a.au, 0.0) AS avg_neutral,
          coalesce(a.pc, 0) AS positive_count, coalesce(a.uc, 0) AS neutral_count,
-         coalesce(a.nc, 0) AS negative_count, coalesce(a.c, 0) AS scored_count
+         coalesce(a.nc, 0) AS negative_count, coalesce(a.c, 0) AS scored_count,
+         {q.polarity('coalesce(a.ac, 0.0)')} AS overall_sentiment
        FROM ({fx.SQL_SESSIONS}) s LEFT JOIN (
          SELECT session_key, avg(compound_score) AS ac, avg(pos_score) AS ap, avg(neg_score) AS an,
                 avg(neu_score) AS au,
@@ -214,3 +215,6 @@ def session_progression(spark, sf_dir):
     return p.select(*SESSION_COLS, *[r6(c).alias(c) for c in
                                      ("start_sentiment", "end_sentiment", "sentiment_shift",
                                       "sentiment_volatility")], "sentiment_trend")
+
+
+from . import queries_more  # noqa: E402,F401  (registers the second half)

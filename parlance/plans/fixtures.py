@@ -122,3 +122,35 @@ def mixture_weight(conv: F.Column, turn: F.Column, topic: F.Column) -> F.Column:
 
 
 SQL_MIXTURE_WEIGHT = "1 + (conv_id * 7 + turn * 3 + topic_id * 5) % 11"
+
+
+TRANSCRIPT_TURN = 1000  # stands in for the turn of a session-level document in the weight formula
+
+
+def fixed_document_topics(docs: DataFrame, k: int = NUM_FIXED_TOPICS) -> DataFrame:
+    """FIXTURES §3 mixtures: w = 1 + (conv*7 + turn*3 + topic*5) % 11, prob = w / sum(w)."""
+    from ..operators import topics as tp
+    turn = F.when(F.col("doc_type") == "transcript", F.lit(TRANSCRIPT_TURN)).otherwise(F.col("dialogue_idx"))
+    w = F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
+                    lambda t: mixture_weight(F.col("session_key"), turn, t.cast("bigint")))
+    tot = F.aggregate(w, F.lit(0).cast("bigint"), lambda a, x: a + x)
+    probs = F.transform(w, lambda x: x / tot)
+    d = docs.select("doc_type", "session_key", "dialogue_idx",
+                    tp.mixture_column(probs, 0.01).alias("topic_distribution"))
+    return tp.with_dominant(d)
+
+
+def fixed_topic_terms(processed: DataFrame, n_topics: int = NUM_FIXED_TOPICS,
+                      per_topic: int = TERMS_PER_FIXED_TOPIC) -> DataFrame:
+    """Fixture topics: the top n_topics*per_topic terms by count (ties by term), dealt round-robin.
+
+    rank r (0-based) -> topic r % n_topics, weight (N - r) / N with N = n_topics*per_topic.
+    """
+    n = n_topics * per_topic
+    c = processed.where(F.col("tokens").isNotNull()).select(F.explode("tokens").alias("term")) \
+        .groupBy("term").agg(F.count(F.lit(1)).alias("c"))
+    top = c.orderBy(F.col("c").desc(), F.col("term").asc()).limit(n)
+    from pyspark.sql.window import Window
+    r = top.withColumn("r", F.row_number().over(Window.orderBy(F.col("c").desc(), F.col("term").asc())) - 1)
+    return r.select((F.col("r") % n_topics).cast("int").alias("topic_id"), "term",
+                    ((F.lit(n) - F.col("r")) / F.lit(float(n))).alias("weight"))
