@@ -508,3 +508,190 @@ def speaker_by_session(spark, sf_dir):
     """Client and therapist tone per session (pivot)."""
     p = pg.speaker_by_session(scored(spark, sf_dir))
     return p.select("session_key", r6(F.col("Client")).alias("Client"), r6(F.col("Therapist")).alias("Therapist"))
+
+
+# ================================================================ V: chart tables
+from ..operators import charts as ch  # noqa: E402
+from ..operators import enrich as en  # noqa: E402
+from ..operators import reports as rp  # noqa: E402
+from ..options import ReportOptions  # noqa: E402
+
+
+def session_sent_idx(spark, sf_dir) -> DataFrame:
+    s = sessions_idx(spark, sf_dir)
+    return se.session_sentiment(scored(spark, sf_dir), s)
+
+
+@register("chart_sentiment_over_time", _sql("""
+, b AS (SELECT patient_id, least(min(avg_compound), -0.1) AS lo, greatest(max(avg_compound), 0.1) AS hi
+        FROM facts WHERE session_date IS NOT NULL GROUP BY patient_id)
+SELECT f.patient_id, session_key, session_date, round(avg_compound, 6) AS avg_compound, overall_sentiment,
+  round(lo - (hi - lo) * 0.1, 6) AS y_min, round(hi + (hi - lo) * 0.1, 6) AS y_max
+FROM facts f JOIN b USING (patient_id) WHERE session_date IS NOT NULL""").replace("\n, b AS", ",\nb AS"))
+def chart_sentiment_over_time(spark, sf_dir):
+    """V1: dated session tone with padded axis bounds per client."""
+    v = ch.sentiment_over_time(session_sent_idx(spark, sf_dir), GROUP)
+    return v.select("patient_id", "session_key", "session_date", r6(F.col("avg_compound")).alias("avg_compound"),
+                    "overall_sentiment", r6(F.col("y_min")).alias("y_min"), r6(F.col("y_max")).alias("y_max"))
+
+
+@register("chart_compound_histogram", _sql("""
+, rg AS (SELECT min(compound_score) AS lo, max(compound_score) AS hi FROM scored),
+bb AS (SELECT CASE WHEN hi = lo THEN 1 ELSE least(CAST(floor((compound_score - lo) / ((hi - lo) / 30)) AS BIGINT) + 1, 30) END AS bin,
+         lo, hi FROM scored, rg)
+SELECT CAST(bin AS INTEGER) AS bin, round(min(lo) + (bin - 1) * (min(hi) - min(lo)) / 30, 6) AS bin_start, count(*) AS count
+FROM bb GROUP BY bin""").replace("\n, rg AS", ",\nrg AS"))
+def chart_compound_histogram(spark, sf_dir):
+    """V2: 30 equal-width bins of utterance compound scores."""
+    h = ch.compound_histogram(scored(spark, sf_dir), 30)
+    return h.select("bin", r6(F.col("bin_start")).alias("bin_start"), "count")
+
+
+@register("chart_speaker_bars", _sql("""
+SELECT speaker, round(avg(compound_score), 6) AS avg_compound,
+  CASE WHEN avg(compound_score) > 0.05 THEN 'positive' WHEN avg(compound_score) < -0.05 THEN 'negative'
+       ELSE 'neutral' END AS color_class
+FROM scored WHERE speaker <> '' GROUP BY speaker"""))
+def chart_speaker_bars(spark, sf_dir):
+    """V3: speaker bars with a per-row colour class."""
+    b = ch.speaker_bars(se.speaker_sentiment(scored(spark, sf_dir)))
+    return b.select("speaker", r6(F.col("avg_compound")).alias("avg_compound"), "color_class")
+
+
+@register("chart_progression", _sql("""
+SELECT session_key, session_date, round(start_sentiment, 6) AS start_sentiment, round(end_sentiment, 6) AS end_sentiment,
+  round(sentiment_shift, 6) AS sentiment_shift,
+  CASE WHEN sentiment_shift > 0 THEN 'up' WHEN sentiment_shift < 0 THEN 'down' ELSE 'flat' END AS direction
+FROM prog WHERE session_date IS NOT NULL"""))
+def chart_progression(spark, sf_dir):
+    """V4: start/end/shift of dated sessions."""
+    p = ch.progression_bars(se.session_progression(scored(spark, sf_dir), sessions(spark, sf_dir)))
+    return p.select("session_key", "session_date", *[r6(F.col(c)).alias(c) for c in
+                                                     ("start_sentiment", "end_sentiment", "sentiment_shift")],
+                    "direction")
+
+
+@register("chart_topic_terms", _sql("""
+SELECT topic_id, term, weight, CAST(rn AS INTEGER) AS rank FROM ttr WHERE rn <= 15 AND topic_id < 6"""))
+def chart_topic_terms(spark, sf_dir):
+    """V5: top 15 terms of the first six topics (fixture topics)."""
+    t = ch.topic_term_bars(fixed_terms(spark, sf_dir))
+    return t.select("topic_id", "term", "weight", F.col("rank").cast("int").alias("rank"))
+
+
+@register("chart_prevalence_pivot", _sql("""
+SELECT session_date, """ + ", ".join(
+    f"round(avg(prevalence) FILTER (WHERE topic_id = {i}), 6) AS \"{i}\"" for i in range(fx.NUM_FIXED_TOPICS)) + """
+FROM prev WHERE session_date IS NOT NULL GROUP BY session_date"""))
+def chart_prevalence_pivot(spark, sf_dir):
+    """V6: date x topic mean prevalence."""
+    p = ch.prevalence_pivot(fixed_prevalence(spark, sf_dir), list(range(fx.NUM_FIXED_TOPICS)))
+    return p.select("session_date", *[r6(F.col(str(i))).alias(str(i)) for i in range(fx.NUM_FIXED_TOPICS)])
+
+
+@register("chart_dominant_counts", _sql("""
+SELECT dominant_topic, count(*) AS sessions FROM dom WHERE doc_type = 'transcript' GROUP BY dominant_topic"""))
+def chart_dominant_counts(spark, sf_dir):
+    """V7: sessions per dominant topic."""
+    return ch.dominant_topic_counts(fixed_mix(spark, sf_dir))
+
+
+@register("chart_sentiment_by_topic", _sql("""
+SELECT d.dominant_topic, round(avg(s.compound_score), 6) AS avg_compound, count(*) AS utterances,
+  CASE WHEN avg(s.compound_score) > 0.05 THEN 'positive' WHEN avg(s.compound_score) < -0.05 THEN 'negative'
+       ELSE 'neutral' END AS color_class
+FROM dom d JOIN scored s USING (session_key, dialogue_idx) WHERE d.doc_type = 'dialogue' GROUP BY d.dominant_topic"""))
+def chart_sentiment_by_topic(spark, sf_dir):
+    """V8: mean utterance tone by dominant topic."""
+    v = ch.sentiment_by_topic(fixed_mix(spark, sf_dir), scored(spark, sf_dir))
+    return v.select("dominant_topic", r6(F.col("avg_compound")).alias("avg_compound"), "utterances", "color_class")
+
+
+@register("chart_prevalence_sentiment", _sql("""
+, pv AS (SELECT session_date, """ + ", ".join(
+    f"avg(prevalence) FILTER (WHERE topic_id = {i}) AS \"{i}\"" for i in range(fx.NUM_FIXED_TOPICS)) + """
+      FROM prev WHERE session_date IS NOT NULL GROUP BY session_date)
+SELECT pv.session_date, """ + ", ".join(f"round(pv.\"{i}\", 6) AS \"{i}\"" for i in range(fx.NUM_FIXED_TOPICS)) + """,
+  f.session_key, round(f.avg_compound, 6) AS avg_compound
+FROM pv JOIN facts f ON f.session_date = pv.session_date""").replace("\n, pv AS", ",\npv AS"))
+def chart_prevalence_sentiment(spark, sf_dir):
+    """V9: prevalence pivot joined to session tone on date."""
+    p = ch.prevalence_pivot(fixed_prevalence(spark, sf_dir), list(range(fx.NUM_FIXED_TOPICS)))
+    j = ch.prevalence_with_sentiment(p, session_sent_idx(spark, sf_dir))
+    return j.select("session_date", *[r6(F.col(str(i))).alias(str(i)) for i in range(fx.NUM_FIXED_TOPICS)],
+                    "session_key", r6(F.col("avg_compound")).alias("avg_compound"))
+
+
+# ================================================================ L: enrichment prompts
+def _content(spark, sf_dir):
+    u = processed(spark, sf_dir, lemmas=False)
+    return en.session_content(sessions(spark, sf_dir), u.select("session_key", "dialogue_idx", "speaker", "text"))
+
+
+_SQL_CONTENT = """
+, content AS (SELECT s.*, coalesce(c.content, '') AS content FROM ses s LEFT JOIN (
+    SELECT session_key, string_agg(coalesce(speaker, 'Unknown') || ': ' || coalesce(text, ''), chr(10) || chr(10)
+                                   ORDER BY dialogue_idx) AS content FROM u GROUP BY session_key) c USING (session_key))"""
+
+
+@register("session_content", _sql(_SQL_CONTENT.replace("\n, content AS", ",\ncontent AS") +
+                                  "\nSELECT session_key, content FROM content"))
+def session_content(spark, sf_dir):
+    """L1: session content rebuilt from utterances (no raw file content in the table)."""
+    return _content(spark, sf_dir).select("session_key", "content")
+
+
+@register("summary_prompts", _sql(_SQL_CONTENT.replace("\n, content AS", ",\ncontent AS") + f"""
+SELECT session_key,
+  CASE WHEN length(content) > 0 THEN '{en.SUMMARY_ASK.replace(chr(10), "' || chr(10) || '")}'
+    || 'Session metadata: Date: ' || coalesce(strftime(session_date, '%Y-%m-%d %H:%M:%S'), 'None')
+    || ', Session number: ' || coalesce(CAST(session_number AS VARCHAR), 'None') || chr(10)
+    || 'Patient: Unknown' || chr(10) || chr(10) || 'TRANSCRIPT:' || chr(10) || content END AS prompt,
+  CASE WHEN length(content) = 0 THEN 'No content found in transcript' END AS error
+FROM content"""))
+def summary_prompts(spark, sf_dir):
+    """L2: per-session summary prompt."""
+    return en.summary_prompts(_content(spark, sf_dir))
+
+
+def _fake_completer(prompts):
+    """Deterministic stand-in for a model: a sectioned reply derived from each prompt."""
+    out = []
+    for p in prompts:
+        n = len(p)
+        out.append(f"Summary:\n\nThe prompt has {n} characters.\n\nKey insights: length {n % 7}\n\n"
+                   f"Emotional themes: {n % 3}\n\nTherapeutic focus: {n % 5}")
+    return out
+
+
+@register("enrichment_replies")
+def enrichment_replies(spark, sf_dir):
+    """Batch completion with an injected function, then reply sectioning."""
+    pr = en.summary_prompts(_content(spark, sf_dir))
+    done = en.complete(pr, _fake_completer)
+    parsed = done.withColumn("p", en.parse_reply(F.col("response")))
+    return parsed.select("session_key", F.col("p.summary").alias("summary"),
+                         F.size("p.insights").alias("n_insights"), F.size("p.emotional_themes").alias("n_themes"),
+                         F.size("p.therapeutic_focus").alias("n_focus"), "error")
+
+
+# ================================================================ R26-R29: report text
+def _reports(spark, sf_dir):
+    f = facts(spark, sf_dir)
+    sess = rp.session_reports(f, ReportOptions())
+    prev = fixed_prevalence(spark, sf_dir)
+    terms = fixed_terms(spark, sf_dir)
+    overall = rp.overall_reports(
+        f, pg.corpus_trend(f, GROUP), pg.recurrent_topic(f.select("patient_id", "dominant_topic"), GROUP),
+        pg.theme_evolution(prev, GROUP), pg.consistent_topic(prev, GROUP), pg.emerging_topic(prev, GROUP),
+        pg.speaker_gap(scored(spark, sf_dir), sessions_idx(spark, sf_dir), GROUP), terms, GROUP, ReportOptions())
+    return rp.all_reports(sess, overall)
+
+
+@register("reports")
+def reports(spark, sf_dir):
+    """Every session report plus one overall report per client."""
+    return _reports(spark, sf_dir).select("patient_id", "session_key", "report_name",
+                                          F.length("content").alias("content_chars"),
+                                          F.size("insights").alias("n_insights"),
+                                          F.size("recommendations").alias("n_recommendations"))
