@@ -218,3 +218,37 @@ def session_progression(spark, sf_dir):
 
 
 from . import queries_more  # noqa: E402,F401  (registers the second half)
+
+
+# ======================================================== heavier text: documents
+SQL_DOCUMENTS = ("SELECT doc_id AS session_key, CAST(0 AS BIGINT) AS dialogue_idx, source AS speaker, text, "
+                 "doc_id % 10 AS patient_id FROM documents")
+
+
+def document_utterances(spark, sf_dir) -> DataFrame:
+    d = read(spark, sf_dir, "documents")
+    return d.select(F.col("doc_id").alias("session_key"), F.lit(0).cast("bigint").alias("dialogue_idx"),
+                    F.col("source").alias("speaker"), "text", (F.col("doc_id") % 10).alias("patient_id"))
+
+
+@register("document_sentiment", f"""
+WITH {q.scored_utterances_cte(SQL_DOCUMENTS)}
+SELECT session_key AS doc_id, speaker AS source, pos_score, neg_score, neu_score, compound_score,
+       {q.polarity('compound_score')} AS sentiment_category
+FROM scored""")
+def document_sentiment(spark, sf_dir):
+    """A1-A6 over whole documents (up to 20,000 words each)."""
+    p = pp.preprocess(document_utterances(spark, sf_dir), FIXTURE_TEXT)
+    s = se.score_utterances(p, fx.lexicon_df(spark), fx.boosters_df(spark), fx.negators_df(spark))
+    return s.select(F.col("session_key").alias("doc_id"), F.col("speaker").alias("source"), "pos_score",
+                    "neg_score", "neu_score", "compound_score", "sentiment_category")
+
+
+@register("document_tokens", f"""
+SELECT doc_id, array_to_string({_TOKS}, ' ') AS tokens_text, CAST(len({_TOKS}) AS INTEGER) AS token_count
+FROM documents WHERE length(text) > 0""")
+def document_tokens(spark, sf_dir):
+    """P1-P8 over whole documents (fixture stop list, no lemma table)."""
+    p = pp.preprocess(document_utterances(spark, sf_dir), FIXTURE_TEXT)
+    return p.where(F.col("tokens").isNotNull()).select(
+        F.col("session_key").alias("doc_id"), F.array_join("tokens", " ").alias("tokens_text"), "token_count")

@@ -61,11 +61,11 @@ def term_dict() -> str:
             f"SELECT term, NULL::DOUBLE, NULL::DOUBLE, true FROM {neg}) GROUP BY term")
 
 
-def scored_utterances_cte() -> str:
+def scored_utterances_cte(source: str = fx.SQL_UTTERANCES) -> str:
     """CTEs ending in ``scored``: the lexicon scorer written with window lags."""
     bigrams = str_list([b[0] for b in fx.BOOSTERS if " " in b[0]] or ["\x00"])
     return f"""
-u AS ({fx.SQL_UTTERANCES}),
+u AS ({source}),
 su AS (SELECT *, {clean('text')} AS p FROM u WHERE text IS NOT NULL AND length(text) > 0),
 arr AS (SELECT session_key, dialogue_idx, list_filter(string_split(p, ' '), lambda w: length(w) > 1) AS a FROM su),
 toks AS (SELECT session_key, dialogue_idx, unnest(a) AS tok, generate_subscripts(a, 1) - 1 AS pos FROM arr),
