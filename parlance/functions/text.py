@@ -66,8 +66,10 @@ def remove_phrases(col: Column | str, phrases: Iterable[str]) -> Column:
 def word_tokens(col: Column | str) -> Column:
     """Tokenise cleaned text (split quotes and the fixed contractions, then split on spaces)."""
     c = F.regexp_replace(_c(col), f"([{QUOTE_CHARS}])", " $1 ")
-    for a, b in CONTRACTIONS:
-        c = F.regexp_replace(c, rf"(?U)\b({a})({b})\b", "$1 $2")
+    # one pass for all contractions: a space after the first part
+    words = "|".join(a + b for a, b in CONTRACTIONS)
+    firsts = "|".join(sorted({a for a, _ in CONTRACTIONS}))
+    c = F.regexp_replace(c, rf"(?U)\b(?=(?:{words})\b)({firsts})", "$1 ")
     return F.filter(F.split(c, " "), lambda x: x != "")
 
 

@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as tx
 from ..operators import preprocess as pp
 from ..operators import sentiment as se
 from ..options import TextOptions
@@ -27,11 +28,40 @@ ORACLE: dict[str, str] = {}
 FIXTURE_TEXT = TextOptions(stopwords=tuple(fx.STOPWORDS), custom_stopwords=())
 
 
+def decimal_round6(sql: str) -> str:
+    """Rewrite ``round(x, 6)`` as a decimal rounding (same tie rule as ``r6`` on Spark)."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k = 0, j + 5
+        while True:
+            ch = sql[k]
+            depth += ch == "("
+            depth -= ch == ")"
+            if depth == 0:
+                break
+            k += 1
+        inner = sql[j + 6:k]
+        if inner.rstrip().endswith(", 6"):
+            expr = decimal_round6(inner.rstrip()[:-3])
+            out.append(sql[i:j] + f"CAST(round(CAST({expr} AS DECIMAL(38,10)), 6) AS DOUBLE)")
+        else:
+            out.append(sql[i:j] + "round(" + decimal_round6(inner) + ")")
+        i = k + 1
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql.strip()
+            ORACLE[name] = decimal_round6(sql.strip())
         return fn
     return deco
 
@@ -60,7 +90,9 @@ def scored(spark, sf_dir) -> DataFrame:
 
 
 def r6(c):
-    return F.round(c, 6)
+    """Round doubles to 6 places through decimal(38,10), so ties round the same in both engines."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.round(c.cast("decimal(38,10)"), 6).cast("double")
 
 
 # ============================================================== P: text
@@ -91,7 +123,7 @@ FROM t LEFT JOIN m USING (session_key, dialogue_idx)"""
 @register("tokens", _LEMMA_SQL)
 def tokens(spark, sf_dir):
     """P6-P10 with the fixture stop list and lemma table."""
-    return processed(spark, sf_dir).where(F.col("tokens").isNotNull()).select(
+    return processed(spark, sf_dir).where(tx.has_text("text")).select(
         "session_key", "dialogue_idx", F.array_join("tokens", " ").alias("tokens_text"),
         "token_count")
 
@@ -250,5 +282,5 @@ FROM documents WHERE length(text) > 0""")
 def document_tokens(spark, sf_dir):
     """P1-P8 over whole documents (fixture stop list, no lemma table)."""
     p = pp.preprocess(document_utterances(spark, sf_dir), FIXTURE_TEXT)
-    return p.where(F.col("tokens").isNotNull()).select(
+    return p.where(tx.has_text("text")).select(
         F.col("session_key").alias("doc_id"), F.array_join("tokens", " ").alias("tokens_text"), "token_count")

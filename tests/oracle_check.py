@@ -10,7 +10,7 @@ import os
 import sys
 import time
 
-import duckdb
+import duckdb  # noqa: E402
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
