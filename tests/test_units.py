@@ -185,3 +185,16 @@ def test_dense_index_global(spark):
     assert sorted(r.i for r in out) == list(range(1000))
     first = min(out, key=lambda r: r.i)
     assert first.session_number == 1  # 0 counts as missing and sorts last
+
+
+def test_streaming_ingest(spark):
+    from parlance.streaming.ingest import start_scoring
+    d = tempfile.mkdtemp(prefix="parlance-s-")
+    src, sink = os.path.join(d, "in"), os.path.join(d, "out")
+    os.makedirs(src)
+    _write(src, "session_2023-07-15_new.mdx", README_MDX)
+    lex = spark.createDataFrame([("good", 1.9), ("excellent", 3.2)], "term string, valence double")
+    q = start_scoring(spark, src, sink, lex, checkpoint=os.path.join(d, "ck"), available_now=True)
+    q.awaitTermination(120)
+    assert spark.read.parquet(os.path.join(sink, "utterance_sentiment")).count() == 10
+    assert spark.read.parquet(os.path.join(sink, "sessions")).count() == 1
