@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 
 from .. import schema as S
 from ..options import TopicOptions
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, with_scalar
 
 DOC_KEYS = ("doc_type", "session_key", "dialogue_idx")
 EPSILON = 1e-12
@@ -59,12 +59,13 @@ def document_frequency(docs: DataFrame) -> DataFrame:
 def vocabulary(docs: DataFrame, opts: TopicOptions = TopicOptions()) -> DataFrame:
     """Keep ``min_df <= df <= floor(max_df * N)``; at most ``max_vocab`` terms by df.
 
-    ``N`` is one scalar action; the ranking for the cap is a global top-k
+    ``N`` is a one-row aggregate joined on a constant key; the ranking for the cap is a global top-k
     (bounded by ``max_vocab``), ties by term.  Output (term, df, term_index).
     """
-    n_docs = docs.count()
-    upper = math.floor(opts.max_df * n_docs) if opts.max_df <= 1.0 else int(opts.max_df)
-    kept = document_frequency(docs).where((F.col("df") >= opts.min_df) & (F.col("df") <= upper))
+    n = docs.agg(F.count(F.lit(1)).alias("_n"))
+    upper = F.floor(F.lit(opts.max_df) * F.col("_n")) if opts.max_df <= 1.0 else F.lit(int(opts.max_df))
+    kept = with_scalar(document_frequency(docs), n) \
+        .where((F.col("df") >= opts.min_df) & (F.col("df") <= upper)).drop("_n")
     w = Window.orderBy(F.col("df").desc(), F.col("term").asc())
     return kept.orderBy(F.col("df").desc(), F.col("term").asc()).limit(opts.max_vocab) \
         .withColumn("term_index", (F.row_number().over(w) - 1).cast("int"))
@@ -188,14 +189,12 @@ def coherence_cv(topic_terms: DataFrame, docs: DataFrame, top_n: int = 20, windo
     plus topic_id = -1 for the mean over topics.
     """
     tw = top_words(topic_terms, top_n)
+    # at most (topics x top_n) distinct words: bounded by the model, not the data
     relevant = tw.select("term").distinct()
-    n_relevant = relevant.count()
-    if n_relevant > MAX_TOPIC_WORDS:
-        raise ValueError("too many distinct top words")
     d = docs.select(*DOC_KEYS, "tokens").where(F.size("tokens") > 0) \
             .withColumn("_len", F.size("tokens"))
-    n_windows = d.select(F.sum(F.when(F.col("_len") >= window, F.col("_len") - window + 1)
-                               .otherwise(1)).alias("n")).first()["n"] or 0
+    n_windows = d.agg(F.sum(F.when(F.col("_len") >= window, F.col("_len") - window + 1)
+                            .otherwise(1)).cast("double").alias("_nw"))
     occ = d.select(*DOC_KEYS, "_len", F.posexplode("tokens").alias("p", "term")) \
            .join(F.broadcast(relevant), "term")
     lo = F.when(F.col("_len") >= window, F.greatest(F.lit(0), F.col("p") - window + 1)).otherwise(0)
@@ -206,7 +205,6 @@ def coherence_cv(topic_terms: DataFrame, docs: DataFrame, top_n: int = 20, windo
              .withColumn("_new", F.when(F.col("_prev").isNull() | (F.col("lo") > F.col("_prev") + 1), 1).otherwise(0)) \
              .withColumn("_isl", F.sum("_new").over(wk.rowsBetween(Window.unboundedPreceding, 0))) \
              .groupBy(*DOC_KEYS, "term", "_isl").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    isl = isl.persist()
     counts = isl.groupBy("term").agg(F.sum(F.col("hi") - F.col("lo") + 1).alias("c"))
     pieces = isl.withColumn("_b", F.explode(F.sequence(F.floor(F.col("lo") / block), F.floor(F.col("hi") / block)))) \
         .select(*DOC_KEYS, "term", "_b",
@@ -228,7 +226,8 @@ def coherence_cv(topic_terms: DataFrame, docs: DataFrame, top_n: int = 20, windo
     pairs = pairs.join(co, ["w1", "w2"], "left") \
         .join(counts.select(F.col("term").alias("wi"), F.col("c").alias("ci")), "wi") \
         .join(counts.select(F.col("term").alias("wj"), F.col("c").alias("cj")), "wj")
-    N = float(n_windows)
+    pairs = with_scalar(pairs, n_windows)
+    N = F.col("_nw")
     co_c = F.when(F.col("wi") == F.col("wj"), F.col("ci")).otherwise(F.coalesce(F.col("co"), F.lit(0)))
     pco = co_c / N
     npmi = F.log((pco + EPSILON) / ((F.col("ci") / N) * (F.col("cj") / N))) / (-F.log(pco + EPSILON))
@@ -247,13 +246,12 @@ def coherence_cv(topic_terms: DataFrame, docs: DataFrame, top_n: int = 20, windo
 # ------------------------------------------------------------------ D7
 def tfidf(docs: DataFrame, vocab: DataFrame | None = None) -> DataFrame:
     """(doc keys, term, tf, idf, tfidf) with idf = ln((N + 1) / (df + 1)), Spark ML's smoothing."""
-    n_docs = docs.count()
-    df = document_frequency(docs)
+    df = with_scalar(document_frequency(docs), docs.agg(F.count(F.lit(1)).alias("_n")))
     if vocab is not None:
         df = df.join(vocab.select("term"), "term")
     tf = docs.select(*DOC_KEYS, F.explode("tokens").alias("term")).groupBy(*DOC_KEYS, "term") \
              .agg(F.count(F.lit(1)).alias("tf"))
-    idf = F.log((F.lit(n_docs) + 1) / (F.col("df") + 1))
+    idf = F.log((F.col("_n") + 1) / (F.col("df") + 1))
     return tf.join(df, "term").select(*DOC_KEYS, "term", "tf", idf.alias("idf"),
                                       (F.col("tf") * idf).alias("tfidf"))
 

@@ -66,26 +66,51 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+_SHARED: dict = {}
+
+
+def shared(fn):
+    """Memoise a derived DataFrame per (session, data folder, args).
+
+    Queries that use the same intermediate (scored utterances, documents,
+    session index) get the same plan object, so planning is done once and
+    Spark reuses the identical exchanges inside one query.
+    """
+    def wrapper(spark, sf_dir, *args):
+        key = (fn.__module__, fn.__name__, spark.sparkContext.applicationId, sf_dir, args)
+        if key not in _SHARED:
+            _SHARED[key] = fn(spark, sf_dir, *args)
+        return _SHARED[key]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
+@shared
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
 # ------------------------------------------------------------ shared inputs
+@shared
 def utterances(spark, sf_dir) -> DataFrame:
     return fx.utterances(read(spark, sf_dir, "conversations"))
 
 
+@shared
 def sessions(spark, sf_dir) -> DataFrame:
     return fx.sessions(read(spark, sf_dir, "conversations"))
 
 
+@shared
 def processed(spark, sf_dir, lemmas: bool = True) -> DataFrame:
     return pp.preprocess(utterances(spark, sf_dir), FIXTURE_TEXT,
                          lemmas=fx.lemmas_df(spark) if lemmas else None)
 
 
+@shared
 def scored(spark, sf_dir) -> DataFrame:
-    return se.score_utterances(processed(spark, sf_dir, lemmas=False), fx.lexicon_df(spark),
+    return se.score_utterances(processed(spark, sf_dir, False), fx.lexicon_df(spark),
                                fx.boosters_df(spark), fx.negators_df(spark))
 
 
@@ -102,7 +127,7 @@ SELECT session_key, dialogue_idx,
        CASE WHEN length(text) > 0 THEN CAST({q.word_count("text")} AS INTEGER) END AS word_count
 FROM ({fx.SQL_UTTERANCES})""")
 def clean_text(spark, sf_dir):
-    return processed(spark, sf_dir, lemmas=False).select(
+    return processed(spark, sf_dir, False).select(
         "session_key", "dialogue_idx", "processed_text", "word_count")
 
 
@@ -137,7 +162,7 @@ SELECT session_key, combined_text, {q.clean('combined_text')} AS processed_combi
 FROM c""")
 def session_text(spark, sf_dir):
     """Session text and tokens (no lemma table: P13 twin of the raw rules)."""
-    s = pp.session_text(processed(spark, sf_dir, lemmas=False))
+    s = pp.session_text(processed(spark, sf_dir, False))
     return s.select("session_key", "combined_text", "processed_combined_text",
                     F.array_join("combined_tokens", " ").alias("combined_tokens"))
 

@@ -14,32 +14,38 @@ from ..sources import transcripts as tr
 from . import fixtures as fx
 from . import sql as q
 from .catalog import (_SQL_PROGRESSION, _SQL_SESSION_SENT, _TOKS, processed, r6, read, register,
-                      scored, sessions)
+                      scored, sessions, shared)
 
 GROUP = ["patient_id"]
 
 
 # ------------------------------------------------------------ shared inputs
+@shared
 def sessions_idx(spark, sf_dir) -> DataFrame:
     return ordering.dense_index(sessions(spark, sf_dir), ordering.session_order(), "transcript_idx", GROUP)
 
 
+@shared
 def docs(spark, sf_dir) -> DataFrame:
     return tp.documents(processed(spark, sf_dir))
 
 
+@shared
 def fixed_mix(spark, sf_dir) -> DataFrame:
     return fx.fixed_document_topics(docs(spark, sf_dir))
 
 
+@shared
 def fixed_terms(spark, sf_dir) -> DataFrame:
     return fx.fixed_topic_terms(processed(spark, sf_dir))
 
 
+@shared
 def fixed_prevalence(spark, sf_dir) -> DataFrame:
     return tp.topic_prevalence(fixed_mix(spark, sf_dir), sessions_idx(spark, sf_dir))
 
 
+@shared
 def facts(spark, sf_dir) -> DataFrame:
     s = sessions_idx(spark, sf_dir)
     sc = scored(spark, sf_dir)
@@ -624,7 +630,7 @@ def chart_prevalence_sentiment(spark, sf_dir):
 
 # ================================================================ L: enrichment prompts
 def _content(spark, sf_dir):
-    u = processed(spark, sf_dir, lemmas=False)
+    u = processed(spark, sf_dir, False)
     return en.session_content(sessions(spark, sf_dir), u.select("session_key", "dialogue_idx", "speaker", "text"))
 
 

@@ -51,16 +51,40 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after checking the table's row count.
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
-    Used for user-supplied dictionaries whose size is not known up front.  A
-    table over ``max_rows`` is left to a regular shuffle join.
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of a plan (an upper bound for local data and scans)."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 -- no estimate available (e.g. remote session)
+        return None
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                       max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only after checking the table's size.
+
+    Used for user-supplied dictionaries whose size is not known up front.
+    First Catalyst's size estimate (no job); when that is over ``max_bytes``
+    the rows are counted, and a table over ``max_rows`` is left to a regular
+    shuffle join.
     """
+    est = estimated_bytes(df)
+    if est is not None and est <= max_bytes:
+        return F.broadcast(df)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 
+def with_scalar(df: DataFrame, scalar: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row aggregate to every row (broadcast join on a constant key)."""
+    a = df.withColumn("_one", F.lit(1))
+    b = scalar.withColumn("_one", F.lit(1))
+    return a.join(F.broadcast(b), "_one").drop("_one")
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Read a Parquet table; spread it over the cores when the scan is under-split.
 
