@@ -45,3 +45,26 @@ def dense_index(df: DataFrame, order: Sequence[Column], name: str = "transcript_
     j = s.join(stats.select("_pid", *keys, "_first", "_off"), ["_pid", *keys])
     return j.withColumn(name, F.col("_off") + F.col("_loc") - F.col("_first")) \
             .drop("_mid", "_pid", "_loc", "_first", "_off")
+
+
+def rank_within(df: DataFrame, keys: Sequence[str], idx: str, name: str = "_rank",
+                count_name: str = "_n", block: int = 1024) -> DataFrame:
+    """1-based rank of ``idx`` inside each ``keys`` group, plus the group size.
+
+    Skew-safe: no window spans a whole group.  Rows are ranked inside blocks
+    of ``block`` consecutive index values (window per (group, block), at most
+    ``block`` rows); each block's offset is a prefix sum over the per-block
+    counts (one row per block, partially aggregated).  A group holding a third
+    of all rows is spread over many blocks and tasks.  ``idx`` must be unique
+    and non-negative within a group.
+    """
+    keys = list(keys)
+    d = df.withColumn("_blk", F.floor(F.col(idx) / block))
+    c = d.groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_c"))
+    wb = Window.partitionBy(*keys).orderBy("_blk")
+    c = c.withColumn("_before", F.coalesce(F.sum("_c").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
+                                           F.lit(0))) \
+         .withColumn(count_name, F.sum("_c").over(Window.partitionBy(*keys)))
+    r = d.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, "_blk").orderBy(idx)))
+    j = r.join(c.select(*keys, "_blk", "_before", count_name), [*keys, "_blk"])
+    return j.withColumn(name, F.col("_before") + F.col("_r")).drop("_blk", "_r", "_before")

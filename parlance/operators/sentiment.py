@@ -26,9 +26,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import labels as lb
+from ..functions.ordering import rank_within
 from ..functions import text as tx
 from ..options import SentimentOptions
 from .lookup import explode_lookup_regroup
@@ -268,13 +268,12 @@ def session_progression(scored: DataFrame, sessions: DataFrame,
     """start/end tone over the first/last third, shift, volatility, trend.
 
     A third is ``max(1, n // 3)`` scored utterances (overlapping when n is
-    small).  Ranks come from one window per session ordered by dialogue
-    index; a session is one transcript, which the reader holds as one row.
+    small).  Ranks come from ``rank_within`` (block-wise, so a very long
+    session is not one window task); the thirds, volatility and shift are
+    then partial aggregations per session.
     """
     keys = list(session_keys)
-    w = Window.partitionBy(*keys).orderBy(idx)
-    r = scored.select(*keys, idx, "compound_score").withColumn("_rn", F.row_number().over(w))
-    r = r.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    r = rank_within(scored.select(*keys, idx, "compound_score"), keys, idx, "_rn", "_n")
     k = F.greatest(F.lit(1), F.floor(F.col("_n") / 3))
     agg = r.groupBy(*keys).agg(
         F.avg(F.when(F.col("_rn") <= k, F.col("compound_score"))).alias("start_sentiment"),
