@@ -43,3 +43,13 @@ def change_level(change: Column | str) -> Column:
     return (F.when(c > 0.2, "significant improvement").when(c > 0.05, "moderate improvement")
             .when(c < -0.2, "significant decline").when(c < -0.05, "moderate decline")
             .otherwise("relatively stable"))
+
+
+def fixed(value: Column | str, digits: int) -> Column:
+    """Fixed-point text with ``digits`` decimals, rounded half-up on the decimal value.
+
+    The double is first cast to decimal(38,10) so that last-bit noise from a
+    different summation order cannot move a value across a .xx5 tie.
+    """
+    v = _c(value).cast("decimal(38,10)")
+    return F.round(v, digits).cast(f"decimal(38,{digits})").cast("string")

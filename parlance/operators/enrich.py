@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..options import EnrichOptions
+from ..functions.labels import fixed
 from .progress import top_terms
 
 # Prompt texts.
@@ -45,7 +46,8 @@ def _s(c: Column) -> Column:
 
 
 def _f2(c: Column) -> Column:
-    return F.format_string("%.2f", c)
+    """'%.2f' of a double, via decimal(38,10) so last-bit noise cannot flip a .xx5 tie."""
+    return fixed(c, 2)
 
 
 def session_content(sessions: DataFrame, utterances: DataFrame) -> DataFrame:

@@ -236,7 +236,7 @@ def progress_table(facts: DataFrame, group_cols: Sequence[str] = ()) -> DataFram
     w = Window.partitionBy(*keys).orderBy("session_date", "transcript_idx")
     return d.select(*keys, F.row_number().over(w).alias("row_order"), "display_number", "session_date",
                     F.initcap(F.coalesce("overall_sentiment", F.lit("neutral"))).alias("sentiment"),
-                    F.format_string("%.2f", F.coalesce("avg_compound", F.lit(0.0))).alias("score"))
+                    lb.fixed(F.coalesce("avg_compound", F.lit(0.0)), 2).alias("score"))
 
 
 # ------------------------------------------------------------ R14, R16, R19, R23
@@ -386,3 +386,26 @@ def vocabulary_shift(processed: DataFrame, sessions: DataFrame, speaker: str = "
                     F.coalesce("f_next", F.lit(0.0)).alias("f_next"),
                     F.log((F.coalesce("f_next", F.lit(0.0)) + 1e-6) / (F.coalesce("f_prev", F.lit(0.0)) + 1e-6))
                      .alias("log_ratio"))
+
+
+# ------------------------------------------------------------------ D10
+def validate_sessions(sessions: DataFrame, utterances: DataFrame) -> DataFrame:
+    """Per-session checks -- no utterances, fewer than two speakers, no date.
+
+    The date falls back to ``metadata['date']`` when the file name has none.
+    """
+    u = utterances.where(F.col("text").isNotNull() & (F.length("text") > 0)).groupBy("session_key").agg(
+        F.count(F.lit(1)).alias("n_utterances"),
+        F.count_distinct(F.when(F.col("speaker") != "", F.col("speaker"))).alias("n_speakers"))
+    meta_date = (F.try_to_date(F.col("metadata")["date"], "yyyy-MM-dd")
+                 if "metadata" in sessions.columns else F.lit(None).cast("date"))
+    s = sessions.join(u, "session_key", "left").select(
+        *sessions.columns,
+        F.coalesce("n_utterances", F.lit(0)).alias("n_utterances"),
+        F.coalesce("n_speakers", F.lit(0)).alias("n_speakers"),
+        F.coalesce(F.col("session_date"), meta_date).alias("resolved_date"))
+    issues = F.filter(F.array(
+        F.when(F.col("n_utterances") == 0, F.lit("no utterances")),
+        F.when(F.col("n_speakers") < 2, F.lit("fewer than two speakers")),
+        F.when(F.col("resolved_date").isNull(), F.lit("no session date"))), lambda x: x.isNotNull())
+    return s.withColumn("issues", issues).withColumn("valid", F.size("issues") == 0)

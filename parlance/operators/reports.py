@@ -13,12 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.labels import fixed
 from ..options import ReportOptions
 from . import progress as pg
 
 
 def _f(fmt: str, c: Column) -> Column:
-    return F.format_string(fmt, c)
+    """``'%.Nf'`` formatting through ``labels.fixed`` (half-up, stable against last-bit noise)."""
+    return fixed(c, int(fmt[2:-1]))
 
 
 def _numbered(arr: Column) -> Column:

@@ -266,3 +266,26 @@ def topic_labels(topic_terms: DataFrame, n: int = 3) -> DataFrame:
 
 def empty_topic_terms(spark) -> DataFrame:
     return spark.createDataFrame([], S.TOPIC_TERMS)
+
+
+# ------------------------------------------------------------------ D8
+def choose_k(docs: DataFrame, ks: Sequence[int], opts: TopicOptions = TopicOptions(),
+             min_coherence: float | None = None) -> DataFrame:
+    """Fit T5 for each k and score it with T11; optionally drop topics under ``min_coherence``.
+
+    Returns (k, topic_id, coherence, kept) with topic_id = -1 for the model mean.
+    The vocabulary is computed once and shared by every fit.
+    """
+    from dataclasses import replace
+    vocab = vocabulary(docs, opts)
+    out = None
+    for k in ks:
+        m = fit_topics(docs, replace(opts, num_topics=k), vocab)
+        if m is None:
+            continue
+        c = coherence_cv(m.topic_terms, docs, opts.top_terms, opts.coherence_window) \
+            .withColumn("k", F.lit(k))
+        kept = (F.col("coherence") >= min_coherence) if min_coherence is not None else F.lit(True)
+        c = c.withColumn("kept", (F.col("topic_id") < 0) | kept)
+        out = c if out is None else out.unionByName(c)
+    return out

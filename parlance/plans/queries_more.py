@@ -10,6 +10,7 @@ from ..operators import progress as pg
 from ..operators import sentiment as se
 from ..operators import topics as tp
 from ..options import TopicOptions
+from ..functions import text as tx
 from ..sources import transcripts as tr
 from . import fixtures as fx
 from . import sql as q
@@ -381,7 +382,7 @@ def corpus_trend(spark, sf_dir):
 @register("progress_table", _sql("""
 SELECT patient_id, row_number() OVER (PARTITION BY patient_id ORDER BY session_date, transcript_idx) AS row_order,
   display_number, session_date, upper(overall_sentiment[1]) || lower(overall_sentiment[2:]) AS sentiment,
-  printf('%.2f', round(avg_compound, 2)) AS score
+  printf('%.2f', round(CAST(avg_compound AS DECIMAL(38,10)), 2)) AS score
 FROM facts WHERE session_date IS NOT NULL"""))
 def progress_table(spark, sf_dir):
     """Dated sessions in date order."""
@@ -701,3 +702,161 @@ def reports(spark, sf_dir):
                                           F.length("content").alias("content_chars"),
                                           F.size("insights").alias("n_insights"),
                                           F.size("recommendations").alias("n_recommendations"))
+
+
+# ================================================================ L3-L6 prompt parts, D6, D8, D10, D11
+def _sent_info(spark, sf_dir):
+    s = sessions_idx(spark, sf_dir)
+    sc = scored(spark, sf_dir)
+    return en.sentiment_highlights(se.session_sentiment(sc, s.select("session_key")),
+                                   se.session_progression(sc, s.select("session_key")))
+
+
+def _topic_info(spark, sf_dir):
+    return en.topic_highlights(fixed_mix(spark, sf_dir).where(F.col("doc_type") == "transcript"),
+                               fixed_terms(spark, sf_dir))
+
+
+def _p2(x: str) -> str:
+    """'%.2f' as Java formats it: half-up on the shortest decimal form of the double."""
+    return f"printf('%.2f', round(CAST({x} AS DECIMAL(38,10)), 2))"
+
+
+_SQL_SENT_INFO = f"""
+, sinfo AS (SELECT ss.session_key, 'Overall sentiment: ' || ss.overall_sentiment || chr(10) || 'Compound score: '
+    || {_p2('ss.avg_compound')} || chr(10) || 'Positive: ' || {_p2('ss.avg_positive')} || ', Negative: '
+    || {_p2('ss.avg_negative')} || ', Neutral: ' || {_p2('ss.avg_neutral')} || chr(10)
+    || 'Sentiment trend: ' || prog.sentiment_trend || chr(10) || 'Start sentiment: '
+    || coalesce({_p2('prog.start_sentiment')}, 'nan') || ', End sentiment: '
+    || coalesce({_p2('prog.end_sentiment')}, 'nan') || chr(10) || 'Sentiment shift: '
+    || {_p2('prog.sentiment_shift')} || chr(10) AS sentiment_info
+  FROM ss JOIN prog USING (session_key)),
+tinfo AS (SELECT d.session_key, 'Dominant topic: Topic ' || CAST(d.dominant_topic AS VARCHAR) || ' (probability: '
+    || {_p2('d.dominant_topic_prob')} || ')' || chr(10)
+    || coalesce('Top terms: ' || t10.terms || chr(10), '') AS topic_info
+  FROM dom d LEFT JOIN (SELECT topic_id, string_agg(term, ', ' ORDER BY rn) AS terms FROM ttr WHERE rn <= 10
+                        GROUP BY topic_id) t10 ON t10.topic_id = d.dominant_topic
+  WHERE d.doc_type = 'transcript')"""
+
+
+@register("sentiment_highlights", _sql(_SQL_SENT_INFO.replace("\n, sinfo AS", ",\nsinfo AS")
+                                       + "\nSELECT session_key, sentiment_info FROM sinfo"))
+def sentiment_highlights(spark, sf_dir):
+    """L3: sentiment highlight text per session."""
+    return _sent_info(spark, sf_dir)
+
+
+@register("topic_highlights", _sql(_SQL_SENT_INFO.replace("\n, sinfo AS", ",\nsinfo AS")
+                                   + "\nSELECT session_key, topic_info FROM tinfo"))
+def topic_highlights(spark, sf_dir):
+    """L4: dominant topic, probability and top-10 terms per session (fixture topics)."""
+    return _topic_info(spark, sf_dir)
+
+
+_PATIENT = "'Patient: Unknown' || chr(10) || chr(10)"
+_META = ("'Session metadata: Date: ' || coalesce(strftime(c.session_date, '%Y-%m-%d %H:%M:%S'), 'None') "
+         "|| ', Session number: ' || coalesce(CAST(c.session_number AS VARCHAR), 'None') || chr(10) || " + _PATIENT)
+
+
+def _lit(text: str) -> str:
+    return "'" + text.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+
+
+@register("analysis_prompts", _sql(
+    _SQL_SENT_INFO.replace("\n, sinfo AS", ",\nsinfo AS") + "," +
+    _SQL_CONTENT.replace("\n, content AS", "\ncontent AS") + f"""
+SELECT c.session_key, {_lit(en.ANALYSIS_ASK)} || {_META} || 'SENTIMENT ANALYSIS:' || chr(10)
+  || coalesce(si.sentiment_info, {_lit(en.NO_SENTIMENT)}) || chr(10) || chr(10) || 'TOPIC ANALYSIS:' || chr(10)
+  || coalesce(ti.topic_info, {_lit(en.NO_TOPIC)}) || chr(10) || chr(10) || 'TRANSCRIPT:' || chr(10)
+  || CASE WHEN length(c.content) > 4000 THEN substr(c.content, 1, 4000) || '...' ELSE c.content END AS prompt,
+  CAST(NULL AS VARCHAR) AS error
+FROM content c LEFT JOIN sinfo si USING (session_key) LEFT JOIN tinfo ti USING (session_key)"""))
+def analysis_prompts(spark, sf_dir):
+    """Combined prompt (sentiment + topic highlights + content cut to 4000 characters)."""
+    return en.analysis_prompts(_content(spark, sf_dir), _sent_info(spark, sf_dir), _topic_info(spark, sf_dir))
+
+
+@register("progress_prompts", _sql(
+    _SQL_SENT_INFO.replace("\n, sinfo AS", ",\nsinfo AS") + f""",
+f5 AS (SELECT session_key, string_agg(coalesce(speaker, 'Unknown') || ': ' || substr(coalesce(text, ''), 1, 100) || '...',
+                                      chr(10) ORDER BY dialogue_idx) AS preview
+       FROM u WHERE dialogue_idx < 5 GROUP BY session_key),
+blk AS (SELECT i.patient_id, i.transcript_idx, 'SESSION ' || coalesce(CAST(i.session_number AS VARCHAR), 'None') || ' ('
+    || coalesce(strftime(i.session_date, '%Y-%m-%d %H:%M:%S'), 'None') || '):' || chr(10) || 'Content preview: '
+    || coalesce(f5.preview, '') || chr(10) || 'Sentiment: ' || coalesce(si.sentiment_info, {_lit(en.NO_SENTIMENT)})
+    || chr(10) || 'Topics: ' || coalesce(ti.topic_info, {_lit(en.NO_TOPIC)}) || chr(10) AS block
+  FROM sidx i LEFT JOIN f5 USING (session_key) LEFT JOIN sinfo si USING (session_key)
+  LEFT JOIN tinfo ti USING (session_key))
+SELECT patient_id, CASE WHEN count(*) >= 2 THEN 'Please analyze these therapy session transcripts from the client'
+    || ' and provide insights about the client''s progress across sessions:' || chr(10) || chr(10)
+    || {_lit(en.PROGRESS_ASK)} || 'SESSION DATA:' || chr(10) || chr(10)
+    || string_agg(block, chr(10) || chr(10) ORDER BY transcript_idx) END AS prompt,
+  CASE WHEN count(*) < 2 THEN 'Need at least 2 transcripts to analyze progress' END AS error
+FROM blk GROUP BY patient_id"""))
+def progress_prompts(spark, sf_dir):
+    """One progress prompt per client (sessions in index order)."""
+    u = processed(spark, sf_dir, False).select("session_key", "dialogue_idx", "speaker", "text")
+    return en.progress_prompts(sessions_idx(spark, sf_dir), u, _sent_info(spark, sf_dir),
+                               _topic_info(spark, sf_dir), GROUP)
+
+
+@register("vocabulary_shift", _sql("""
+, ct AS (SELECT session_key, term, count(*) AS n FROM lt JOIN u USING (session_key, dialogue_idx)
+         WHERE u.speaker = 'Client' GROUP BY session_key, term),
+tot AS (SELECT session_key, sum(n) AS total FROM ct GROUP BY session_key),
+fr AS (SELECT session_key, term, n / total AS f FROM ct JOIN tot USING (session_key)),
+pr AS (SELECT patient_id, session_key, lead(session_key) OVER (PARTITION BY patient_id ORDER BY transcript_idx) AS next_key
+       FROM sidx),
+pp AS (SELECT * FROM pr WHERE next_key IS NOT NULL),
+cur AS (SELECT pp.patient_id, pp.session_key, pp.next_key, fr.term, fr.f AS f_prev FROM pp JOIN fr USING (session_key)),
+nxt AS (SELECT pp.patient_id, pp.session_key, pp.next_key, fr.term, fr.f AS f_next FROM pp
+        JOIN fr ON fr.session_key = pp.next_key),
+jn AS (SELECT coalesce(cur.patient_id, nxt.patient_id) AS patient_id, coalesce(cur.session_key, nxt.session_key) AS session_key,
+        coalesce(cur.next_key, nxt.next_key) AS next_key, coalesce(cur.term, nxt.term) AS term,
+        coalesce(f_prev, 0.0) AS f_prev, coalesce(f_next, 0.0) AS f_next
+      FROM cur FULL OUTER JOIN nxt ON cur.patient_id = nxt.patient_id AND cur.session_key = nxt.session_key
+        AND cur.next_key = nxt.next_key AND cur.term = nxt.term)
+SELECT patient_id, session_key, next_key, term, round(f_prev, 6) AS f_prev, round(f_next, 6) AS f_next,
+  round(ln((f_next + 1e-6) / (f_prev + 1e-6)), 6) AS log_ratio FROM jn""").replace("\n, ct AS", ",\nct AS"))
+def vocabulary_shift(spark, sf_dir):
+    """Client term-frequency log-ratio between consecutive sessions."""
+    v = pg.vocabulary_shift(processed(spark, sf_dir), sessions_idx(spark, sf_dir), "Client", GROUP)
+    return v.select("patient_id", "session_key", "next_key", "term", *[r6(F.col(c)).alias(c)
+                                                                      for c in ("f_prev", "f_next", "log_ratio")])
+
+
+@register("choose_k")
+def choose_k(spark, sf_dir):
+    """Coherence of LDA fits for k in (3, 5) on the two-grain documents."""
+    return tp.choose_k(docs(spark, sf_dir), [3, 5], TopicOptions())
+
+
+@register("transcript_validation", _sql("""
+, uv AS (SELECT session_key, count(*) AS n_utterances,
+           count(DISTINCT CASE WHEN speaker <> '' THEN speaker END) AS n_speakers FROM u
+         WHERE text IS NOT NULL AND length(text) > 0 GROUP BY session_key)
+SELECT s.session_key, coalesce(n_utterances, 0) AS n_utterances, coalesce(n_speakers, 0) AS n_speakers,
+  s.session_date AS resolved_date,
+  array_to_string(list_filter([CASE WHEN coalesce(n_utterances, 0) = 0 THEN 'no utterances' END,
+    CASE WHEN coalesce(n_speakers, 0) < 2 THEN 'fewer than two speakers' END,
+    CASE WHEN s.session_date IS NULL THEN 'no session date' END], lambda x: x IS NOT NULL), ', ') AS issues
+FROM ses s LEFT JOIN uv USING (session_key)""").replace("\n, uv AS", ",\nuv AS"))
+def transcript_validation(spark, sf_dir):
+    """Sessions without utterances, with fewer than two speakers or without a date."""
+    v = pg.validate_sessions(sessions(spark, sf_dir),
+                             processed(spark, sf_dir, False).select("session_key", "speaker", "text"))
+    return v.select("session_key", F.col("n_utterances").cast("bigint").alias("n_utterances"),
+                    F.col("n_speakers").cast("bigint").alias("n_speakers"), "resolved_date",
+                    F.array_join("issues", ", ").alias("issues"))
+
+
+@register("alpha_tokens", f"""
+SELECT conv_id AS session_key, turn AS dialogue_idx,
+  array_to_string(list_filter(regexp_split_to_array(lower(text), '\\s+'),
+    lambda w: regexp_full_match(w, '\\pL+') AND NOT list_contains({q.str_list(fx.STOPWORDS)}, w)), ' ') AS tokens_text
+FROM conversations""")
+def alpha_tokens(spark, sf_dir):
+    """The minimal cleaning variant -- alphabetic lowercase tokens minus stop words."""
+    c = read(spark, sf_dir, "conversations")
+    return c.select(F.col("conv_id").alias("session_key"), F.col("turn").alias("dialogue_idx"),
+                    F.array_join(tx.alpha_tokens("text", fx.STOPWORDS), " ").alias("tokens_text"))
