@@ -380,7 +380,8 @@ def corpus_trend(spark, sf_dir):
 
 
 @register("progress_table", _sql("""
-SELECT patient_id, row_number() OVER (PARTITION BY patient_id ORDER BY session_date, transcript_idx) AS row_order,
+SELECT patient_id, CAST(row_number() OVER (PARTITION BY patient_id ORDER BY session_date, transcript_idx) AS INTEGER)
+  AS row_order,
   display_number, session_date, upper(overall_sentiment[1]) || lower(overall_sentiment[2:]) AS sentiment,
   printf('%.2f', round(CAST(avg_compound AS DECIMAL(38,10)), 2)) AS score
 FROM facts WHERE session_date IS NOT NULL"""))
@@ -412,7 +413,7 @@ _FL = """
 @register("theme_evolution", _sql(_FL.format(where="WHERE session_date IS NOT NULL").replace("\n, fl AS", ",\nfl AS") + """
 SELECT patient_id, topic_id, round(first, 6) AS first, round(last, 6) AS last, round(last - first, 6) AS change,
   CASE WHEN last - first > 0 THEN 'increasing' ELSE 'decreasing' END AS trend,
-  row_number() OVER (PARTITION BY patient_id ORDER BY abs(last - first) DESC, topic_id) AS rank
+  CAST(row_number() OVER (PARTITION BY patient_id ORDER BY abs(last - first) DESC, topic_id) AS INTEGER) AS rank
 FROM fl WHERE n > 1 AND abs(last - first) > 0.1"""))
 def theme_evolution(spark, sf_dir):
     """R16 on the fixture prevalence."""
