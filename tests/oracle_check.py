@@ -28,6 +28,10 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN"}
+
+
 def _norm(v):
     if v is None:
         return None
@@ -62,11 +66,18 @@ def compare(spark, sf_dir, name, fn, sql, con):
         return dict(name=name, ok=None, rows=len(srows), spark_s=round(t1 - t0, 2))
     rel = con.sql(sql)
     dcols = rel.columns
+    dtypes = {c: str(t) for c, t in zip(dcols, rel.types)}
     drows = rel.fetchall()
     res = dict(name=name, rows=len(srows), oracle_rows=len(drows), spark_s=round(t1 - t0, 2))
     if sorted(scols) != sorted(dcols):
         res.update(ok=False, why=f"columns {sorted(scols)} vs {sorted(dcols)}")
         return res
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in sdf.schema.fields}
+    bad = {c: (stypes[c], dtypes[c]) for c in scols if stypes[c] != dtypes[c]}
+    if bad:
+        res.update(ok=False, why=f"types {bad}")
+        return res
     a, b = rows_of(scols, srows), rows_of(dcols, drows)
     if a == b:
         res["ok"] = True

@@ -198,3 +198,66 @@ def test_streaming_ingest(spark):
     q.awaitTermination(120)
     assert spark.read.parquet(os.path.join(sink, "utterance_sentiment")).count() == 10
     assert spark.read.parquet(os.path.join(sink, "sessions")).count() == 1
+
+
+def test_sinks(spark):
+    from parlance.sources import sinks
+    d = tempfile.mkdtemp(prefix="parlance-k-")
+    _write(d, "session_2023-07-15_new.mdx", README_MDX)
+    t = tr.read_transcripts(spark, d, "mdx")
+    flat = sinks.flat_utterances(t.sessions, t.utterances)
+    assert {"metadata_title", "metadata_patient", "metadata_therapist", "metadata_session_type"} <= set(flat.columns)
+    assert flat.count() == 10
+    out = os.path.join(d, "out")
+    sinks.write_flat_csv(t.sessions, t.utterances, os.path.join(out, "csv"))
+    assert spark.read.option("header", True).csv(os.path.join(out, "csv")).count() == 10
+    sinks.write_raw_json(t.sessions, os.path.join(out, "json"))
+    assert spark.read.json(os.path.join(out, "json")).first().session_date == "2023-07-15"
+    rep = spark.createDataFrame([("session 1", "# r\\nx"), ("overall", "# o")], "report_name string, content string")
+    sinks.write_reports(rep, os.path.join(out, "rep"), fmt="pdf")
+    assert spark.read.parquet(os.path.join(out, "rep")).first().format == "md"
+    sinks.write_reports(rep, os.path.join(out, "txt"), as_text_files=True)
+    assert spark.read.text(os.path.join(out, "txt")).count() == 2
+    name = spark.range(1).select(sinks.report_file_name(F.lit("session 1"), "html", "20240101").alias("n")).first().n
+    assert name == "session_1_20240101.html"
+
+
+def test_chart_catalogue_and_density(spark):
+    from parlance.operators import charts as ch
+    sc = spark.createDataFrame([(1, i, "A", float(i) / 10 - 0.5) for i in range(11)],
+                               "session_key long, dialogue_idx long, speaker string, compound_score double")
+    h = ch.compound_histogram(sc, 30)
+    assert h.agg(F.sum("count")).first()[0] == 11
+    assert h.agg(F.max("bin")).first()[0] == 30  # the maximum lands in the last bin
+    dens = ch.density_curve(h, grid=50)
+    assert dens.count() == 50
+    cat = ch.chart_catalogue({"hist": h, "empty": h.where(F.lit(False))})
+    assert list(cat) == ["hist"]
+
+
+def test_oov_document_gets_prior(spark):
+    from parlance.operators import topics as tp
+    from parlance.options import TopicOptions
+    words = ["alpha", "beta", "gamma", "delta"]
+    rows = [("dialogue", 1, i, [words[i % 4], words[(i + 1) % 4]] * 3) for i in range(40)]
+    rows.append(("dialogue", 2, 0, ["zzz"]))  # all out of vocabulary
+    docs = spark.createDataFrame(rows, "doc_type string, session_key long, dialogue_idx long, tokens array<string>")
+    m = tp.fit_topics(docs, TopicOptions(num_topics=2, passes=2, min_df=2, max_df=0.95))
+    oov = m.document_topics.where(F.col("session_key") == 2).first()
+    probs = sorted(x.prob for x in oov.topic_distribution)
+    alpha = m.doc_concentration
+    assert abs(sum(probs) - 1.0) < 1e-9
+    assert abs(max(probs) - max(alpha) / sum(alpha)) < 1e-9
+
+
+def test_completion_failure_is_isolated(spark):
+    pr = spark.createDataFrame([(1, "p1", None), (2, None, "no content")], "session_key long, prompt string, error string")
+
+    def boom(prompts):
+        raise RuntimeError("service down")
+
+    out = {r.session_key: r for r in en.complete(pr, boom).collect()}
+    assert out[1].response is None and "service down" in out[1].error
+    assert out[2].error == "no content"
+    ok = {r.session_key: r for r in en.complete(pr, lambda ps: [p.upper() for p in ps]).collect()}
+    assert ok[1].response == "P1" and ok[1].error is None
