@@ -25,11 +25,19 @@ TOK = "_tok"
 
 def explode_lookup_regroup(df: DataFrame, keys: Sequence[str], tokens: Column,
                            dictionary: DataFrame | None, on: str,
-                           fields: Sequence[str], out: str = "_arr") -> DataFrame:
+                           fields: Sequence[str], out: str = "_arr",
+                           matched_only: bool = False,
+                           min_of: dict[str, Column] | None = None) -> DataFrame:
     """Return ``df`` plus ``out``: array<struct<_pos,_tok,*fields>> sorted by position.
 
     ``dictionary`` must be unique on ``on``; tokens without an entry get nulls.
+    ``matched_only`` keeps only tokens found in the dictionary (a sparse array
+    with original positions): unmatched tokens are dropped before the
+    shuffle, so only dictionary hits travel.  ``min_of`` adds per-row minima
+    of expressions over the exploded tokens (e.g. the first position of a
+    word) as aggregate outputs.
     """
+    min_of = min_of or {}
     keys = list(keys)
     carry = [c for c in df.columns if c not in keys]
     e = df.select(*df.columns, F.posexplode_outer(tokens).alias(POS, TOK))
@@ -40,12 +48,18 @@ def explode_lookup_regroup(df: DataFrame, keys: Sequence[str], tokens: Column,
     else:
         field_cols = [F.lit(None).alias(f) for f in fields]
     first_row = F.col(POS).isNull() | (F.col(POS) == 0)
-    elem = F.when(F.col(POS).isNotNull(), F.struct(F.col(POS), F.col(TOK), *field_cols))
+    hit = F.col(POS).isNotNull()
+    if matched_only and dictionary is not None:
+        hit = hit & F.col("_dkey").isNotNull()
+        e = e.where(hit | first_row)  # the first row always stays: it carries the row's columns
+    elem = F.when(hit, F.struct(F.col(POS), F.col(TOK), *field_cols))
     # Project before aggregating so that rows leaving the codegen stage carry
     # wide columns (raw text) on the first element only, nulls elsewhere.
     p = e.select(*keys, elem.alias("_elem"),
-                 *[F.when(first_row, F.col(c)).alias(c) for c in carry])
+                 *[F.when(first_row, F.col(c)).alias(c) for c in carry],
+                 *[expr.alias(f"_m_{name}") for name, expr in min_of.items()])
     aggs = [F.array_sort(F.collect_list("_elem")).alias(out)]
     aggs += [F.first(c, ignorenulls=True).alias(c) for c in carry]
+    aggs += [F.min(f"_m_{name}").alias(name) for name in min_of]
     g = p.groupBy(*keys).agg(*aggs)
-    return g.select(*df.columns, out)
+    return g.select(*df.columns, out, *min_of)

@@ -14,10 +14,12 @@ digits, so capitals/punctuation/emoticon rules cannot fire):
 * the first ``but`` halves earlier valences and multiplies later ones by 1.5;
 * compound = s / sqrt(s^2 + 15); pos/neg/neu shares.
 
-Execution: tokens are exploded and joined once to a single broadcast term
-dictionary (valence, booster scalar, negator flag), regrouped per utterance
-(one shuffle of one row per utterance), and the context rules run as array
-higher-order functions -- JVM-side, no Python worker, no window sort.
+Execution: tokens are exploded with positions and joined once to a single
+broadcast term dictionary (valence, booster scalar, negator flag); tokens no
+rule can react to are dropped before the shuffle (they only count as
+neutral zeros).  One shuffle by utterance key, window ``lag``/``lead`` for
+the context, plain column expressions for the rules (whole-stage codegen),
+and per-utterance sums on the same partitioning.  No Python worker.
 """
 
 from __future__ import annotations
@@ -26,12 +28,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import labels as lb
-from ..functions.ordering import rank_within
 from ..functions import text as tx
+from ..functions.ordering import rank_within
 from ..options import SentimentOptions
-from .lookup import explode_lookup_regroup
+from ..session import broadcast_if_small
 
 UTTERANCE_KEYS = ("session_key", "dialogue_idx")
 
@@ -42,9 +45,19 @@ NORMALIZE_ALPHA = 15.0
 MAX_PHRASE_TABLE = 10_000
 
 
-def term_dictionary(lexicon: DataFrame, boosters: DataFrame | None,
-                    negators: DataFrame | None) -> DataFrame:
-    """One row per unigram: valence, booster scalar, negator flag."""
+# Words the context rules test by name.
+RULE_WORDS = ("but", "kind", "of", "least", "at", "very", "never", "so", "this")
+UNKNOWN = "\u0000"
+
+
+def term_dictionary(lexicon: DataFrame, boosters: DataFrame | None, negators: DataFrame | None,
+                    rule_words: Sequence[str] = RULE_WORDS) -> DataFrame:
+    """One row per unigram the rules look at: valence, booster scalar, negator flag.
+
+    Words the rules test by name (and words of multi-word idioms/boosters)
+    are included with nulls, so the sparse token array keeps them.
+    """
+    spark = lexicon.sparkSession
     parts = [lexicon.select(F.col("term"), F.col("valence").cast("double").alias("v"),
                             F.lit(None).cast("double").alias("b"), F.lit(False).alias("n"))]
     if boosters is not None:
@@ -54,6 +67,9 @@ def term_dictionary(lexicon: DataFrame, boosters: DataFrame | None,
     if negators is not None:
         parts.append(negators.select("term", F.lit(None).cast("double").alias("v"),
                                      F.lit(None).cast("double").alias("b"), F.lit(True).alias("n")))
+    parts.append(spark.createDataFrame([(w,) for w in sorted(set(rule_words))], "term string").select(
+        "term", F.lit(None).cast("double").alias("v"), F.lit(None).cast("double").alias("b"),
+        F.lit(False).alias("n")))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
@@ -70,110 +86,6 @@ def _phrase_map(rows: Sequence[tuple[str, float]]) -> Column | None:
     return F.create_map(*[x for k in sorted(d) for x in (F.lit(k), F.lit(float(d[k])))])
 
 
-def _valences(arr: Column, idioms: Column | None, bigram_boosters: list[str]) -> Column:
-    """Per-token valence after context rules (before the ``but`` rule).
-
-    The three look-back steps are a fold over ``sequence(0, 2)`` so the
-    running valence is a lambda variable, not a copied sub-expression.
-    """
-    n = F.size(arr)
-
-    def at(i):  # 0-based element access, null outside the array
-        return F.when((i >= 0) & (i < n), F.try_element_at(arr, i + 1))
-
-    def tok(i):
-        return at(i)["_tok"]
-
-    def in_lex(i):
-        return at(i)["v"].isNotNull()
-
-    def negated(i):
-        return F.coalesce(at(i)["n"], F.lit(False))
-
-    def per_token(x, i):
-        skip = (x["b"].isNotNull() | x["v"].isNull()
-                | ((x["_tok"] == "kind") & (i < n - 1) & F.coalesce(tok(i + 1) == "of", F.lit(False))))
-
-        def step(acc, k):
-            # k = distance - 1 (0, 1, 2); applies when that word is not in the lexicon
-            j = i - (k + 1)
-            applies = (i > k) & ~in_lex(j)
-            s = F.coalesce(at(j)["b"], F.lit(0.0))
-            damp = F.when(k == 0, 1.0).when(k == 1, 0.95).otherwise(0.9)
-            v1 = acc + F.when(acc < 0, -s).otherwise(s) * damp
-            amp1 = ((tok(i - 2) == "never") & (tok(i - 1) == "so")) | (tok(i - 1) == "this")
-            amp2 = (((tok(i - 3) == "never") & tok(i - 2).isin("so", "this"))
-                    | tok(i - 1).isin("so", "this"))
-            amp = F.coalesce(F.when(k == 1, amp1).when(k == 2, amp2), F.lit(False))
-            mult = (F.when(amp & (k == 1), 1.5).when(amp & (k == 2), 1.25)
-                    .when(negated(j), NEGATION_SCALAR).otherwise(1.0))
-            v2 = v1 * mult
-            v3 = F.when(k == 2, _idiom_step(v2, i, tok, n, idioms, bigram_boosters)).otherwise(v2)
-            return F.when(applies, v3).otherwise(acc)
-
-        v = F.aggregate(F.sequence(F.lit(0), F.lit(2)), x["v"], step)
-        # 'least' before the word negates it (not after 'at'/'very')
-        least1 = (i > 0) & ~in_lex(i - 1) & F.coalesce(tok(i - 1) == "least", F.lit(False))
-        least_mult = (F.when(least1 & (i > 1) & ~F.coalesce(tok(i - 2).isin("at", "very"), F.lit(False)),
-                             NEGATION_SCALAR)
-                      .when(least1 & (i == 1), NEGATION_SCALAR).otherwise(1.0))
-        return F.when(skip, F.lit(0.0)).otherwise(v * least_mult)
-
-    return F.transform(arr, per_token)
-
-
-def _idiom_step(v: Column, i, tok, n, idioms: Column | None, bigram_boosters: list[str]) -> Column:
-    """Idiom replacement and bigram-booster decrement, evaluated at distance 3."""
-    def pair(a, b):
-        return F.concat_ws(" ", tok(a), tok(b))
-
-    def triple(a, b, c):
-        return F.concat_ws(" ", tok(a), tok(b), tok(c))
-
-    out = v
-    if idioms is not None:
-        seqs = [pair(i - 1, i), triple(i - 2, i - 1, i), pair(i - 2, i - 1),
-                triple(i - 3, i - 2, i - 1), pair(i - 3, i - 2)]
-        hit = None
-        for s in reversed(seqs):  # first match wins
-            val = F.element_at(idioms, s)
-            hit = F.when(val.isNotNull(), val) if hit is None else F.when(val.isNotNull(), val).otherwise(hit)
-        out = F.coalesce(hit, out)
-        fwd2 = F.when(n - 1 > i, F.element_at(idioms, pair(i, i + 1)))
-        out = F.coalesce(fwd2, out)
-        fwd3 = F.when(n - 1 > i + 1, F.element_at(idioms, triple(i, i + 1, i + 2)))
-        out = F.coalesce(fwd3, out)
-    if bigram_boosters:
-        dec = pair(i - 3, i - 2).isin(bigram_boosters) | pair(i - 2, i - 1).isin(bigram_boosters)
-        out = F.when(dec, out + BOOSTER_DECREMENT).otherwise(out)
-    return out
-
-
-def _but_rule(arr: Column, vals: Column) -> Column:
-    toks = F.transform(arr, lambda x: x["_tok"])
-    bi = F.array_position(toks, "but") - 1  # -1 when absent
-    return F.when(bi < 0, vals).otherwise(
-        F.transform(vals, lambda v, i: F.when(i < bi, v * 0.5).when(i > bi, v * 1.5).otherwise(v)))
-
-
-def _scores(vals: Column) -> dict[str, Column]:
-    s = F.aggregate(vals, F.lit(0.0), lambda acc, v: acc + v)
-    comp = s / F.sqrt(s * s + NORMALIZE_ALPHA)
-    comp = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), comp))
-    pos_sum = F.aggregate(vals, F.lit(0.0), lambda acc, v: acc + F.when(v > 0, v + 1).otherwise(0.0))
-    neg_sum = F.aggregate(vals, F.lit(0.0), lambda acc, v: acc + F.when(v < 0, v - 1).otherwise(0.0))
-    neu = F.aggregate(vals, F.lit(0.0), lambda acc, v: acc + F.when(v == 0, 1.0).otherwise(0.0))
-    total = pos_sum + F.abs(neg_sum) + neu
-    empty = F.size(vals) == 0
-    # Half-even rounding, as the scores are rounded in the published scorer.
-    return {
-        "pos_score": F.when(empty, 0.0).otherwise(F.bround(F.abs(pos_sum / total), 3)),
-        "neg_score": F.when(empty, 0.0).otherwise(F.bround(F.abs(neg_sum / total), 3)),
-        "neu_score": F.when(empty, 0.0).otherwise(F.bround(F.abs(neu / total), 3)),
-        "compound_score": F.when(empty, 0.0).otherwise(F.bround(comp, 4)),
-    }
-
-
 def score_utterances(utterances: DataFrame, lexicon: DataFrame, boosters: DataFrame | None = None,
                      negators: DataFrame | None = None,
                      idioms: Sequence[tuple[str, float]] | None = None,
@@ -185,21 +97,147 @@ def score_utterances(utterances: DataFrame, lexicon: DataFrame, boosters: DataFr
     every input column (speaker, session attributes ride along) and adds
     ``pos_score neg_score neu_score compound_score sentiment_category``.
     Utterances with empty raw text are skipped and keep their index gaps (A7).
+
+    Plan: tokens are exploded with positions and joined to one broadcast term
+    dictionary; only tokens the rules can react to (dictionary words and the
+    rule words) are kept -- every other token is a neutral zero and is
+    counted, not shipped.  One shuffle by utterance key brings an
+    utterance's kept tokens together in position order; ``lag``/``lead``
+    give the three preceding and two following kept tokens, and a neighbour
+    counts only when its position is adjacent.  The rules are plain column
+    expressions (whole-stage codegen) and the per-utterance sums reuse the
+    window's partitioning (no second shuffle).
     """
+    keys = list(keys)
     src = "processed_text" if "processed_text" in utterances.columns else "text"
+    toks = tx.vader_tokens(F.coalesce(F.col(src), F.lit("")))
     u = utterances.where(tx.has_text("text"))
-    d = term_dictionary(lexicon, boosters, negators)
-    g = explode_lookup_regroup(u, keys, tx.vader_tokens(F.coalesce(F.col(src), F.lit(""))),
-                               d, "term", ["v", "b", "n"])
+    carry = [c for c in u.columns if c not in keys]
     bigram_boosters = []
     if boosters is not None:
         bigram_boosters = sorted(r[0] for r in boosters.where(F.col("term").contains(" "))
                                  .select("term").limit(MAX_PHRASE_TABLE + 1).collect())
         if len(bigram_boosters) > MAX_PHRASE_TABLE:
             raise ValueError("too many multi-word boosters to inline")
-    vals = _but_rule(F.col("_arr"), _valences(F.col("_arr"), _phrase_map(idioms or []), bigram_boosters))
-    sc = _scores(F.col("_vals"))
-    out = g.withColumn("_vals", vals).select(*utterances.columns, *[c.alias(k) for k, c in sc.items()])
+    phrase_words = {w for p in bigram_boosters for w in p.split()}
+    phrase_words |= {w for p, _ in (idioms or []) for w in p.split()}
+    d = term_dictionary(lexicon, boosters, negators, tuple(RULE_WORDS) + tuple(sorted(phrase_words)))
+    d = d.select(F.col("term").alias("_dkey"), "v", "b", "n")
+
+    e = u.select(*u.columns, F.posexplode_outer(toks).alias("_pos", "_tok"))
+    e = e.join(broadcast_if_small(d), e["_tok"] == d["_dkey"], "left")
+    hit = F.col("_pos").isNotNull() & F.col("_dkey").isNotNull()
+    first_row = F.col("_pos").isNull() | (F.col("_pos") == 0)
+    e = e.where(hit | first_row)
+    r = e.select(*keys, *[F.when(first_row, F.col(c)).alias(c) for c in carry],
+                 # counted on the first exploded row only: evaluating it on every row
+                 # would re-split the whole text once per token
+                 F.when(first_row, F.size(toks)).alias("_ntok"),
+                 F.coalesce(F.col("_pos"), F.lit(0)).alias("p"), hit.alias("h"),
+                 F.when(hit, F.col("_tok")).otherwise(F.lit(UNKNOWN)).alias("tok"),
+                 F.when(hit, F.col("v")).alias("v"), F.when(hit, F.col("b")).alias("b"),
+                 F.coalesce(F.when(hit, F.col("n")), F.lit(False)).alias("n"))
+    w = Window.partitionBy(*keys).orderBy("p")
+    nb = [F.lag(c, k).over(w).alias(f"_{c}{k}") for k in (1, 2, 3) for c in ("p", "tok", "v", "b", "n")]
+    nb += [F.lead(c, k).over(w).alias(f"_{c}f{k}") for k in (1, 2) for c in ("p", "tok")]
+    nb.append(F.min(F.when(F.col("tok") == "but", F.col("p")))
+              .over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_bi"))
+    r = r.select("*", *nb)
+
+    def at(dist, field, default):
+        """Field of the kept token at position p - dist (absent: a plain word)."""
+        c = None
+        for k in (1, 2, 3):
+            hit_k = F.when(F.col(f"_p{k}") == F.col("p") - dist, F.col(f"_{field}{k}"))
+            c = hit_k if c is None else F.coalesce(c, hit_k)
+        return F.coalesce(c, default)
+
+    def fwd(dist):
+        c = None
+        for k in (1, 2):
+            hit_k = F.when(F.col(f"_pf{k}") == F.col("p") + dist, F.col(f"_tokf{k}"))
+            c = hit_k if c is None else F.coalesce(c, hit_k)
+        return F.coalesce(c, F.lit(UNKNOWN))
+
+    unk = F.lit(UNKNOWN)
+    r = r.select(*keys, *carry, "_ntok", "p", "h", "tok", "v", "b", "_bi",
+                 *[at(k, "tok", unk).alias(f"t{k}") for k in (1, 2, 3)],
+                 *[at(k, "v", F.lit(None).cast("double")).isNotNull().alias(f"l{k}") for k in (1, 2, 3)],
+                 *[at(k, "b", F.lit(0.0)).alias(f"b{k}") for k in (1, 2, 3)],
+                 *[at(k, "n", F.lit(False)).alias(f"n{k}") for k in (1, 2, 3)],
+                 fwd(1).alias("f1"), fwd(2).alias("f2"))
+    base = [*keys, *carry, "_ntok", "p", "h", "tok", "v", "b", "_bi", "t1", "t2", "t3", "l1", "l2", "l3",
+            "b1", "b2", "b3", "n1", "n2", "n3", "f1", "f2"]
+
+    def signed(v, bk):
+        return F.when(v < 0, -F.col(bk)).otherwise(F.col(bk))
+
+    x1 = F.when((F.col("p") > 0) & ~F.col("l1"),
+                (F.col("v") + signed(F.col("v"), "b1")) * F.when(F.col("n1"), NEGATION_SCALAR).otherwise(1.0)
+                ).otherwise(F.col("v"))
+    r = r.select(*base, x1.alias("x1"))
+    amp1 = ((F.col("t2") == "never") & (F.col("t1") == "so")) | (F.col("t1") == "this")
+    x2 = F.when((F.col("p") > 1) & ~F.col("l2"),
+                (F.col("x1") + signed(F.col("x1"), "b2") * 0.95)
+                * F.when(amp1, 1.5).when(F.col("n2"), NEGATION_SCALAR).otherwise(1.0)).otherwise(F.col("x1"))
+    r = r.select(*base, x2.alias("x2"))
+    amp2 = (((F.col("t3") == "never") & F.col("t2").isin("so", "this")) | F.col("t1").isin("so", "this"))
+    v3 = (F.col("x2") + signed(F.col("x2"), "b3") * 0.9) * \
+        F.when(amp2, 1.25).when(F.col("n3"), NEGATION_SCALAR).otherwise(1.0)
+    idiom_map = _phrase_map(idioms or [])
+    if idiom_map is not None:
+        def pair(a_, b_):
+            return F.concat_ws(" ", F.col(a_), F.col(b_))
+
+        def triple(a_, b_, c_):
+            return F.concat_ws(" ", F.col(a_), F.col(b_), F.col(c_))
+        seqs = [pair("t1", "tok"), triple("t2", "t1", "tok"), pair("t2", "t1"),
+                triple("t3", "t2", "t1"), pair("t3", "t2")]
+        found = None
+        for sq in reversed(seqs):  # the first sequence that matches wins
+            val = F.element_at(idiom_map, sq)
+            found = F.when(val.isNotNull(), val) if found is None else \
+                F.when(val.isNotNull(), val).otherwise(found)
+        v3 = F.coalesce(found, v3)
+        v3 = F.coalesce(F.element_at(idiom_map, pair("tok", "f1")), v3)
+        v3 = F.coalesce(F.element_at(idiom_map, triple("tok", "f1", "f2")), v3)
+    if bigram_boosters:
+        dec = (F.concat_ws(" ", F.col("t3"), F.col("t2")).isin(bigram_boosters)
+               | F.concat_ws(" ", F.col("t2"), F.col("t1")).isin(bigram_boosters))
+        v3 = F.when(dec, v3 + BOOSTER_DECREMENT).otherwise(v3)
+    x3 = F.when((F.col("p") > 2) & ~F.col("l3"), v3).otherwise(F.col("x2"))
+    r = r.select(*base, x3.alias("x3"))
+    least1 = (F.col("p") > 0) & ~F.col("l1") & (F.col("t1") == "least")
+    least_mult = (F.when(least1 & (F.col("p") > 1) & ~F.col("t2").isin("at", "very"), NEGATION_SCALAR)
+                  .when(least1 & (F.col("p") == 1), NEGATION_SCALAR).otherwise(1.0))
+    skip = F.col("b").isNotNull() | F.col("v").isNull() | ((F.col("tok") == "kind") & (F.col("f1") == "of"))
+    val = F.when(skip, F.lit(0.0)).otherwise(F.col("x3") * least_mult)
+    but = (F.when(F.col("_bi").isNull(), 1.0).when(F.col("p") < F.col("_bi"), 0.5)
+           .when(F.col("p") > F.col("_bi"), 1.5).otherwise(1.0))
+    r = r.select(*keys, *carry, "_ntok", "h", F.when(F.col("h"), val * but).alias("val"))
+
+    vv = F.col("val")
+    g = r.groupBy(*keys).agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in carry],
+        F.max("_ntok").alias("_ntok"),
+        F.sum(vv).alias("_s"),
+        F.sum(F.when(vv > 0, vv + 1)).alias("_ps"),
+        F.sum(F.when(vv < 0, vv - 1)).alias("_ns"),
+        F.count_if(F.col("h")).alias("_nh"),
+        F.count_if(F.col("h") & (vv == 0)).alias("_nz"))
+    s_ = F.coalesce(F.col("_s"), F.lit(0.0))
+    ps = F.coalesce(F.col("_ps"), F.lit(0.0))
+    ns = F.coalesce(F.col("_ns"), F.lit(0.0))
+    neu = (F.col("_ntok") - F.col("_nh") + F.col("_nz")).cast("double")
+    total = ps + F.abs(ns) + neu
+    comp = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), s_ / F.sqrt(s_ * s_ + NORMALIZE_ALPHA)))
+    empty = F.coalesce(F.col("_ntok"), F.lit(0)) == 0
+    # Half-even rounding, as the scores are rounded in the published scorer.
+    out = g.select(*utterances.columns,
+                   F.when(empty, 0.0).otherwise(F.bround(F.abs(ps / total), 3)).alias("pos_score"),
+                   F.when(empty, 0.0).otherwise(F.bround(F.abs(ns / total), 3)).alias("neg_score"),
+                   F.when(empty, 0.0).otherwise(F.bround(F.abs(neu / total), 3)).alias("neu_score"),
+                   F.when(empty, 0.0).otherwise(F.bround(comp, 4)).alias("compound_score"))
     return out.withColumn("sentiment_category", lb.polarity_label(
         "compound_score", opts.positive_threshold, opts.negative_threshold))
 
