@@ -20,21 +20,33 @@ def session_order(prefix: str = "") -> list[Column]:
             F.col(f"{p}session_key").asc()]
 
 
+SESSION_ORDER_COLS = ("session_date", "session_number", "file_name", "session_key")
+
+
 def dense_index(df: DataFrame, order: Sequence[Column], name: str = "transcript_idx",
-                partition_cols: Sequence[str] = ()) -> DataFrame:
+                partition_cols: Sequence[str] = (), key: str = "session_key",
+                order_cols: Sequence[str] = SESSION_ORDER_COLS) -> DataFrame:
     """Add a 0-based row number in ``order`` (per ``partition_cols`` group).
 
     A global ``row_number()`` moves every row into one task.  Instead: a
-    range-partitioned sort (distributed), the position inside each sorted
-    partition from ``monotonically_increasing_id`` (no shuffle), and the
-    offset of each (partition, group) from a prefix sum over a table with one
-    row per (partition, group) -- bounded by partitions + groups -- joined back.
-    The order must be total (end it with a unique key) so recomputation after
-    a lost executor reproduces the same positions.
+    range-partitioned sort of the narrow key table (distributed), positions
+    inside each sorted partition from ``monotonically_increasing_id`` (no
+    shuffle), and the offset of each (partition, group) from a prefix sum
+    over one row per (partition, group), joined back.  The sorted key table
+    is checkpointed (reliable, in ``spark.checkpoint.dir``) so the partition
+    numbering is computed once: every later use -- the offsets and the rows
+    -- reads the same materialised partitions, even if a plan above it is
+    re-executed or re-planned.  The index is then joined back on ``key``
+    (unique per row); ``order_cols`` names the columns ``order`` reads.
     """
+    from ..session import ensure_checkpoint_dir
     keys = list(partition_cols)
-    s = df.orderBy(*[F.col(k).asc() for k in keys], *order)
+    needed = sorted({key, *keys, *order_cols})
+    narrow = df.select(*needed)
+    s = narrow.orderBy(*[F.col(k).asc() for k in keys], *order)
     s = s.withColumn("_mid", F.monotonically_increasing_id())
+    ensure_checkpoint_dir(df.sparkSession)
+    s = s.checkpoint(eager=True)
     s = s.withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS)) \
          .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
     stats = s.groupBy("_pid", *keys).agg(F.min("_loc").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
@@ -43,8 +55,8 @@ def dense_index(df: DataFrame, order: Sequence[Column], name: str = "transcript_
     if not keys:
         stats = F.broadcast(stats)  # one row per sorted partition: bounded by the partition count
     j = s.join(stats.select("_pid", *keys, "_first", "_off"), ["_pid", *keys])
-    return j.withColumn(name, F.col("_off") + F.col("_loc") - F.col("_first")) \
-            .drop("_mid", "_pid", "_loc", "_first", "_off")
+    idx = j.select(key, (F.col("_off") + F.col("_loc") - F.col("_first")).alias(name))
+    return df.join(idx, key)
 
 
 def rank_within(df: DataFrame, keys: Sequence[str], idx: str, name: str = "_rank",

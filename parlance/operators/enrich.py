@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..options import EnrichOptions
 from ..functions.labels import fixed
+from ..functions.text import strip_py
 from .progress import top_terms
 
 # Prompt texts.
@@ -237,4 +238,4 @@ def parse_reply(reply: Column) -> Column:
 
 def paragraphs(reply: Column) -> Column:
     """Reply split into paragraphs."""
-    return F.split(F.trim(reply), "\n\n")
+    return F.split(strip_py(reply), "\n\n")

@@ -120,6 +120,8 @@ def _enrichment_lines(f: DataFrame, opts: ReportOptions) -> Column:
         return F.array().cast("array<string>")
 
     def section(title, col):
+        if col not in f.columns:
+            return F.array().cast("array<string>")
         arr = F.coalesce(F.col(col), F.array().cast("array<string>"))
         return F.when(F.size(arr) > 0, F.concat(F.array(F.lit(""), F.lit(title), F.lit("")), arr)) \
             .otherwise(F.array().cast("array<string>"))

@@ -9,6 +9,7 @@ coordinates iterations; executors compute sufficient statistics).
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -115,6 +116,9 @@ def fit_topics(docs: DataFrame, opts: TopicOptions = TopicOptions(),
     if vocab is None:
         vocab = vocabulary(docs, opts)
     terms = [r["term"] for r in vocab.orderBy("term_index").select("term").collect()]
+    if len(terms) < 10:
+        logging.getLogger(__name__).warning(
+            "vocabulary has only %d terms after filtering; consider adjusting min_df/max_df", len(terms))
     if not terms:
         return None
     cv = CountVectorizerModel.from_vocabulary(terms, inputCol="tokens", outputCol="features")

@@ -182,6 +182,7 @@ def test_dense_index_global(spark):
                                      F.lit(None).cast("date").alias("session_date"),
                                      F.lit("f").alias("file_name")).repartition(5)
     out = ordering.dense_index(df, ordering.session_order(), "i").collect()
+    assert len(out) == 1000
     assert sorted(r.i for r in out) == list(range(1000))
     first = min(out, key=lambda r: r.i)
     assert first.session_number == 1  # 0 counts as missing and sorts last
@@ -261,3 +262,24 @@ def test_completion_failure_is_isolated(spark):
     assert out[2].error == "no content"
     ok = {r.session_key: r for r in en.complete(pr, lambda ps: [p.upper() for p in ps]).collect()}
     assert ok[1].response == "P1" and ok[1].error is None
+
+
+def test_end_to_end_directory(spark):
+    from parlance.options import TopicOptions
+    from parlance.plans.analysis import analyze_directory, write_outputs
+    d = tempfile.mkdtemp(prefix="parlance-e-")
+    src, out = os.path.join(d, "in"), os.path.join(d, "out")
+    os.makedirs(src)
+    _write(src, "session_2023-07-15_001.mdx", README_MDX)
+    _write(src, "session_2023-07-22_002.mdx", README_MDX.replace("excellent", "terrible"))
+    lex = spark.createDataFrame([("good", 1.9), ("excellent", 3.2), ("terrible", -2.5), ("helped", 1.7)],
+                                "term string, valence double")
+    a = analyze_directory(spark, src, "mdx", lex, topic_opts=TopicOptions(num_topics=2, passes=2, min_df=1),
+                          completer=lambda ps: ["Summary:\n\nok\n\nKey insights: x"] * len(ps))
+    write_outputs(a, out)
+    rep = {r.report_name: r.content for r in spark.read.parquet(os.path.join(out, "reports")).collect()}
+    assert set(rep) == {"session_1", "session_2", "overall_progress"}
+    assert rep["session_1"].startswith("# Session 1 Report (2023-07-15)")
+    assert "## AI-Enhanced Summary" in rep["session_1"]
+    assert "**Sessions Analyzed**: 2" in rep["overall_progress"]
+    assert spark.read.parquet(os.path.join(out, "utterance_sentiment")).count() == 20
