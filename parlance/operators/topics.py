@@ -189,18 +189,31 @@ def coherence_cv(topic_terms: DataFrame, docs: DataFrame, top_n: int = 20, windo
     windows in a document are the union of these intervals (merged by a
     gaps-and-islands window), so counts never enumerate windows.  Pair
     counts are interval overlaps, joined per (document, block of windows)
-    so no document is a single hot key.  Returns (topic_id, coherence) rows
-    plus topic_id = -1 for the mean over topics.
+    so no document is a single hot key.  The inputs the branches share (a
+    narrow per-document table of relevant positions, the islands, the NPMI
+    pairs) are checkpointed once.  Returns (topic_id, coherence) rows plus
+    topic_id = -1 for the mean over topics.
     """
-    tw = top_words(topic_terms, top_n)
-    # at most (topics x top_n) distinct words: bounded by the model, not the data
-    relevant = tw.select("term").distinct()
-    d = docs.select(*DOC_KEYS, "tokens").where(F.size("tokens") > 0) \
-            .withColumn("_len", F.size("tokens"))
-    n_windows = d.agg(F.sum(F.when(F.col("_len") >= window, F.col("_len") - window + 1)
-                            .otherwise(1)).cast("double").alias("_nw"))
-    occ = d.select(*DOC_KEYS, "_len", F.posexplode("tokens").alias("p", "term")) \
-           .join(F.broadcast(relevant), "term")
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(docs.sparkSession)
+    # Top words: at most (topics x top_n) rows, a bound set by the model, not the data.
+    tw_rows = top_words(topic_terms, top_n).collect()
+    if len(tw_rows) > MAX_TOPIC_WORDS:
+        raise ValueError("too many topic words for coherence")
+    spark = docs.sparkSession
+    tw = spark.createDataFrame([(r["topic_id"], r["term"], r["rank"]) for r in tw_rows],
+                               "topic_id int, term string, rank int")
+    relevant = sorted({r["term"] for r in tw_rows})
+    # One pass over the documents: length and the positions of relevant words only
+    # (an InSet lookup), materialised once so every later branch reads the same rows.
+    positions = F.filter(F.transform("tokens", lambda t, i: F.struct(i.alias("p"), t.alias("term"))),
+                         lambda x: x["term"].isin(relevant))
+    narrow = docs.where(F.size("tokens") > 0).select(
+        *DOC_KEYS, F.size("tokens").alias("_len"), positions.alias("_occ")).checkpoint(eager=True)
+    n_windows = narrow.agg(F.sum(F.when(F.col("_len") >= window, F.col("_len") - window + 1)
+                                 .otherwise(1)).cast("double").alias("_nw"))
+    occ = narrow.select(*DOC_KEYS, "_len", F.explode("_occ").alias("o")) \
+                .select(*DOC_KEYS, "_len", F.col("o.p").alias("p"), F.col("o.term").alias("term"))
     lo = F.when(F.col("_len") >= window, F.greatest(F.lit(0), F.col("p") - window + 1)).otherwise(0)
     hi = F.when(F.col("_len") >= window, F.least(F.col("p"), F.col("_len") - window)).otherwise(0)
     occ = occ.select(*DOC_KEYS, "term", lo.alias("lo"), hi.alias("hi"))
@@ -208,7 +221,8 @@ def coherence_cv(topic_terms: DataFrame, docs: DataFrame, top_n: int = 20, windo
     isl = occ.withColumn("_prev", F.max("hi").over(wk.rowsBetween(Window.unboundedPreceding, -1))) \
              .withColumn("_new", F.when(F.col("_prev").isNull() | (F.col("lo") > F.col("_prev") + 1), 1).otherwise(0)) \
              .withColumn("_isl", F.sum("_new").over(wk.rowsBetween(Window.unboundedPreceding, 0))) \
-             .groupBy(*DOC_KEYS, "term", "_isl").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+             .groupBy(*DOC_KEYS, "term", "_isl").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")) \
+             .checkpoint(eager=True)  # read by the counts and the pair branch
     counts = isl.groupBy("term").agg(F.sum(F.col("hi") - F.col("lo") + 1).alias("c"))
     pieces = isl.withColumn("_b", F.explode(F.sequence(F.floor(F.col("lo") / block), F.floor(F.col("hi") / block)))) \
         .select(*DOC_KEYS, "term", "_b",
@@ -235,7 +249,7 @@ def coherence_cv(topic_terms: DataFrame, docs: DataFrame, top_n: int = 20, windo
     co_c = F.when(F.col("wi") == F.col("wj"), F.col("ci")).otherwise(F.coalesce(F.col("co"), F.lit(0)))
     pco = co_c / N
     npmi = F.log((pco + EPSILON) / ((F.col("ci") / N) * (F.col("cj") / N))) / (-F.log(pco + EPSILON))
-    P = pairs.select("topic_id", "wi", "wj", npmi.alias("npmi"))
+    P = pairs.select("topic_id", "wi", "wj", npmi.alias("npmi")).checkpoint(eager=True)  # k x top_n^2 rows
     V = P.groupBy("topic_id", "wj").agg(F.sum("npmi").alias("vj"))
     vnorm = V.groupBy("topic_id").agg(F.sqrt(F.sum(F.col("vj") * F.col("vj"))).alias("vn"))
     U = P.join(V, ["topic_id", "wj"]).groupBy("topic_id", "wi").agg(

@@ -685,14 +685,29 @@ def enrichment_replies(spark, sf_dir):
 
 # ================================================================ R26-R29: report text
 def _reports(spark, sf_dir):
-    f = facts(spark, sf_dir)
+    """All report inputs, with the tables several branches read checkpointed once.
+
+    The scored utterances (narrow), the session facts and the prevalence
+    feed many roll-ups each; materialising them in the checkpoint folder
+    keeps every branch from re-deriving them from the raw text.
+    """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    s = sessions_idx(spark, sf_dir)
+    sc = scored(spark, sf_dir).select("session_key", "dialogue_idx", "speaker", "patient_id", "pos_score",
+                                      "neg_score", "neu_score", "compound_score", "sentiment_category") \
+        .checkpoint(eager=True)
+    mix = fixed_mix(spark, sf_dir).checkpoint(eager=True)
+    terms = fixed_terms(spark, sf_dir).checkpoint(eager=True)
+    ss = se.session_sentiment(sc, s.select("session_key"))
+    pr = se.session_progression(sc, s.select("session_key"))
+    f = pg.session_facts(s, ss, pr, mix.where(F.col("doc_type") == "transcript"), terms).checkpoint(eager=True)
+    prev = tp.topic_prevalence(mix, s).checkpoint(eager=True)
     sess = rp.session_reports(f, ReportOptions())
-    prev = fixed_prevalence(spark, sf_dir)
-    terms = fixed_terms(spark, sf_dir)
     overall = rp.overall_reports(
         f, pg.corpus_trend(f, GROUP), pg.recurrent_topic(f.select("patient_id", "dominant_topic"), GROUP),
         pg.theme_evolution(prev, GROUP), pg.consistent_topic(prev, GROUP), pg.emerging_topic(prev, GROUP),
-        pg.speaker_gap(scored(spark, sf_dir), sessions_idx(spark, sf_dir), GROUP), terms, GROUP, ReportOptions())
+        pg.speaker_gap(sc, s, GROUP), terms, GROUP, ReportOptions())
     return rp.all_reports(sess, overall)
 
 
