@@ -98,15 +98,25 @@ def _segments(lines: Column, is_speaker, speaker_of, first_piece, piece) -> Colu
     return F.transform(keep, lambda s: F.struct(s["speaker"].alias("speaker"), s["text"].alias("text")))
 
 
-def colon_dialogue(content: Column) -> Column:
-    """``Speaker: text`` lines; continuation lines appended unstripped; blanks dropped."""
+def colon_dialogue(content: Column, speakers: tuple[str, ...] | None = None) -> Column:
+    """``Speaker: text`` lines; continuation lines appended unstripped; blanks dropped.
+
+    ``speakers`` (optional allow-list): only these names open a segment, so a
+    prose line such as ``I said: fine`` stays a continuation line.
+    """
     empty = F.array().cast("array<string>")
 
     def first_piece(line):
         g2 = F.regexp_extract(line, SPEAKER_RE, 2)
         return F.when(g2 != "", F.array(g2)).otherwise(empty)
 
-    return _segments(F.split(content, "\n"), lambda l: l.rlike(SPEAKER_RE),
+    def is_speaker(line):
+        m = line.rlike(SPEAKER_RE)
+        if speakers:
+            m = m & F.regexp_extract(line, SPEAKER_RE, 1).isin(list(speakers))
+        return m
+
+    return _segments(F.split(content, "\n"), is_speaker,
                      lambda l: F.regexp_extract(l, SPEAKER_RE, 1), first_piece, lambda l: l)
 
 
@@ -157,7 +167,8 @@ def read_files(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
                       normalize_newlines(F.col("value")).alias("content"))
 
 
-def parse(files: DataFrame, fmt: str, compat: bool = False) -> tuple[DataFrame, DataFrame]:
+def parse(files: DataFrame, fmt: str, compat: bool = False,
+          speakers: tuple[str, ...] | None = None) -> tuple[DataFrame, DataFrame]:
     """Parse file rows into (sessions, rejects) for one format."""
     fmt = fmt.lower()
     base = [F.xxhash64("file_path").alias("session_key"), "file_name", "file_path",
@@ -168,11 +179,11 @@ def parse(files: DataFrame, fmt: str, compat: bool = False) -> tuple[DataFrame,
     if fmt == "mdx":
         meta, rest = front_matter(F.col("content"))
         s = files.select(*base, meta.alias("metadata"), rest.alias("raw_content"), *dates)
-        s = s.withColumn("dialogue", colon_dialogue(F.col("raw_content")))
+        s = s.withColumn("dialogue", colon_dialogue(F.col("raw_content"), speakers))
         return s, None
     if fmt in ("txt", "text"):
         s = files.select(*base, empty_meta.alias("metadata"), F.col("content").alias("raw_content"),
-                         *dates, colon_dialogue(F.col("content")).alias("dialogue"))
+                         *dates, colon_dialogue(F.col("content"), speakers).alias("dialogue"))
         return s, None
     if fmt == "md":
         s = files.select(*base, empty_meta.alias("metadata"), F.col("content").alias("raw_content"),
@@ -203,7 +214,8 @@ def utterances_of(sessions: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame
 
 
 def read_transcripts(spark: SparkSession, path: str, fmt: str = "mdx", compat: bool = False,
-                     group_cols: tuple[str, ...] = ()) -> Transcripts:
+                     group_cols: tuple[str, ...] = (),
+                     speakers: tuple[str, ...] | None = None) -> Transcripts:
     """Read a transcript directory into sessions, utterances and rejects.
 
     ``sessions`` carries ``transcript_idx`` (S10: date, number with 0 as
@@ -217,7 +229,7 @@ def read_transcripts(spark: SparkSession, path: str, fmt: str = "mdx", compat: b
         sessions = _empty(spark, S.SESSIONS)
         rejects = _empty(spark, S.REJECTS)
     else:
-        sessions, rejects = parse(files, fmt, compat)
+        sessions, rejects = parse(files, fmt, compat, speakers)
         if rejects is None:
             rejects = _empty(spark, S.REJECTS)
     sessions = ordering.dense_index(sessions, ordering.session_order(), "transcript_idx", group_cols)

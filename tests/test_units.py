@@ -283,3 +283,39 @@ def test_end_to_end_directory(spark):
     assert "## AI-Enhanced Summary" in rep["session_1"]
     assert "**Sessions Analyzed**: 2" in rep["overall_progress"]
     assert spark.read.parquet(os.path.join(out, "utterance_sentiment")).count() == 20
+
+
+def test_speaker_allow_list(spark):
+    d = tempfile.mkdtemp(prefix="parlance-a-")
+    _write(d, "x.txt", "Client: x\nI said: fine\nTherapist: ok")
+    t = tr.read_transcripts(spark, d, "txt", speakers=("Client", "Therapist"))
+    got = [(r.speaker, r.text) for r in t.utterances.orderBy("dialogue_idx").collect()]
+    assert got == [("Client", "x I said: fine"), ("Therapist", "ok")]
+
+
+def test_idiom_replaces_valence(spark):
+    u = spark.createDataFrame([(1, 0, "A", "xx yy zz the bomb")],
+                              "session_key long, dialogue_idx long, speaker string, text string")
+    lex = spark.createDataFrame([("bomb", -2.0)], "term string, valence double")
+    r = se.score_utterances(u, lex, idioms=fx.IDIOMS).first()
+    assert r.compound_score == _compound(3.0)
+    r2 = se.score_utterances(u, lex).first()
+    assert r2.compound_score == _compound(-2.0)
+
+
+def test_scorer_context_rules(spark):
+    texts = ["not very good", "very bad", "kind of good", "kind good", "the least good", "at least good",
+             "never so good"]
+    u = spark.createDataFrame([(1, i, "A", t) for i, t in enumerate(texts)],
+                              "session_key long, dialogue_idx long, speaker string, text string")
+    lex = spark.createDataFrame([("good", 1.9), ("bad", -2.5), ("kind", 1.0)], "term string, valence double")
+    bst = spark.createDataFrame([("very", 0.293)], "term string, scalar double")
+    neg = spark.createDataFrame([("not",), ("never",)], "term string")
+    r = {x.dialogue_idx: x.compound_score for x in se.score_utterances(u, lex, bst, neg).collect()}
+    assert r[0] == _compound((1.9 + 0.293) * -0.74)   # booster at 1, negation at distance 2
+    assert r[1] == _compound(-2.5 - 0.293)            # booster follows the sign of the valence
+    assert r[2] == _compound(1.9)                     # 'kind' before 'of' scores 0
+    assert r[3] == _compound(1.0 + 1.9)
+    assert r[4] == _compound(1.9 * -0.74)             # 'least' negates
+    assert r[5] == _compound(1.9)                     # ... but not after 'at'
+    assert r[6] == _compound(1.9 * 1.5)               # 'never so' amplifies at distance 2
