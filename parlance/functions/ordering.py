@@ -68,7 +68,8 @@ def rank_within(df: DataFrame, keys: Sequence[str], idx: str, name: str = "_rank
     ``block`` rows); each block's offset is a prefix sum over the per-block
     counts (one row per block, partially aggregated).  A group holding a third
     of all rows is spread over many blocks and tasks.  ``idx`` must be unique
-    and non-negative within a group.
+    and non-negative within a group; ``name`` must not be ``_r``/``_blk``/``_before``
+    (internal columns).
     """
     keys = list(keys)
     d = df.withColumn("_blk", F.floor(F.col(idx) / block))
@@ -80,3 +81,23 @@ def rank_within(df: DataFrame, keys: Sequence[str], idx: str, name: str = "_rank
     r = d.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, "_blk").orderBy(idx)))
     j = r.join(c.select(*keys, "_blk", "_before", count_name), [*keys, "_blk"])
     return j.withColumn(name, F.col("_before") + F.col("_r")).drop("_blk", "_r", "_before")
+
+
+def with_offsets(ranked: DataFrame, keys: Sequence[str], rank_col: str, cols: Sequence[str],
+                 offsets: Sequence[int]) -> DataFrame:
+    """Attach ``cols`` of the row at ``rank + o`` for each offset ``o`` as ``{col}_{m|p}{|o|}``.
+
+    A skew-safe replacement for ``lag``/``lead`` over a group: equi-joins on
+    (group keys, rank), so no window has to hold a whole group.
+    """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(ranked.sparkSession)
+    # the table is read once per offset: materialise it once (narrow rows)
+    ranked = ranked.checkpoint(eager=True)
+    out = ranked
+    for o in offsets:
+        tag = f"{'m' if o < 0 else 'p'}{abs(o)}"
+        nb = ranked.select(*keys, (F.col(rank_col) - o).alias(rank_col),
+                           *[F.col(c).alias(f"{c}_{tag}") for c in cols])
+        out = out.join(nb, [*keys, rank_col], "left")
+    return out

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import labels as lb
+from ..functions.ordering import rank_within, with_offsets
 
 # Rule texts of the reports.
 TXT_SESSION_POSITIVE = "The session had a positive emotional tone, suggesting constructive engagement."
@@ -183,17 +184,25 @@ def corpus_trend(facts: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
     ``facts`` needs session_date, transcript_idx, avg_compound, overall_sentiment.
     Sessions without sentiment count as 0 / 'neutral' (A11).
     """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(facts.sparkSession)
     keys = list(group_cols)
-    f = facts.withColumn("avg_compound", F.coalesce("avg_compound", F.lit(0.0))) \
-             .withColumn("overall_sentiment", F.coalesce("overall_sentiment", F.lit("neutral")))
+    # one narrow row per session, read by three branches below: materialise it once
+    f = facts.select(*keys, "transcript_idx", "session_date",
+                     F.coalesce("avg_compound", F.lit(0.0)).alias("avg_compound"),
+                     F.coalesce("overall_sentiment", F.lit("neutral")).alias("overall_sentiment")) \
+        .checkpoint(eager=True)
     dated = F.col("session_date").isNotNull()
     order = F.struct("session_date", "transcript_idx")
-    # Consecutive differences over dated sessions in date order
-    w = Window.partitionBy(*keys).orderBy(F.col("session_date").asc_nulls_last(), "transcript_idx")
-    f = f.withColumn("_prev", F.when(dated, F.lag(F.when(dated, F.col("avg_compound"))).over(w)))
-    # Rank from the last session in index order
-    wl = Window.partitionBy(*keys).orderBy(F.col("transcript_idx").desc())
-    f = f.withColumn("_rdesc", F.row_number().over(wl))
+    # Orders come from block-wise ranks (no window over a whole client): for dated
+    # sessions, transcript order is date order.
+    ra = rank_within(f.select(*keys, "transcript_idx", "avg_compound"), keys, "transcript_idx", "_ra", "_na")
+    last3 = ra.where(F.col("_ra") > F.col("_na") - 3).groupBy(*keys).agg(
+        F.max("avg_compound").alias("_hi3"), F.min("avg_compound").alias("_lo3"))
+    rd = rank_within(f.where(dated).select(*keys, "transcript_idx", "avg_compound"), keys,
+                     "transcript_idx", "_rd", "_nd")
+    rd = with_offsets(rd, keys, "_rd", ["avg_compound"], [-1])
+    vol = rd.groupBy(*keys).agg(F.avg(F.abs(F.col("avg_compound") - F.col("avg_compound_m1"))).alias("_vol"))
     agg = f.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("sessions"),
         F.min("session_date").alias("first_date"),
@@ -204,11 +213,14 @@ def corpus_trend(facts: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
         F.count_if(dated & (F.col("overall_sentiment") == "positive")).alias("positive_sessions"),
         F.count_if(dated & (F.col("overall_sentiment") == "negative")).alias("negative_sessions"),
         F.count_if(dated & (F.col("overall_sentiment") == "neutral")).alias("neutral_sessions"),
-        F.avg(F.abs(F.col("avg_compound") - F.col("_prev"))).alias("_vol"),
         F.max_by("overall_sentiment", "transcript_idx").alias("latest_sentiment"),
-        F.max(F.when(F.col("_rdesc") <= 3, F.col("avg_compound"))).alias("_hi3"),
-        F.min(F.when(F.col("_rdesc") <= 3, F.col("avg_compound"))).alias("_lo3"),
     )
+    if keys:
+        agg = agg.join(last3, keys, "left").join(vol, keys, "left")
+    else:
+        agg = agg.withColumn("_g", F.lit(0)) \
+            .join(F.broadcast(last3.withColumn("_g", F.lit(0))), "_g", "left") \
+            .join(F.broadcast(vol.withColumn("_g", F.lit(0))), "_g", "left").drop("_g")
     change = F.col("last_compound") - F.col("first_compound")
     vol = F.coalesce(F.col("_vol"), F.lit(0.0))
     has = F.col("dated_sessions") > 0
@@ -232,9 +244,8 @@ def corpus_trend(facts: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
 def progress_table(facts: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
     """Dated sessions in date order with label and 2-decimal score."""
     keys = list(group_cols)
-    d = facts.where(F.col("session_date").isNotNull())
-    w = Window.partitionBy(*keys).orderBy("session_date", "transcript_idx")
-    return d.select(*keys, F.row_number().over(w).alias("row_order"), "display_number", "session_date",
+    d = rank_within(facts.where(F.col("session_date").isNotNull()), keys, "transcript_idx", "row_order", "_n")
+    return d.select(*keys, F.col("row_order").cast("int").alias("row_order"), "display_number", "session_date",
                     F.initcap(F.coalesce("overall_sentiment", F.lit("neutral"))).alias("sentiment"),
                     lb.fixed(F.coalesce("avg_compound", F.lit(0.0)), 2).alias("score"))
 
@@ -323,9 +334,18 @@ def moving_average(facts: DataFrame, k: int = 3, group_cols: Sequence[str] = (),
                    value: str = "avg_compound") -> DataFrame:
     """Mean of the last ``k`` dated sessions (inclusive) in date order."""
     keys = list(group_cols)
-    w = Window.partitionBy(*keys).orderBy("session_date", "transcript_idx").rowsBetween(-(k - 1), 0)
-    d = facts.where(F.col("session_date").isNotNull())
-    return d.select(*keys, "session_key", "session_date", value, F.avg(value).over(w).alias("moving_avg"))
+    d = rank_within(facts.where(F.col("session_date").isNotNull()).select(
+        *keys, "session_key", "session_date", "transcript_idx", value), keys, "transcript_idx", "_rk", "_n")
+    d = with_offsets(d, keys, "_rk", [value], [-o for o in range(k - 1, 0, -1)])
+    prev = [F.col(f"{value}_m{o}") for o in range(k - 1, 0, -1)]  # oldest first, as a window sums
+    total = F.lit(0.0)
+    for c in prev:
+        total = total + F.coalesce(c, F.lit(0.0))
+    total = total + F.col(value)
+    n = F.lit(1)
+    for c in prev:
+        n = n + F.when(c.isNotNull(), 1).otherwise(0)
+    return d.select(*keys, "session_key", "session_date", value, (total / n).alias("moving_avg"))
 
 
 def linear_trend(facts: DataFrame, group_cols: Sequence[str] = (), value: str = "avg_compound") -> DataFrame:
@@ -339,23 +359,26 @@ def change_flags(facts: DataFrame, threshold: float = 0.05, group_cols: Sequence
                  value: str = "avg_compound") -> DataFrame:
     """D3: change from the previous session (index order) and a flag when |change| > threshold."""
     keys = list(group_cols)
-    w = Window.partitionBy(*keys).orderBy("transcript_idx")
-    delta = F.col(value) - F.lag(value).over(w)
-    return facts.select(*keys, "session_key", "transcript_idx", value, delta.alias("delta")) \
+    r = rank_within(facts.select(*keys, "session_key", "transcript_idx", value), keys, "transcript_idx",
+                    "_rk", "_n")
+    r = with_offsets(r, keys, "_rk", [value], [-1])
+    delta = F.col(value) - F.col(f"{value}_m1")
+    return r.select(*keys, "session_key", "transcript_idx", value, delta.alias("delta")) \
         .withColumn("significant", F.abs("delta") > threshold)
 
 
 def emotional_peaks(scored: DataFrame, session_keys: Sequence[str] = ("session_key",)) -> DataFrame:
     """Local maxima/minima of compound and label transitions inside a session."""
     keys = list(session_keys)
-    w = Window.partitionBy(*keys).orderBy("dialogue_idx")
+    r = rank_within(scored.select(*keys, "dialogue_idx", "compound_score", "sentiment_category"),
+                    keys, "dialogue_idx", "_rk", "_n")
+    r = with_offsets(r, keys, "_rk", ["compound_score", "sentiment_category"], [-1, 1])
     c = F.col("compound_score")
-    prv, nxt = F.lag(c).over(w), F.lead(c).over(w)
-    return scored.select(*keys, "dialogue_idx", "compound_score", "sentiment_category",
-                         F.when((c > prv) & (c > nxt), "peak").when((c < prv) & (c < nxt), "trough")
-                          .alias("extremum"),
-                         (F.lag("sentiment_category").over(w) != F.col("sentiment_category"))
-                          .alias("transition"))
+    prv, nxt = F.col("compound_score_m1"), F.col("compound_score_p1")
+    return r.select(*keys, "dialogue_idx", "compound_score", "sentiment_category",
+                    F.when((c > prv) & (c > nxt), "peak").when((c < prv) & (c < nxt), "trough")
+                     .alias("extremum"),
+                    (F.col("sentiment_category_m1") != F.col("sentiment_category")).alias("transition"))
 
 
 def speaker_by_session(scored: DataFrame, speakers: Sequence[str] = ("Client", "Therapist"),
