@@ -8,29 +8,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import with_scalar
+
 
 def sentiment_over_time(session_sent: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
     """V1: dated sessions in date order plus y-axis bounds (min(min,-0.1), max(max,0.1), 10 % padding)."""
-    keys = list(group_cols) or ["_g"]
-    d = session_sent.where(F.col("session_date").isNotNull()).withColumn("_g", F.lit(0))
+    keys = list(group_cols)
+    d = session_sent.where(F.col("session_date").isNotNull())
     b = d.groupBy(*keys).agg(F.least(F.min("avg_compound"), F.lit(-0.1)).alias("_lo"),
                              F.greatest(F.max("avg_compound"), F.lit(0.1)).alias("_hi"))
     pad = (F.col("_hi") - F.col("_lo")) * 0.1
     b = b.select(*keys, (F.col("_lo") - pad).alias("y_min"), (F.col("_hi") + pad).alias("y_max"))
-    j = d.join(F.broadcast(b), keys)  # one bounds row per group
-    return j.select(*[k for k in keys if k != "_g"], "session_key", "session_date", "avg_compound", "overall_sentiment", "y_min", "y_max")
+    j = d.join(b, keys) if keys else with_scalar(d, b)  # one bounds row per group
+    return j.select(*keys, "session_key", "session_date", "avg_compound", "overall_sentiment", "y_min", "y_max")
 
 
 def compound_histogram(scored: DataFrame, bins: int = 30, group_cols: Sequence[str] = ()) -> DataFrame:
     """V2: equal-width bins over the data range (maximum in the last bin; lo == hi -> bin 1)."""
-    keys = list(group_cols) or ["_g"]
-    scored = scored.withColumn("_g", F.lit(0))
+    keys = list(group_cols)
     r = scored.groupBy(*keys).agg(F.min("compound_score").alias("lo"), F.max("compound_score").alias("hi"))
-    j = scored.join(F.broadcast(r), keys)  # one range row per group
+    j = scored.join(r, keys) if keys else with_scalar(scored, r)  # one range row per group
     width = (F.col("hi") - F.col("lo")) / bins
     b = F.when(F.col("hi") == F.col("lo"), 1).otherwise(
         F.least(F.floor((F.col("compound_score") - F.col("lo")) / width) + 1, F.lit(bins)))
-    out = [k for k in keys if k != "_g"]
+    out = keys
     return j.groupBy(*keys, b.cast("int").alias("bin")).agg(
         F.count(F.lit(1)).alias("count"), F.min("lo").alias("lo"), F.min("hi").alias("hi")) \
         .select(*out, "bin", (F.col("lo") + (F.col("bin") - 1) * (F.col("hi") - F.col("lo")) / bins).alias("bin_start"),

@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 
 from ..functions import labels as lb
 from ..functions.ordering import rank_within, with_offsets
+from ..session import with_scalar
 
 # Rule texts of the reports.
 TXT_SESSION_POSITIVE = "The session had a positive emotional tone, suggesting constructive engagement."
@@ -217,10 +218,8 @@ def corpus_trend(facts: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
     )
     if keys:
         agg = agg.join(last3, keys, "left").join(vol, keys, "left")
-    else:
-        agg = agg.withColumn("_g", F.lit(0)) \
-            .join(F.broadcast(last3.withColumn("_g", F.lit(0))), "_g", "left") \
-            .join(F.broadcast(vol.withColumn("_g", F.lit(0))), "_g", "left").drop("_g")
+    else:  # single client: the two one-row roll-ups are attached as literals
+        agg = with_scalar(with_scalar(agg, last3), vol)
     change = F.col("last_compound") - F.col("first_compound")
     vol = F.coalesce(F.col("_vol"), F.lit(0.0))
     has = F.col("dated_sessions") > 0

@@ -79,10 +79,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
 
 
 def with_scalar(df: DataFrame, scalar: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row aggregate to every row (broadcast join on a constant key)."""
-    a = df.withColumn("_one", F.lit(1))
-    b = scalar.withColumn("_one", F.lit(1))
-    return a.join(F.broadcast(b), "_one").drop("_one")
+    """Attach the columns of a one-row aggregate to every row, as literals.
+
+    The aggregate is one small job; joining it instead would be a cross join
+    (Catalyst folds a constant join key into a nested-loop join).
+    """
+    row = scalar.first()
+    return df.select("*", *[F.lit(row[c]).alias(c) for c in scalar.columns])
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
