@@ -45,9 +45,10 @@ def density_curve(hist: DataFrame, grid: int = 200, bandwidth: float = 0.1) -> D
     so the work is bins x grid whatever the data size.
     """
     tot = hist.agg(F.sum("count")).first()[0] or 1
-    e = hist.select("bin_start", "count", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))
+    half = hist.agg(((F.max("bin_start") - F.min("bin_start")) / F.greatest(F.max("bin") - F.min("bin"), F.lit(1)) / 2)).first()[0] or 0.0
+    e = hist.select((F.col("bin_start") + half).alias("centre"), "count", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))
     x = F.lit(-1.0) + F.col("i") * (2.0 / (grid - 1))
-    k = F.exp(-0.5 * F.pow((x - F.col("bin_start")) / bandwidth, 2))
+    k = F.exp(-0.5 * F.pow((x - F.col("centre")) / bandwidth, 2))
     return e.groupBy(x.alias("x")).agg(
         (F.sum(F.col("count") * k) / (tot * bandwidth * 2.5066282746310002)).alias("density"))
 

@@ -101,8 +101,7 @@ def _terms_str(terms: Column, n: int) -> Column:
 
 # ---------------------------------------------------------- R1, R3-R10
 def session_facts(sessions: DataFrame, session_sent: DataFrame, progression: DataFrame | None,
-                  transcript_topics: DataFrame | None, topic_terms: DataFrame | None,
-                  highlight_count: int = 5) -> DataFrame:
+                  transcript_topics: DataFrame | None, topic_terms: DataFrame | None) -> DataFrame:
     """One row per session with everything the session report needs.
 
     ``sessions`` must carry ``session_key`` and ``transcript_idx``;
@@ -173,8 +172,8 @@ def session_facts(sessions: DataFrame, session_sent: DataFrame, progression: Dat
         pct("negative_count").alias("negative_pct"),
         F.slice(F.coalesce("topic_distribution", F.array()), 2, 3).alias("secondary_topics"),
         insights.alias("insights_all"),
-        F.slice(insights, 1, highlight_count).alias("insights"),
-        F.slice(recs, 1, highlight_count).alias("recommendations"),
+        insights.alias("insights"),
+        recs.alias("recommendations"),
     )
 
 

@@ -57,8 +57,9 @@ def session_reports(facts: DataFrame, opts: ReportOptions = ReportOptions(),
     sec = F.coalesce("secondary_topics", F.array())
     sec_lines = F.transform(sec, lambda t: F.concat(F.lit("  - Topic "), t["topic_id"].cast("string"),
                                                     F.lit(": "), _f("%.3f", t["prob"])))
-    ins = F.coalesce("insights", F.array().cast("array<string>"))
-    recs = F.coalesce("recommendations", F.array().cast("array<string>"))
+    # The text prints the first few, the stored lists stay whole
+    ins = F.slice(F.coalesce("insights", F.array().cast("array<string>")), 1, opts.highlight_count)
+    recs = F.slice(F.coalesce("recommendations", F.array().cast("array<string>")), 1, opts.highlight_count)
     lines = F.flatten(F.array(
         F.array(F.concat(F.lit("# Session "), num, F.lit(" Report ("), date, F.lit(")")), F.lit(""),
                 F.lit("## Session Information"), F.lit(""), F.concat(F.lit("- **Date**: "), date),

@@ -176,12 +176,12 @@ def score_utterances(utterances: DataFrame, lexicon: DataFrame, boosters: DataFr
                 (F.col("v") + signed(F.col("v"), "b1")) * F.when(F.col("n1"), NEGATION_SCALAR).otherwise(1.0)
                 ).otherwise(F.col("v"))
     r = r.select(*base, x1.alias("x1"))
-    amp1 = ((F.col("t2") == "never") & (F.col("t1") == "so")) | (F.col("t1") == "this")
+    amp1 = (F.col("t2") == "never") & F.col("t1").isin("so", "this")
     x2 = F.when((F.col("p") > 1) & ~F.col("l2"),
                 (F.col("x1") + signed(F.col("x1"), "b2") * 0.95)
                 * F.when(amp1, 1.5).when(F.col("n2"), NEGATION_SCALAR).otherwise(1.0)).otherwise(F.col("x1"))
     r = r.select(*base, x2.alias("x2"))
-    amp2 = (((F.col("t3") == "never") & F.col("t2").isin("so", "this")) | F.col("t1").isin("so", "this"))
+    amp2 = (F.col("t3") == "never") & (F.col("t2").isin("so", "this") | F.col("t1").isin("so", "this"))
     v3 = (F.col("x2") + signed(F.col("x2"), "b3") * 0.9) * \
         F.when(amp2, 1.25).when(F.col("n3"), NEGATION_SCALAR).otherwise(1.0)
     idiom_map = _phrase_map(idioms or [])

@@ -58,7 +58,7 @@ def document_frequency(docs: DataFrame) -> DataFrame:
 
 
 def vocabulary(docs: DataFrame, opts: TopicOptions = TopicOptions()) -> DataFrame:
-    """Keep ``min_df <= df <= floor(max_df * N)``; at most ``max_vocab`` terms by df.
+    """Keep ``min_df <= df <= floor(max_df * N)``; at most ``max_vocab`` terms by df if that is set.
 
     ``N`` is a one-row aggregate joined on a constant key; the ranking for the cap is a global top-k
     (bounded by ``max_vocab``), ties by term.  Output (term, df, term_index).
@@ -68,8 +68,9 @@ def vocabulary(docs: DataFrame, opts: TopicOptions = TopicOptions()) -> DataFram
     kept = with_scalar(document_frequency(docs), n) \
         .where((F.col("df") >= opts.min_df) & (F.col("df") <= upper)).drop("_n")
     w = Window.orderBy(F.col("df").desc(), F.col("term").asc())
-    return kept.orderBy(F.col("df").desc(), F.col("term").asc()).limit(opts.max_vocab) \
-        .withColumn("term_index", (F.row_number().over(w) - 1).cast("int"))
+    if opts.max_vocab is not None:
+        kept = kept.orderBy(F.col("df").desc(), F.col("term").asc()).limit(opts.max_vocab)
+    return kept.withColumn("term_index", (F.row_number().over(w) - 1).cast("int"))
 
 
 # ------------------------------------------------------------------ T4
@@ -118,7 +119,7 @@ def fit_topics(docs: DataFrame, opts: TopicOptions = TopicOptions(),
     terms = [r["term"] for r in vocab.orderBy("term_index").select("term").collect()]
     if len(terms) < 10:
         logging.getLogger(__name__).warning(
-            "vocabulary has only %d terms after filtering; consider adjusting min_df/max_df", len(terms))
+            "topic model on a vocabulary of %d terms (document frequencies %s to %s)", len(terms), opts.min_df, opts.max_df)
     if not terms:
         return None
     cv = CountVectorizerModel.from_vocabulary(terms, inputCol="tokens", outputCol="features")
@@ -127,11 +128,10 @@ def fit_topics(docs: DataFrame, opts: TopicOptions = TopicOptions(),
     if n_docs == 0:
         feats.unpersist()
         return None
-    chunk = 2000
-    rate = min(1.0, chunk / n_docs)
-    iters = opts.passes * max(1, math.ceil(n_docs / chunk))
+    # a mini-batch is a fixed share of the documents, so the number of jobs does not grow with them
+    iters = max(1, math.ceil(opts.passes / opts.batch_share))
     lda = LDA(k=opts.num_topics, maxIter=iters, optimizer="online", learningOffset=1.0,
-              learningDecay=0.5, subsamplingRate=rate, optimizeDocConcentration=True,
+              learningDecay=0.5, subsamplingRate=opts.batch_share, optimizeDocConcentration=True,
               topicConcentration=1.0 / opts.num_topics, seed=opts.seed, featuresCol="features",
               topicDistributionCol="topicDistribution")
     model = lda.fit(feats)

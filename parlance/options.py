@@ -46,7 +46,8 @@ class TopicOptions:
     passes: int = 10
     min_df: int = 5
     max_df: float = 0.9
-    max_vocab: int = 100_000
+    max_vocab: int | None = None
+    batch_share: float = 0.25
     top_terms: int = 20
     min_prob: float = 0.01
     seed: int = 42
@@ -74,12 +75,7 @@ class EnrichOptions:
     content_chars: int = 4000
     temperature: float = 0.3
     max_tokens: int = 1000
-    system_prompt: str = (
-        "You are an expert therapist with extensive training in psychology, cognitive "
-        "behavioral therapy, and psychoanalysis. Your task is to analyze therapy session "
-        "transcripts and provide insightful, professional observations about client "
-        "patterns, emotional states, and potential therapeutic directions."
-    )
+    system_prompt: str | None = None
     compat: bool = False
     partitions: int | None = None
     extra: dict = field(default_factory=dict)

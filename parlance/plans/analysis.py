@@ -74,7 +74,7 @@ def analyze(spark: SparkSession, sessions: DataFrame, utterances: DataFrame, lex
         ttop = dtop.where(F.col("doc_type") == "transcript")
     else:
         terms = dtop = prev = coh = ttop = None
-    facts = pg.session_facts(sessions, ss, prog, ttop, terms, report_opts.highlight_count)
+    facts = pg.session_facts(sessions, ss, prog, ttop, terms)
     trend = pg.corpus_trend(facts, keys)
     enrichment = None
     if completer is not None and report_opts.include_enrichment:

@@ -126,11 +126,41 @@ def transcript_roundtrip(spark, sf_dir):
     c = read(spark, sf_dir, "conversations")
     lines = F.array_sort(F.collect_list(F.struct("turn", F.concat_ws(": ", "role", "text").alias("l"))))
     files = c.groupBy("conv_id").agg(F.array_join(F.transform(lines, lambda x: x["l"]), "\n\n").alias("content"))
-    parsed = files.select(F.col("conv_id").alias("session_key"),
-                          tr.colon_dialogue(F.col("content")).alias("dialogue"))
+    parsed = tr.colon_dialogue(files.select(F.col("conv_id").alias("session_key"), "content"), "content")
     return tr.utterances_of(parsed)
 
 
+@register("transcript_roundtrip_long", """
+WITH l AS (SELECT conv_id % 5 AS session_key, role,
+                  array_to_string(list_filter(string_split(regexp_replace(text, '^\\s+', ''), chr(10)),
+                                              lambda l: regexp_matches(l, '\\S')), ' ') AS text,
+                  row_number() OVER (PARTITION BY conv_id % 5 ORDER BY conv_id, turn) - 1 AS dialogue_idx
+           FROM conversations)
+SELECT session_key, CAST(dialogue_idx AS BIGINT) AS dialogue_idx, role AS speaker, text FROM l""")
+def transcript_roundtrip_long(spark, sf_dir):
+    """S6 on long files: every fifth conversation goes into one transcript, parsed back as a whole."""
+    c = read(spark, sf_dir, "conversations")
+    lines = F.array_sort(F.collect_list(F.struct("conv_id", "turn", F.concat_ws(": ", "role", "text").alias("l"))))
+    files = c.groupBy((F.col("conv_id") % 5).alias("session_key")).agg(
+        F.array_join(F.transform(lines, lambda x: x["l"]), "\n\n").alias("content"))
+    return tr.utterances_of(tr.colon_dialogue(files, "content"))
+
+
+@register("transcript_roundtrip_bold", """
+SELECT conv_id AS session_key, CAST(turn AS BIGINT) AS dialogue_idx, role AS speaker,
+       array_to_string(list_transform(list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '\\S')),
+                                      lambda l: trim(l, ' ' || chr(9) || chr(13))), ' ') AS text
+FROM conversations""")
+def transcript_roundtrip_bold(spark, sf_dir):
+    """Render each conversation with ``**role**`` lines, parse it back."""
+    c = read(spark, sf_dir, "conversations")
+    lines = F.array_sort(F.collect_list(F.struct("turn", F.concat(
+        F.lit("**"), F.col("role"), F.lit("**\n\n"), F.col("text")).alias("l"))))
+    files = c.groupBy(F.col("conv_id").alias("session_key")).agg(
+        F.array_join(F.transform(lines, lambda x: x["l"]), "\n\n").alias("content"))
+    return tr.utterances_of(tr.bold_dialogue(files, "content"))
+
+
 @register("file_name_fields", """
 WITH n AS (SELECT DISTINCT conv_id,
   CASE WHEN conv_id % 5 = 0 THEN '2023-02-30_session_' || CAST(conv_id AS VARCHAR) || '.txt'

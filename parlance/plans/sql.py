@@ -85,11 +85,11 @@ s1 AS (SELECT *, CASE WHEN pos > 0 AND v1 IS NULL THEN
         ELSE v END AS x1 FROM w),
 s2 AS (SELECT *, CASE WHEN pos > 1 AND v2 IS NULL THEN
           (x1 + CASE WHEN x1 < 0 THEN -b2 ELSE b2 END * 0.95)
-          * CASE WHEN (t2 = 'never' AND t1 = 'so') OR t1 = 'this' THEN 1.5 WHEN n2 THEN -0.74 ELSE 1 END
+          * CASE WHEN t2 = 'never' AND t1 IN ('so', 'this') THEN 1.5 WHEN n2 THEN -0.74 ELSE 1 END
         ELSE x1 END AS x2 FROM s1),
 s3 AS (SELECT *, CASE WHEN pos > 2 AND v3 IS NULL THEN
           (x2 + CASE WHEN x2 < 0 THEN -b3 ELSE b3 END * 0.9)
-          * CASE WHEN (t3 = 'never' AND t2 IN ('so', 'this')) OR t1 IN ('so', 'this') THEN 1.25
+          * CASE WHEN t3 = 'never' AND (t2 IN ('so', 'this') OR t1 IN ('so', 'this')) THEN 1.25
                  WHEN n3 THEN -0.74 ELSE 1 END
           + CASE WHEN list_contains({bigrams}, t3 || ' ' || t2) OR list_contains({bigrams}, t2 || ' ' || t1)
                  THEN -0.293 ELSE 0 END

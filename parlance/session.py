@@ -8,18 +8,15 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Reference tables (lexicon, stop words, lemmas, idioms) are dimension tables:
-# they are broadcast only when their row count is below this bound; above it
-# the join falls back to a shuffle join chosen by Catalyst/AQE.
-MAX_BROADCAST_ROWS = 2_000_000
-
-
 def get_spark(master: str | None = None, app: str = "parlance",
               shuffle_partitions: int | None = None) -> SparkSession:
-    """Create (or reuse) a session with the settings the library relies on."""
-    master = master or os.environ.get("PARLANCE_MASTER", "local[*]")
+    """Create (or reuse) a session with the settings the library relies on.
+
+    The master and the driver's memory are set only when asked for, here or by PARLANCE_MASTER and
+    PARLANCE_DRIVER_MEMORY: settings made in a program would override those of ``spark-submit``.
+    """
     builder = (
-        SparkSession.builder.master(master).appName(app)
+        SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
@@ -27,8 +24,14 @@ def get_spark(master: str | None = None, app: str = "parlance",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("PARLANCE_DRIVER_MEMORY", "16g"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
+    master = master or os.environ.get("PARLANCE_MASTER")
+    if master:
+        builder = builder.master(master)
+    memory = os.environ.get("PARLANCE_DRIVER_MEMORY") or ("16g" if (master or "").startswith("local") else None)
+    if memory:
+        builder = builder.config("spark.driver.memory", memory)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
@@ -41,10 +44,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared folder and is used as is.  Only
-    when it is unset (local tests) do we create one under the temp folder.
+    when it is unset and the master is local do we create one under the temp
+    folder; on a cluster that folder would be another one on every machine.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="parlance-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -62,20 +68,14 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                       max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only after checking the table's size.
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only when Catalyst's size estimate is within ``max_bytes``.
 
-    Used for user-supplied dictionaries whose size is not known up front.
-    First Catalyst's size estimate (no job); when that is over ``max_bytes``
-    the rows are counted, and a table over ``max_rows`` is left to a regular
-    shuffle join.
+    Used for user-supplied dictionaries whose size is not known up front.  The estimate is an upper
+    bound and costs no job; beyond the bound, or without an estimate, the join is left to Spark.
     """
     est = estimated_bytes(df)
-    if est is not None and est <= max_bytes:
-        return F.broadcast(df)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if est is not None and est <= max_bytes else df
 
 
 def with_scalar(df: DataFrame, scalar: DataFrame) -> DataFrame:

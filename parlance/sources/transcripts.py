@@ -79,11 +79,26 @@ def front_matter(content: Column) -> tuple[Column, Column]:
     return meta, rest
 
 
-def _segments(lines: Column, is_speaker, speaker_of, first_piece, piece) -> Column:
-    """Generic line segmentation: a speaker line opens a segment that runs to the next one."""
-    n = F.size(lines)
-    starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: is_speaker(F.element_at(lines, i + 1)))
-    m = F.size(starts)
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column computed once per row.
+
+    The one-row generator keeps Catalyst from inlining the expression into the lambda functions that
+    read the column, where it would be evaluated again for every line.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def _segments(df: DataFrame, content: str, name: str, is_speaker, speaker_of, first_piece, piece) -> DataFrame:
+    """Generic line segmentation: a speaker line opens a segment that runs to the next one.
+
+    Linear in the lines of a file: the lines and the positions of speaker lines are columns of
+    their own, and each segment is one slice.
+    """
+    keep = df.columns
+    df = _once(df, "_lines", F.split(F.col(content), "\n"))
+    lines, starts = F.col("_lines"), F.col("_starts")
+    df = _once(df, "_starts", F.filter(F.transform(lines, lambda l, i: F.when(is_speaker(l), i)), lambda i: i.isNotNull()))
+    n, m = F.size(lines), F.size(starts)
 
     def seg(p, k):
         end = F.when(k + 1 < m, F.element_at(starts, k + 2)).otherwise(n)
@@ -94,12 +109,14 @@ def _segments(lines: Column, is_speaker, speaker_of, first_piece, piece) -> Colu
                         F.size(pieces).alias("_n"))
 
     segs = F.transform(starts, seg)
-    keep = F.filter(segs, lambda s: (s["_n"] > 0) & (F.length(s["speaker"]) > 0))
-    return F.transform(keep, lambda s: F.struct(s["speaker"].alias("speaker"), s["text"].alias("text")))
+    full = F.filter(segs, lambda s: (s["_n"] > 0) & (F.length(s["speaker"]) > 0))
+    return df.select(*keep, F.transform(full, lambda s: F.struct(
+        s["speaker"].alias("speaker"), s["text"].alias("text"))).alias(name))
 
 
-def colon_dialogue(content: Column, speakers: tuple[str, ...] | None = None) -> Column:
-    """``Speaker: text`` lines; continuation lines appended unstripped; blanks dropped.
+def colon_dialogue(df: DataFrame, content: str, speakers: tuple[str, ...] | None = None,
+                   name: str = "dialogue") -> DataFrame:
+    """S6 (adds the column ``name``): ``Speaker: text`` lines; continuation lines appended unstripped; blanks dropped.
 
     ``speakers`` (optional allow-list): only these names open a segment, so a
     prose line such as ``I said: fine`` stays a continuation line.
@@ -116,12 +133,12 @@ def colon_dialogue(content: Column, speakers: tuple[str, ...] | None = None) ->
             m = m & F.regexp_extract(line, SPEAKER_RE, 1).isin(list(speakers))
         return m
 
-    return _segments(F.split(content, "\n"), is_speaker,
+    return _segments(df, content, name, is_speaker,
                      lambda l: F.regexp_extract(l, SPEAKER_RE, 1), first_piece, lambda l: l)
 
 
-def bold_dialogue(content: Column, compat: bool = False) -> Column:
-    """``**Speaker**`` lines; following non-blank lines appended stripped.
+def bold_dialogue(df: DataFrame, content: str, compat: bool = False, name: str = "dialogue") -> DataFrame:
+    """S7 (adds the column ``name``): ``**Speaker**`` lines; following non-blank lines appended stripped.
 
     ``compat=True`` keeps the literal name rule (``strip()[2:-2].strip()``:
     ``**Client:**`` -> ``Client:``, inline text after ``**`` lost); the default
@@ -135,11 +152,11 @@ def bold_dialogue(content: Column, compat: bool = False) -> Column:
         return strip_py(s.substr(F.lit(3), F.length(s) - 4))
 
     if compat:
-        return _segments(F.split(content, "\n"), is_spk, literal_name, lambda l: empty,
+        return _segments(df, content, name, is_spk, literal_name, lambda l: empty,
                          lambda l: strip_py(l))
     bold = r"(?Us)^\s*\*\*(.*?)\*\*\s*:?(.*)$"
 
-    def name(l):
+    def speaker(l):
         g = F.regexp_extract(l, bold, 1)
         fixed = strip_py(F.regexp_replace(strip_py(g), r":$", ""))
         return F.when(l.rlike(bold), fixed).otherwise(literal_name(l))
@@ -148,7 +165,7 @@ def bold_dialogue(content: Column, compat: bool = False) -> Column:
         inline = strip_py(F.regexp_extract(l, bold, 2))
         return F.when(l.rlike(bold) & (inline != ""), F.array(inline)).otherwise(empty)
 
-    return _segments(F.split(content, "\n"), is_spk, name, first_piece, lambda l: strip_py(l))
+    return _segments(df, content, name, is_spk, speaker, first_piece, lambda l: strip_py(l))
 
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -179,16 +196,15 @@ def parse(files: DataFrame, fmt: str, compat: bool = False,
     if fmt == "mdx":
         meta, rest = front_matter(F.col("content"))
         s = files.select(*base, meta.alias("metadata"), rest.alias("raw_content"), *dates)
-        s = s.withColumn("dialogue", colon_dialogue(F.col("raw_content"), speakers))
-        return s, None
+        return colon_dialogue(s, "raw_content", speakers), None
     if fmt in ("txt", "text"):
         s = files.select(*base, empty_meta.alias("metadata"), F.col("content").alias("raw_content"),
-                         *dates, colon_dialogue(F.col("content"), speakers).alias("dialogue"))
-        return s, None
+                         *dates)
+        return colon_dialogue(s, "raw_content", speakers), None
     if fmt == "md":
         s = files.select(*base, empty_meta.alias("metadata"), F.col("content").alias("raw_content"),
-                         *dates, bold_dialogue(F.col("content"), compat).alias("dialogue"))
-        return s, None
+                         *dates)
+        return bold_dialogue(s, "raw_content", compat), None
     if fmt == "json":
         j = files.select(*base, *dates, F.from_json(
             "content", JSON_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
