@@ -147,6 +147,23 @@ def test_lines_equal_brute_force(spark):
     assert all(r["text"].count("\n") == 1 - r["n_dropped"] or r["n_dropped"] == 2 for r in got)
 
 
+def test_line_simhash_equals_brute_force(spark):
+    import xxhash
+    rng = random.Random(13)
+    cases = [[str(rng.randrange(10 ** 6)) for _ in range(n)] for n in (1, 2, 3, 31, 32, 2047, 2048, 4094, 9000)]
+    cases += [["same"] * n for n in (1, 2047, 2048, 5000)]
+    rows = [(i, w) for i, w in enumerate(cases)] + [(6, cases[6])] * 3 + [(4, cases[4])] * 70 + [(None, cases[0])]
+    got = lines.simhashes(spark.createDataFrame(rows, "id long, w array<string>"), "w").collect()
+
+    def brute(words):
+        h = [xxhash.xxh64_intdigest(w, 42) for w in words]
+        return sum(1 << b for b in range(60) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    want = {i: brute(w) for i, w in rows}
+    assert sorted(str(r["id"]) for r in got) == sorted(str(i) for i, _ in rows)
+    assert all(r["__fp"] == want[r["id"]] for r in got)
+
+
 def test_lines_odd(odd, none):
     got = lines.dedup_lines(odd)
     assert lines.dedup_lines(none).count() == 0 and set(odd.columns) <= set(got.columns)
