@@ -164,6 +164,23 @@ def test_line_simhash_equals_brute_force(spark):
     assert all(r["__fp"] == want[r["id"]] for r in got)
 
 
+def test_line_similarity_equals_brute_force(spark):
+    rng = random.Random(14)
+    word = lambda: "".join(rng.choice("abß") for _ in range(rng.randint(1, 4)))
+    rows = [("x y", "x z y"), ("x", "x"), ("x x", "x x x"), ("x x x", "x x"), ("a", "b"), ("é", "é é")]
+    for _ in range(300):
+        a = [word() for _ in range(rng.randint(1, 25))]
+        b = list(a)
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(b) + 1)
+            b[at:at + rng.randint(0, 1)] = [word()] if rng.random() < 0.7 or len(b) < 2 else []
+        rows.append((" ".join(a), " ".join(b or a)))
+    got = lines.with_similar(spark.createDataFrame(rows, "l string, r string"), "l", "r", 0.8, "ok").collect()
+    near = lambda a, b: levenshtein(a, b) <= int(max(len(a), len(b)) * 0.2 + 1e-9)
+    assert sorted((r["l"], r["r"], r["ok"]) for r in got) == sorted((a, b, near(a, b)) for a, b in rows)
+    assert 50 < sum(r["ok"] for r in got) < len(rows)
+
+
 def test_lines_odd(odd, none):
     got = lines.dedup_lines(odd)
     assert lines.dedup_lines(none).count() == 0 and set(odd.columns) <= set(got.columns)
