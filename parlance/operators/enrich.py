@@ -121,7 +121,7 @@ def topic_highlights(transcript_topics: DataFrame, topic_terms: DataFrame | None
 
 def analysis_prompts(content: DataFrame, sentiment_info: DataFrame, topic_info: DataFrame,
                      opts: EnrichOptions = EnrichOptions()) -> DataFrame:
-    """Combined prompt with content cut to ``content_chars`` (+ '...').
+    """Combined prompt with content cut to ``content_chars`` (+ '...'); error row without content.
 
     The default always sends the full prompt; ``compat=True`` reproduces the
     precedence slip where content of at most ``content_chars`` is sent alone.
@@ -136,7 +136,9 @@ def analysis_prompts(content: DataFrame, sentiment_info: DataFrame, topic_info:
                     F.lit("\n\nTOPIC ANALYSIS:\n"), F.coalesce("topic_info", F.lit(NO_TOPIC)),
                     F.lit("\n\nTRANSCRIPT:\n"), body)
     prompt = F.when(long, full).otherwise(F.col("content")) if opts.compat else full
-    return j.select("session_key", prompt.alias("prompt"), F.lit(None).cast("string").alias("error"))
+    ok = F.length("content") > 0
+    return j.select("session_key", F.when(ok, prompt).alias("prompt"),
+                    F.when(~ok, "No content found in transcript").alias("error"))
 
 
 def progress_prompts(sessions: DataFrame, utterances: DataFrame, sentiment_info: DataFrame,
@@ -178,8 +180,9 @@ def complete(prompts: DataFrame, completer: Callable[[list[str]], list[str]],
              opts: EnrichOptions = EnrichOptions(), model: str = "custom") -> DataFrame:
     """Run ``completer`` over prompt batches on executors (``mapInPandas``).
 
-    Rows with an error or null prompt are passed through; a failed batch
-    yields null replies with the error text (L10).
+    Rows with an error or null prompt are passed through; the prompts of a failed
+    batch are tried again one by one, and those that fail yield null replies with the
+    error text (L10).
     """
     schema = prompts.schema.simpleString()[len("struct<"):-1] + ",response:string,model:string"
     if "error" not in prompts.columns:
@@ -194,8 +197,12 @@ def complete(prompts: DataFrame, completer: Callable[[list[str]], list[str]],
                 try:
                     replies = completer(pdf.loc[todo, "prompt"].tolist())
                     out.loc[todo] = replies
-                except Exception as e:  # noqa: BLE001 -- isolate the failure to these rows
-                    pdf.loc[todo, "error"] = f"Failed to get response: {e}"
+                except Exception:  # noqa: BLE001 -- one prompt at a time, so that only failing ones have no reply
+                    for i in pdf.index[todo]:
+                        try:
+                            out.loc[i] = completer([pdf.at[i, "prompt"]])[0]
+                        except Exception as e:  # noqa: BLE001
+                            pdf.loc[i, "error"] = f"Failed to get response: {e}"
             pdf["response"] = out
             pdf["model"] = model
             yield pdf

@@ -32,8 +32,11 @@ def _date_str(c: Column, missing: str) -> Column:
 
 
 def session_reports(facts: DataFrame, opts: ReportOptions = ReportOptions(),
-                    enrichment: DataFrame | None = None) -> DataFrame:
-    """Markdown text of every session report (``report_name``, ``content``)."""
+                    enrichment: DataFrame | None = None, group_cols: Sequence[str] = ("patient_id",)) -> DataFrame:
+    """Markdown text of every session report (``report_name``, ``content``).
+
+    The columns of ``group_cols`` that the facts have say whose session it is.
+    """
     f = facts
     if enrichment is not None and opts.include_enrichment:
         f = f.join(enrichment, "session_key", "left")
@@ -109,7 +112,7 @@ def session_reports(facts: DataFrame, opts: ReportOptions = ReportOptions(),
         _enrichment_lines(f, opts),
         F.array(F.lit(""), F.lit("---"), F.lit(""), F.lit(f"*Report generated at {opts.generated_at}*")),
     ))
-    return f.select(*[c for c in ("patient_id",) if c in f.columns], "session_key",
+    return f.select(*[c for c in group_cols if c in f.columns], "session_key",
                     F.concat(F.lit("session_"), num).alias("report_name"),
                     F.array_join(lines, "\n").alias("content"),
                     F.col("insights"), F.col("recommendations"))

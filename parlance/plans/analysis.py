@@ -85,7 +85,7 @@ def analyze(spark: SparkSession, sessions: DataFrame, utterances: DataFrame, lex
                                    F.col("p.insights").alias("enriched_insights"),
                                    F.col("p.emotional_themes").alias("enriched_themes"),
                                    F.col("p.therapeutic_focus").alias("enriched_focus"))
-    session_rep = rp.session_reports(facts, report_opts, enrichment)
+    session_rep = rp.session_reports(facts, report_opts, enrichment, keys)
     overall = rp.overall_reports(
         facts, trend,
         pg.recurrent_topic(facts.select(*keys, "dominant_topic"), keys) if ttop is not None else None,
@@ -136,6 +136,5 @@ def write_outputs(a: Analysis, out: str, report_format: str = "md") -> None:
         df.write.mode("overwrite").parquet(os.path.join(out, name))
     for name, df in a.charts.items():
         df.write.mode("overwrite").parquet(os.path.join(out, "charts", name))
-    sinks.write_reports(a.reports.select("report_name", "content"), os.path.join(out, "reports"), report_format)
-    sinks.write_reports(a.reports.select("report_name", "content"), os.path.join(out, "report_text"),
-                        report_format, as_text_files=True)
+    sinks.write_reports(a.reports, os.path.join(out, "reports"), report_format)
+    sinks.write_reports(a.reports, os.path.join(out, "report_text"), report_format, as_text_files=True)

@@ -53,12 +53,13 @@ def report_file_name(name, fmt: str, stamp: str):
 
 def write_reports(reports: DataFrame, path: str, fmt: str = "md", as_text_files: bool = False,
                   mode: str = "overwrite"):
-    """Write the reports table (``report_name, content``).
+    """Write the reports table (group columns, ``session_key, report_name, content``).
 
     Default: Parquet table.  ``as_text_files``: one text folder per report
-    (``partitionBy(report_name)``), content lines as written.
+    (``partitionBy`` the group columns, session and name), content lines as written.
     """
     if as_text_files:
-        reports.select("report_name", "content").write.mode(mode).partitionBy("report_name").text(path)
+        keys = [c for c in reports.columns if c not in ("content", "insights", "recommendations")]
+        reports.select(*keys, "content").write.mode(mode).partitionBy(*keys).text(path)
     else:
         reports.withColumn("format", F.lit(report_format(fmt))).write.mode(mode).parquet(path)

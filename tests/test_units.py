@@ -219,6 +219,11 @@ def test_sinks(spark):
     assert spark.read.parquet(os.path.join(out, "rep")).first().format == "md"
     sinks.write_reports(rep, os.path.join(out, "txt"), as_text_files=True)
     assert spark.read.text(os.path.join(out, "txt")).count() == 2
+    both = spark.createDataFrame([("p1", 1, "session_1", "a"), ("p2", 2, "session_1", "b"), ("p2", None, "overall_progress", "c")],
+                                 "patient_id string, session_key long, report_name string, content string")
+    sinks.write_reports(both, os.path.join(out, "two"), as_text_files=True)
+    got = {(r.patient_id, r.session_key, r.value) for r in spark.read.text(os.path.join(out, "two")).collect()}
+    assert got == {("p1", 1, "a"), ("p2", 2, "b"), ("p2", None, "c")}
     name = spark.range(1).select(sinks.report_file_name(F.lit("session 1"), "html", "20240101").alias("n")).first().n
     assert name == "session_1_20240101.html"
 
@@ -263,6 +268,26 @@ def test_completion_failure_is_isolated(spark):
     ok = {r.session_key: r for r in en.complete(pr, lambda ps: [p.upper() for p in ps]).collect()}
     assert ok[1].response == "P1" and ok[1].error is None
 
+    def picky(prompts):
+        if "p2" in prompts:
+            raise RuntimeError("refused")
+        return [p.upper() for p in prompts]
+
+    three = spark.createDataFrame([(1, "p1"), (2, "p2"), (3, "p3")], "session_key long, prompt string").coalesce(1)
+    out = {r.session_key: r for r in en.complete(three, picky).collect()}
+    assert [out[i].response for i in (1, 2, 3)] == ["P1", None, "P3"]
+    assert out[1].error is None and "refused" in out[2].error
+
+
+def test_analysis_prompt_without_content(spark):
+    rows = spark.createDataFrame([(1, None, 1, ""), (2, None, 2, "A: x")],
+                                 "session_key long, session_date date, session_number int, content string")
+    info = spark.createDataFrame([], "session_key long, sentiment_info string")
+    topics = spark.createDataFrame([], "session_key long, topic_info string")
+    got = {r.session_key: r for r in en.analysis_prompts(rows, info, topics).collect()}
+    assert got[1].prompt is None and got[1].error == "No content found in transcript"
+    assert got[2].prompt.endswith("A: x") and got[2].error is None
+
 
 def test_end_to_end_directory(spark):
     from parlance.options import TopicOptions
