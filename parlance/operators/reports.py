@@ -208,6 +208,7 @@ def overall_reports(facts: DataFrame, trend: DataFrame, recurrent: DataFrame | N
         F.date_format("first_date", "yyyy-MM-dd"), F.lit(" to "), F.date_format("last_date", "yyyy-MM-dd"))) \
         .otherwise(F.lit("Unknown date range"))
     has_dated = F.col("dated_sessions") > 0
+    has_themes = (F.col("_ev").isNotNull() | has_dated) if evolution is not None else F.lit(False)
     insights = F.filter(F.array(
         F.col("direction_insight"), F.col("volatility_insight"),
         F.when(F.col("consistent_terms").isNotNull(), pg._fmt(pg.INS_THEME_CONSISTENT, topic=F.col("consistent_topic"),
@@ -240,7 +241,7 @@ def overall_reports(facts: DataFrame, trend: DataFrame, recurrent: DataFrame | N
                     F.lit("|---------|------|-----------|-------|")),
             F.transform(F.coalesce("_rows", F.array()), lambda x: x["l"]), F.array(F.lit(""))))
          .otherwise(F.array().cast("array<string>")),
-        F.when(F.col("_ev").isNotNull() | has_dated, F.concat(
+        F.when(has_themes, F.concat(
             F.array(F.lit("### Theme Evolution"), F.lit(""),
                     F.lit("The following themes have shown significant changes in prevalence over time:"), F.lit("")),
             F.when(F.size(ev_lines) > 0, ev_lines).otherwise(

@@ -115,8 +115,9 @@ def analyze(spark: SparkSession, sessions: DataFrame, utterances: DataFrame, lex
 
 
 def analyze_directory(spark: SparkSession, path: str, fmt: str, lexicon: DataFrame, **kw) -> Analysis:
-    """S1-S10 then ``analyze``."""
-    t = tr.read_transcripts(spark, path, fmt, kw.pop("compat", False), tuple(kw.get("group_cols", ())))
+    """S1-S10 then ``analyze``; ``compat`` and ``speakers`` go to the reader."""
+    t = tr.read_transcripts(spark, path, fmt, kw.pop("compat", False), tuple(kw.get("group_cols", ())),
+                            kw.pop("speakers", None))
     return analyze(spark, t.sessions, t.utterances, lexicon, rejects=t.rejects, **kw)
 
 
