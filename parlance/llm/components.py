@@ -51,46 +51,59 @@ def hamming(x: Column, y: Column) -> Column:
 
 
 def linked_components(members: DataFrame, max_bits: int,
-                      verify: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                      verify: Callable[[DataFrame], DataFrame] | None = None,
+                      near: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """Components of the graph "shares a bucket, differs in at most ``max_bits``, passes ``verify``".
 
-    ``members``: ``key`` (bucket), ``id``, ``fp`` (64-bit fingerprint).  Returns ``id, root`` for
-    the ids that have a link.  The result equals that of comparing every pair of a bucket, but no
-    bucket emits all its pairs:
+    ``members``: ``key`` (bucket), ``id``, ``fp`` (64-bit fingerprint), with ``near`` also ``len``.
+    ``near`` must hold for the lengths of every pair that ``verify`` passes; pairs for which it does
+    not hold are not made.  Returns ``id, root`` for the ids that have a link.  The result equals
+    that of comparing every pair of a bucket, but members known to be of one component are not
+    compared:
 
-    1. every member is compared with the first member of its bucket (one pair per row), and the
-       links found are contracted to components;
+    1. every member is compared with the first member of its bucket, with ``near`` also with the
+       next shorter one (one or two pairs per row), and the links found are contracted to components;
     2. only buckets that still hold several components go on; there the rows outside the bucket's
        largest component are compared with the rows of the other components.  Two rows of one
        component need no comparison, whatever it would say.
 
     Buckets are sorted, never collected; a bucket of near copies falls into one component in step
-    1 and emits nothing in step 2.
+    1 and emits nothing in step 2.  Members of a bucket that ``verify`` does not link are compared
+    pair by pair there: nothing short of the check itself can tell them apart.
     """
-    in_key = Window.partitionBy("key")
-    first = in_key.orderBy("id")
-    shared = written(members.select("key", "id", "fp")
-                     .withColumn("hub", F.first("id").over(first))
-                     .withColumn("hub_fp", F.first("fp").over(first))
-                     .withColumn("next", F.lead("id").over(first))
-                     .where("hub != id or next is not null")
-                     .select("key", "id", "fp", "hub", "hub_fp"))
+    cols = ["key", "id", "fp"] + ["len"] * bool(near)
+    in_key = Window.partitionBy("key").orderBy(*cols[3:], "id")
+    shared = members.select(cols).withColumn("next", F.lead("id").over(in_key))
+    for c in cols[1:]:
+        shared = shared.withColumn(f"hub_{c}", F.first(c).over(in_key))
+        if near:
+            shared = shared.withColumn(f"shorter_{c}", F.lag(c).over(in_key))
+    shared = written(shared.where("hub_id != id or next is not null").drop("next"))
     check = verify or (lambda pairs: pairs)
-    stars = shared.where(F.col("id") != F.col("hub")).where(hamming(F.col("fp"), F.col("hub_fp")) <= max_bits)
-    found = written(check(stars.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()))
+
+    def compared(with_: str) -> DataFrame:
+        out = shared.where(F.col("id") != F.col(f"{with_}_id"))
+        out = out.where(hamming(F.col("fp"), F.col(f"{with_}_fp")) <= max_bits)
+        if near:
+            out = out.where(near(F.col("len"), F.col(f"{with_}_len")))
+        return out.select(F.least("id", f"{with_}_id").alias("a"), F.greatest("id", f"{with_}_id").alias("b"))
+
+    stars = compared("hub").unionByName(compared("shorter")) if near else compared("hub")
+    found = written(check(stars.distinct()))
     comp = connected_components(found)
 
-    rows = written(shared.select("key", "id", "fp").join(sized(comp), "id", "left")
-                   .select("key", "id", "fp", F.coalesce("root", "id").alias("c")))
+    rows = written(shared.select(cols).join(sized(comp), "id", "left")
+                   .select(*cols, F.coalesce("root", "id").alias("c")))
     per = rows.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
     mixed = per.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("major"),
                                    F.count(F.lit(1)).alias("k")).where("k > 1").select("key", "major")
     open_rows = written(rows.join(mixed, "key"))
     minor = open_rows.where("c != major").select("key", F.col("id").alias("i"), F.col("fp").alias("f"),
-                                                 F.col("c").alias("d"))
+                                                 F.col("c").alias("d"), *[F.col(c).alias("l") for c in cols[3:]])
     pairs = (minor.join(open_rows, "key")
              .where("c != d and (c = major or i < id)")
              .where(hamming(F.col("fp"), F.col("f")) <= max_bits)
+             .where(near(F.col("len"), F.col("l")) if near else F.lit(True))
              .select(F.least("i", "id").alias("a"), F.greatest("i", "id").alias("b")).distinct())
     more = written(check(pairs))
     if more.isEmpty():
