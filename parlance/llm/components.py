@@ -108,4 +108,5 @@ def linked_components(members: DataFrame, max_bits: int,
     more = written(check(pairs))
     if more.isEmpty():
         return comp
-    return connected_components(found.unionByName(more.select(*found.columns)))
+    known = comp.where("id != root").select(F.col("root").alias("a"), F.col("id").alias("b"))
+    return connected_components(known.unionByName(more.select("a", "b")))
