@@ -120,7 +120,7 @@ def _fingerprints(batches):
     import pyarrow as pa
     for b in batches:
         fps = pa.array([fingerprint(t) for t in b.column("__text").to_pylist()], pa.int64())
-        yield pa.RecordBatch.from_arrays([b.column("__id"), fps], names=["__id", "__fp"])
+        yield pa.RecordBatch.from_arrays([b.column("__id"), b.column("__h"), fps], names=["__id", "__h", "__fp"])
 
 
 def _keys(batches):
@@ -133,11 +133,24 @@ def _keys(batches):
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``__id, __fp``: one row per input row, kept on the shared folder (no texts)."""
+    """``__id, __h, __fp``: one row per input row with the hash of its text, kept on the shared folder (no texts)."""
     small_batches(docs.sparkSession)
-    narrow = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text"))
+    narrow = docs.select(F.col(doc_id).alias("__id"), F.xxhash64(text).alias("__h"), F.col(text).alias("__text"))
     kind = narrow.schema["__id"].dataType.simpleString()
-    return written(narrow.mapInArrow(_fingerprints, f"__id {kind}, __fp long"))
+    return written(narrow.mapInArrow(_fingerprints, f"__id {kind}, __h long, __fp long"))
+
+
+def rooted_fingerprints(rows: DataFrame) -> DataFrame:
+    """``__fp, least, root``: every distinct fingerprint of ``rows`` with the root of its component.
+
+    ``least`` is the first of the fingerprint's rows: the smallest id, null ids last, then the smallest text hash.
+    """
+    first = F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__h").alias("h"))
+    kinds = written(rows.groupBy("__fp").agg(F.min(first).alias("least")))
+    members = kinds.select(F.col("__fp").alias("fp")).mapInArrow(_keys, "key long, id long, fp long")
+    comp = linked_components(members, MAX_BITS)
+    return kinds.join(sized(comp), kinds["__fp"] == comp["id"], "left") \
+        .select("__fp", "least", F.coalesce("root", "__fp").alias("root"))
 
 
 def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -150,25 +163,23 @@ def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     other input columns are not read.  Only distinct fingerprints enter the link search.
     """
     rows = fingerprints(docs, doc_id, text)
-    kinds = written(rows.groupBy("__fp").agg(F.min("__id").alias("least")))
-    members = kinds.select(F.col("__fp").alias("fp")).mapInArrow(_keys, "key long, id long, fp long")
-    comp = linked_components(members, MAX_BITS)
-    rooted = kinds.join(sized(comp), kinds["__fp"] == comp["id"], "left") \
-        .select("__fp", "least", F.coalesce("root", "__fp").alias("root"))
-    linked = rooted.where("root is not null").groupBy("root").agg(F.min("least").alias("component_id"))
+    rooted = rooted_fingerprints(rows)
+    linked = rooted.groupBy("root").agg(F.min("least")["id"].alias("component_id"))
     ids = written(rooted.join(linked, "root").select("__fp", "component_id"))
     return rows.join(sized(ids), "__fp").select(
         F.col("__id").alias(doc_id), F.lpad(F.lower(F.hex("__fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Keep one row of each component, that of the smallest id; all columns stay as they are.
+    """Keep one row of each component; all columns stay as they are.
 
-    Rows that repeat an id are one document, of which one row stays.  A row with a null id stays
-    only if its component has no other id, then once per component of nulls.
+    It is the row of the smallest id (of several texts under that id, the one of the smallest hash).  A row
+    with a null id stays only if its component has no other id, then once per component.  An id
+    whose texts are in different components is judged in each of them.
     """
-    found = simhash_components(docs, doc_id, text)
-    keep = written(found.where(F.col(doc_id).eqNullSafe(F.col("component_id"))).select(
-        F.col(doc_id).alias("__k")).distinct())
-    out = docs.join(sized(keep), F.col(doc_id).eqNullSafe(F.col("__k")), "left_semi")
-    return out.dropDuplicates([doc_id])
+    rooted = rooted_fingerprints(fingerprints(docs, doc_id, text))
+    firsts = rooted.groupBy("root").agg(F.min("least").alias("least"))
+    keep = written(firsts.select(F.col("least.id").alias("__k"), F.col("least.h").alias("__kh")))
+    rows = docs.withColumn("__h", F.xxhash64(text))
+    out = rows.join(sized(keep), F.col(doc_id).eqNullSafe(F.col("__k")) & (F.col("__h") == F.col("__kh")), "left_semi")
+    return out.dropDuplicates([doc_id, "__h"]).drop("__h")

@@ -122,6 +122,17 @@ def test_simhash_odd(odd, none):
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == [1, 3, 4]
 
 
+def test_simhash_keeps_one_row_of_each_component(spark):
+    rng = random.Random(21)
+    texts = [" ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(40)) for _ in range(9)]
+    rows = [(None, t) for t in texts[:5]] + [(None, texts[0])] * 2  # five documents without an id, one of them three times
+    rows += [(7, texts[5]), (7, texts[6]), (7, texts[6])]  # one id on two texts
+    rows += [(1, texts[7]), (2, texts[7]), (2, texts[8]), (None, texts[8])]  # id 2: a copy of 1 and a text of its own
+    got = golay.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(None, t) for t in texts[:5]] + [(7, texts[5]), (7, texts[6]), (1, texts[7]), (2, texts[8])]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
 def levenshtein(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
