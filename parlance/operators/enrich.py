@@ -32,6 +32,8 @@ ANALYSIS_ASK = ("Please analyze this therapy session transcript along with the p
                 "2. 3-5 evidence-based insights that draw from both the quantitative analysis and the "
                 "transcript content\n"
                 "3. Suggested therapeutic approaches based on the combined analysis\n\n")
+#: characters of the content that the reference sends
+COMPAT_CHARS = 4000
 PROGRESS_ASK = ("1. Key changes in emotional patterns and sentiment\n"
                 "2. Evolution of discussion topics and themes\n"
                 "3. Observable therapeutic progress\n"
@@ -121,15 +123,17 @@ def topic_highlights(transcript_topics: DataFrame, topic_terms: DataFrame | None
 
 def analysis_prompts(content: DataFrame, sentiment_info: DataFrame, topic_info: DataFrame,
                      opts: EnrichOptions = EnrichOptions()) -> DataFrame:
-    """Combined prompt with content cut to ``content_chars`` (+ '...'); error row without content.
+    """Combined prompt with the whole content; error row without content.
 
-    The default always sends the full prompt; ``compat=True`` reproduces the
-    precedence slip where content of at most ``content_chars`` is sent alone.
+    Content over ``content_chars`` is cut (+ '...') only if that is set. The default always sends the
+    full prompt; ``compat=True`` reproduces the reference: its cut (4000 unless set) and the
+    precedence slip where content of at most so many characters is sent alone.
     """
+    most = opts.content_chars if opts.content_chars is not None else COMPAT_CHARS if opts.compat else None
     j = content.join(sentiment_info, "session_key", "left").join(topic_info, "session_key", "left")
-    long = F.length("content") > opts.content_chars
-    body = F.when(long, F.concat(F.substring("content", 1, opts.content_chars), F.lit("..."))) \
-            .otherwise(F.col("content"))
+    long = F.length("content") > most if most is not None else F.lit(False)
+    body = F.col("content") if most is None else F.when(
+        long, F.concat(F.substring("content", 1, most), F.lit("..."))).otherwise(F.col("content"))
     full = F.concat(F.lit(ANALYSIS_ASK), _meta_line(F.col("session_date"), F.col("session_number"),
                                                     _patient(j)),
                     F.lit("SENTIMENT ANALYSIS:\n"), F.coalesce("sentiment_info", F.lit(NO_SENTIMENT)),
@@ -142,22 +146,25 @@ def analysis_prompts(content: DataFrame, sentiment_info: DataFrame, topic_info:
 
 
 def progress_prompts(sessions: DataFrame, utterances: DataFrame, sentiment_info: DataFrame,
-                     topic_info: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+                     topic_info: DataFrame, group_cols: Sequence[str] = (), compat: bool = False) -> DataFrame:
     """One progress prompt per client group (needs >= 2 sessions).
 
-    Per session: first five entries cut to 100 characters + '...', plus L3/L4
-    text; sessions in index order; patient of the first session.
+    Per session: all entries in full, plus L3/L4 text; sessions in index order; patient of the first
+    session.  ``compat=True`` takes the reference's preview: the first five entries, cut to 100
+    characters + '...'.
     """
     keys = list(group_cols)
-    first5 = utterances.where(F.col("dialogue_idx") < 5).groupBy("session_key").agg(
+    text = F.coalesce("text", F.lit(""))
+    entries = utterances.where(F.col("dialogue_idx") < 5) if compat else utterances
+    entries = entries.groupBy("session_key").agg(
         F.array_sort(F.collect_list(F.struct("dialogue_idx", F.concat(
             F.coalesce("speaker", F.lit("Unknown")), F.lit(": "),
-            F.substring(F.coalesce("text", F.lit("")), 1, 100), F.lit("...")).alias("l")))).alias("_l"))
-    s = sessions.join(first5, "session_key", "left").join(sentiment_info, "session_key", "left") \
+            F.concat(F.substring(text, 1, 100), F.lit("...")) if compat else text).alias("l")))).alias("_l"))
+    s = sessions.join(entries, "session_key", "left").join(sentiment_info, "session_key", "left") \
                 .join(topic_info, "session_key", "left")
     date_s = F.coalesce(F.date_format("session_date", "yyyy-MM-dd HH:mm:ss"), F.lit("None"))
     block = F.concat(
-        F.lit("SESSION "), _s(F.col("session_number")), F.lit(" ("), date_s, F.lit("):\nContent preview: "),
+        F.lit("SESSION "), _s(F.col("session_number")), F.lit(" ("), date_s, F.lit("):\nContent preview: " if compat else "):\nContent: "),
         F.array_join(F.transform(F.coalesce("_l", F.array()), lambda x: x["l"]), "\n"),
         F.lit("\nSentiment: "), F.coalesce("sentiment_info", F.lit(NO_SENTIMENT)),
         F.lit("\nTopics: "), F.coalesce("topic_info", F.lit(NO_TOPIC)), F.lit("\n"))

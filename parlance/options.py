@@ -70,9 +70,9 @@ class ReportOptions:
 
 @dataclass(frozen=True)
 class EnrichOptions:
-    """Prompt budget and completion settings."""
+    """Prompt budget (None: whole texts; ``compat`` cuts at 4000 as the reference does) and completion settings."""
 
-    content_chars: int = 4000
+    content_chars: int | None = None
     temperature: float = 0.3
     max_tokens: int = 1000
     system_prompt: str | None = None

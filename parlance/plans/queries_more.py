@@ -552,7 +552,7 @@ def speaker_by_session(spark, sf_dir):
 from ..operators import charts as ch  # noqa: E402
 from ..operators import enrich as en  # noqa: E402
 from ..operators import reports as rp  # noqa: E402
-from ..options import ReportOptions  # noqa: E402
+from ..options import EnrichOptions, ReportOptions  # noqa: E402
 
 
 def session_sent_idx(spark, sf_dir) -> DataFrame:
@@ -819,6 +819,20 @@ SELECT c.session_key, {_lit(en.ANALYSIS_ASK)} || {_META} || 'SENTIMENT ANALYSIS:
 FROM content c LEFT JOIN sinfo si USING (session_key) LEFT JOIN tinfo ti USING (session_key)"""))
 def analysis_prompts(spark, sf_dir):
     """Combined prompt (sentiment + topic highlights + content cut to 4000 characters)."""
+    return en.analysis_prompts(_content(spark, sf_dir), _sent_info(spark, sf_dir), _topic_info(spark, sf_dir),
+                               EnrichOptions(content_chars=en.COMPAT_CHARS))
+
+
+@register("analysis_prompts_full", _sql(
+    _SQL_SENT_INFO.replace("\n, sinfo AS", ",\nsinfo AS") + "," +
+    _SQL_CONTENT.replace("\n, content AS", "\ncontent AS") + f"""
+SELECT c.session_key, {_lit(en.ANALYSIS_ASK)} || {_META} || 'SENTIMENT ANALYSIS:' || chr(10)
+  || coalesce(si.sentiment_info, {_lit(en.NO_SENTIMENT)}) || chr(10) || chr(10) || 'TOPIC ANALYSIS:' || chr(10)
+  || coalesce(ti.topic_info, {_lit(en.NO_TOPIC)}) || chr(10) || chr(10) || 'TRANSCRIPT:' || chr(10)
+  || c.content AS prompt, CAST(NULL AS VARCHAR) AS error
+FROM content c LEFT JOIN sinfo si USING (session_key) LEFT JOIN tinfo ti USING (session_key)"""))
+def analysis_prompts_full(spark, sf_dir):
+    """Combined prompt with the whole content (the default)."""
     return en.analysis_prompts(_content(spark, sf_dir), _sent_info(spark, sf_dir), _topic_info(spark, sf_dir))
 
 
@@ -840,7 +854,31 @@ SELECT patient_id, CASE WHEN count(*) >= 2 THEN 'Please analyze these therapy se
   CASE WHEN count(*) < 2 THEN 'Need at least 2 transcripts to analyze progress' END AS error
 FROM blk GROUP BY patient_id"""))
 def progress_prompts(spark, sf_dir):
-    """One progress prompt per client (sessions in index order)."""
+    """One progress prompt per client (sessions in index order, the reference's preview)."""
+    u = processed(spark, sf_dir, False).select("session_key", "dialogue_idx", "speaker", "text")
+    return en.progress_prompts(sessions_idx(spark, sf_dir), u, _sent_info(spark, sf_dir),
+                               _topic_info(spark, sf_dir), GROUP, compat=True)
+
+
+@register("progress_prompts_full", _sql(
+    _SQL_SENT_INFO.replace("\n, sinfo AS", ",\nsinfo AS") + f""",
+ent AS (SELECT session_key, string_agg(coalesce(speaker, 'Unknown') || ': ' || coalesce(text, ''),
+                                      chr(10) ORDER BY dialogue_idx) AS preview
+       FROM u GROUP BY session_key),
+blk AS (SELECT i.patient_id, i.transcript_idx, 'SESSION ' || coalesce(CAST(i.session_number AS VARCHAR), 'None') || ' ('
+    || coalesce(strftime(i.session_date, '%Y-%m-%d %H:%M:%S'), 'None') || '):' || chr(10) || 'Content: '
+    || coalesce(ent.preview, '') || chr(10) || 'Sentiment: ' || coalesce(si.sentiment_info, {_lit(en.NO_SENTIMENT)})
+    || chr(10) || 'Topics: ' || coalesce(ti.topic_info, {_lit(en.NO_TOPIC)}) || chr(10) AS block
+  FROM sidx i LEFT JOIN ent USING (session_key) LEFT JOIN sinfo si USING (session_key)
+  LEFT JOIN tinfo ti USING (session_key))
+SELECT patient_id, CASE WHEN count(*) >= 2 THEN 'Please analyze these therapy session transcripts from the client'
+    || ' and provide insights about the client''s progress across sessions:' || chr(10) || chr(10)
+    || {_lit(en.PROGRESS_ASK)} || 'SESSION DATA:' || chr(10) || chr(10)
+    || string_agg(block, chr(10) || chr(10) ORDER BY transcript_idx) END AS prompt,
+  CASE WHEN count(*) < 2 THEN 'Need at least 2 transcripts to analyze progress' END AS error
+FROM blk GROUP BY patient_id"""))
+def progress_prompts_full(spark, sf_dir):
+    """One progress prompt per client with all entries in full (the default)."""
     u = processed(spark, sf_dir, False).select("session_key", "dialogue_idx", "speaker", "text")
     return en.progress_prompts(sessions_idx(spark, sf_dir), u, _sent_info(spark, sf_dir),
                                _topic_info(spark, sf_dir), GROUP)

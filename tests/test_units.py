@@ -289,6 +289,25 @@ def test_analysis_prompt_without_content(spark):
     assert got[2].prompt.endswith("A: x") and got[2].error is None
 
 
+def test_prompts_carry_whole_texts(spark):
+    from parlance.options import EnrichOptions
+    long = "A: " + "x" * 5000 + " end"
+    rows = spark.createDataFrame([(1, None, 1, long)], "session_key long, session_date date, session_number int, content string")
+    info = spark.createDataFrame([], "session_key long, sentiment_info string")
+    topics = spark.createDataFrame([], "session_key long, topic_info string")
+    assert en.analysis_prompts(rows, info, topics).first().prompt.endswith(long)
+    cut = en.analysis_prompts(rows, info, topics, EnrichOptions(compat=True)).first().prompt
+    assert cut.endswith(long[:4000] + "...") and "end" not in cut[-10:]
+    sessions = spark.createDataFrame([(k, None, k, k - 1) for k in (1, 2)],
+                                     "session_key long, session_date timestamp, session_number int, transcript_idx long")
+    u = spark.createDataFrame([(k, i, "A", f"{k}.{i} " + "y" * 120 + " z") for k in (1, 2) for i in range(7)],
+                              "session_key long, dialogue_idx long, speaker string, text string")
+    whole = en.progress_prompts(sessions, u, info, topics).first().prompt
+    assert all(f"A: {k}.{i} " + "y" * 120 + " z\n" in whole for k in (1, 2) for i in range(7))
+    preview = en.progress_prompts(sessions, u, info, topics, compat=True).first().prompt
+    assert "A: 2.4 " + "y" * 96 + "...\n" in preview and "2.5" not in preview
+
+
 def test_end_to_end_directory(spark):
     from parlance.options import TopicOptions
     from parlance.plans.analysis import analyze_directory, write_outputs
