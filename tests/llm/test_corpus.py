@@ -158,6 +158,26 @@ def test_lines_equal_brute_force(spark):
     assert all(r["text"].count("\n") == 1 - r["n_dropped"] or r["n_dropped"] == 2 for r in got)
 
 
+def test_lines_count_short_words(spark):
+    import xxhash
+    rng = random.Random(22)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+
+    def brute(words):
+        h = [xxhash.xxh64_intdigest(w, 42) for w in words]
+        return sum(1 << b for b in range(60) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    pairs = []
+    while len(pairs) < 8:  # one of four long words changed, among 60 short ones
+        a = [word(3) for _ in range(60)] + [word(6) for _ in range(4)]
+        b = a[:-1] + [word(6)]
+        if (brute(a) ^ brute(b)).bit_count() <= 3:
+            pairs.append((" ".join(a), " ".join(b)))
+    docs = spark.createDataFrame([(2 * i + k, p[k]) for i, p in enumerate(pairs) for k in (0, 1)], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_dropped"] for r in lines.dedup_lines(docs).collect()}
+    assert got == {i: i % 2 for i in range(16)}
+
+
 def test_line_simhash_equals_brute_force(spark):
     import xxhash
     rng = random.Random(13)
