@@ -423,6 +423,30 @@ def test_decontamination_finds_leaks(spark, odd, none):
     assert kept.count() == len(ODD) and kept.columns == odd.columns
 
 
+def test_decontamination_among_other_items_and_short_items():
+    rng = random.Random(23)
+    vocab = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(400)]
+    texts = [[rng.choice(vocab) for _ in range(n)] for n in [19, 20, 37, 38] * 15 + [4, 5, 6, 7] * 5]
+    items = [decontam.read_item(k, " ".join(w)) for k, w in enumerate(texts)]
+    terms = {w: i for i, w in enumerate(sorted({w for i in items for w in i.words}))}
+    search = decontam.Search(items, np.ones(len(terms)), terms, np.eye(len(terms)))
+    dumps, want = [], []
+    for k in range(60):  # an item among words of six others, as it is and with one word in five replaced
+        other = [rng.choice(texts[rng.randrange(60)]) for _ in range(180)]
+        for step in (0, 5):
+            leak = [("zzzzz" if step and j % step == 2 and j < len(texts[k]) - 4 else w) for j, w in enumerate(texts[k])]
+            at = rng.randrange(len(other))
+            dumps.append(" ".join(other[:at] + leak + other[at:]))
+            want.append(k)
+    found = {(i, k) for i, k, *_ in search.matches(dumps)}
+    assert sum((i, k) in found for i, k in enumerate(want)) >= 0.9 * len(want)
+    prose = [" ".join([rng.choice(vocab) for _ in range(150)] + texts[k] + ["end"] * 40) for k in range(60, 80)]
+    found = {(i, k): (cos, at) for i, k, cos, _, _, at in search.matches(prose)}
+    assert all(found[i, k] == (1.0, 150) for i, k in enumerate(range(60, 80)))
+    only = decontam.Search(items[60:], np.ones(len(terms)), terms, np.eye(len(terms)))
+    assert {(i, i) for i in range(20)} <= {m[:2] for m in only.matches(prose)}
+
+
 def test_decontamination_subsequence():
     assert decontam.common_subsequence(list("abcbdab"), list("bdcaba")) == 4
     assert decontam.read_item(1, "What is it? Answer: forty two").answer == [b"forty", b"two"]
