@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, golay, langid, lines, mixing, quality, toxicity, urls, warc
+from . import chat, decontam, golay, htmltext, langid, lines, mixing, periods, quality, toxicity, trie, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,9 +74,33 @@ def op10_language_id(spark, sf_dir):
     return langid.identify(rows, model)
 
 
+def op11_prefix_trie(spark, sf_dir):
+    nodes, ends = trie.prefix_trie(*trie.rebuilt_turns(trie.ordered_turns(table(spark, sf_dir, "conversations"))))
+    return trie.node_digests(nodes, ends)
+
+
+def op12_periodic_runs(spark, sf_dir):
+    runs = periods.periodic_runs(periods.with_periodic_tails(table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(
+        ",", r["start"], r["length"], r["period"])), "\n")
+    d = runs.select("doc_id", "runs", "collapsed", longest.alias("top"))
+    return d.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.start")).alias("start"), "top.length",
+        (-F.col("top.period")).alias("period"),
+        F.floor(1000 * F.col("top.length") / -F.col("top.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_html_text(spark, sf_dir):
+    return htmltext.extract_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_chat_formatting, op3_simhash, op4_toxicity, op5_line_dedup, op6_warc, op7_url_filter,
-    op8_decontamination, op9_quality_rules, op10_language_id)}
+    op8_decontamination, op9_quality_rules, op10_language_id, op11_prefix_trie, op12_periodic_runs, op13_html_text)}
 
 _WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
 
@@ -103,4 +127,52 @@ ORACLE = {
             FROM t GROUP BY conv_id)
         SELECT conv_id, n_turns, sha256(body) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
                chars::BIGINT AS formatted_chars, words::BIGINT AS n_tokens FROM g""",
+    # the tables' pages hold their main text in one article; named references are those that occur in them
+    "op13_html_text": r"""
+        WITH a AS (
+            SELECT page_id, url, regexp_replace(regexp_extract(
+                coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '\s+', ' ', 'g') AS x FROM pages),
+        b AS (SELECT page_id, url, regexp_replace(regexp_replace(
+                x, '</?(p|h1)>', chr(10), 'g'), '<[^>]*>', ' ', 'g') AS x FROM a),
+        c AS (SELECT page_id, url, replace(regexp_replace(x, '&amp;?', '&', 'g'), '&quot;', '"') AS x FROM b),
+        d AS (SELECT page_id, url, array_to_string(list_filter(list_transform(string_split(x, chr(10)),
+                lambda l: trim(regexp_replace(l, '\s+', ' ', 'g'))), lambda l: l <> ''), chr(10)) AS text FROM c)
+        SELECT page_id, url, text, length(text) AS n_chars FROM d""",
+    # crc32 bit by bit; prefixes are the texts themselves, subtree sums join every node to all its ancestors
+    "op11_prefix_trie": r"""
+        WITH t AS (
+            SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS r
+            FROM conversations WHERE conv_id IS NOT NULL),
+        v AS (
+            SELECT c, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(
+                string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda a, b: list_reduce(
+                list_concat([xor(a, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                lambda k, z: xor(k >> 1, 3988292384::BIGINT * (k & 1)))), 4294967295::BIGINT) % 6 AS h
+            FROM (SELECT DISTINCT c FROM t)),
+        s AS (
+            SELECT v.c, t.r, t.role, t.text FROM v JOIN t ON t.c = v.c - v.c % 100 AND t.r < v.h
+            UNION ALL SELECT v.c, t.r, t.role, t.text FROM v JOIN t ON t.c = v.c AND t.r >= v.h),
+        p AS (
+            SELECT c, row_number() OVER w AS depth, length(text) AS chars,
+                   string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER w AS path
+            FROM s WINDOW w AS (PARTITION BY c ORDER BY r)
+            UNION ALL SELECT c, 0, 0, '' FROM v),
+        n AS (SELECT depth, path, min(c) AS conv_id, count(*) AS n_convs, min(chars) AS chars FROM p GROUP BY ALL),
+        m AS (SELECT p.c, p.depth, n.conv_id FROM p JOIN n USING (depth, path)),
+        u AS (
+            SELECT n.conv_id, n.depth, n.n_convs, n.chars, b.conv_id AS parent_conv_id
+            FROM n LEFT JOIN m AS b ON b.c = n.conv_id AND b.depth = n.depth - 1),
+        k AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM u
+              WHERE depth > 0 GROUP BY ALL),
+        x AS (SELECT u.*, coalesce(n_children, 0) AS n_children FROM u LEFT JOIN k USING (conv_id, depth)),
+        sums AS (
+            SELECT a.conv_id, a.depth, sum((x.n_children = 0)::INT) AS n_leaves, sum((x.n_convs - 1) * x.chars) AS saved
+            FROM x JOIN m AS a ON a.c = x.conv_id AND a.depth <= x.depth GROUP BY ALL),
+        e AS (
+            SELECT m.conv_id, m.depth, string_agg(m.c::VARCHAR, ',' ORDER BY m.c) AS ids
+            FROM m JOIN (SELECT c, max(depth) AS depth FROM p GROUP BY c) AS l USING (c, depth) GROUP BY ALL)
+        SELECT x.conv_id, x.depth, x.parent_conv_id, x.n_convs, x.n_children, n_leaves::BIGINT AS n_leaves,
+               saved::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+        FROM x JOIN sums USING (conv_id, depth) LEFT JOIN e USING (conv_id, depth)""",
 }
