@@ -245,7 +245,7 @@ def labelled_blocks(spark: SparkSession) -> DataFrame:
 def train_tree(labelled: DataFrame, depth: int = 6) -> str:
     """Fit the decision tree on the labelled table; the rules as Spark prints them."""
     data = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(labelled)
-    return DecisionTreeClassifier(maxDepth=depth, maxBins=256, minInfoGain=0.0, seed=7).fit(data).toDebugString
+    return DecisionTreeClassifier(maxDepth=depth, maxBins=256, minInstancesPerNode=3, seed=7).fit(data).toDebugString
 
 
 def tree_expression(rules: str, values: dict[str, Column]) -> Column:
