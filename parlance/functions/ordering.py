@@ -11,6 +11,50 @@ from pyspark.sql.window import Window
 _LOCAL_BITS = 33
 
 
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on group keys that may be null: null keys meet null keys, as they do in ``groupBy``.
+
+    Columns of ``left`` first, then those of ``right`` without the keys (in a full join the keys of either side).
+    """
+    keys = list(keys)
+    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+        cond = c if cond is None else cond & c
+    j = left.join(r, cond, how)
+    if how in ("full", "full_outer", "right"):
+        for k in keys:
+            j = j.withColumn(k, F.coalesce(k, f"__r_{k}"))
+    return j.drop(*[f"__r_{k}" for k in keys])
+
+
+def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: dict[str, Column]) -> DataFrame:
+    """Add, per ``keys`` group (null keys are a group), the sum of each expression over the rows before a row.
+
+    Rows are dealt by (keys, ``order``) into sorted partitions, checkpointed once (in
+    ``spark.checkpoint.dir``); sums run inside a partition's share of a group, and one row per (partition, group)
+    carries them on.  So a group may hold all rows without meeting in one task.  ``order`` is ascending with nulls
+    first; ties get an arbitrary but fixed order.  The whole rows are moved once: pass narrow ones.
+    """
+    from ..session import ensure_checkpoint_dir
+    keys = list(keys)
+    ensure_checkpoint_dir(df.sparkSession)
+    dealt = [F.col(c).asc_nulls_first() for c in (*keys, *order)]
+    s = df.select("*", *[e.cast("long").alias(f"__v_{n}") for n, e in sums.items()]) \
+        .repartitionByRange(*dealt).sortWithinPartitions(*dealt) \
+        .withColumn("__at", F.monotonically_increasing_id()).checkpoint(eager=True)
+    s = s.withColumn("__part", F.shiftright("__at", _LOCAL_BITS))
+    share = ["__part", *keys]
+    local = Window.partitionBy(*share).orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    s = s.select("*", *[F.coalesce(F.sum(f"__v_{n}").over(local), F.lit(0)).alias(f"__l_{n}") for n in sums])
+    before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = s.groupBy(*share).agg(*[F.sum(f"__v_{n}").alias(f"__s_{n}") for n in sums]).select(
+        *share, *[F.coalesce(F.sum(f"__s_{n}").over(before), F.lit(0)).alias(f"__c_{n}") for n in sums])
+    j = join_groups(s, carried, share)
+    return j.select(*df.columns, *[(F.col(f"__l_{n}") + F.col(f"__c_{n}")).alias(n) for n in sums])
+
+
 def session_order(prefix: str = "") -> list[Column]:
     """Sort key of sessions: date (nulls last), number with 0 as missing (nulls last), name, key."""
     p = prefix
@@ -54,7 +98,7 @@ def dense_index(df: DataFrame, order: Sequence[Column], name: str = "transcript_
     stats = stats.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
     if not keys:
         stats = F.broadcast(stats)  # one row per sorted partition: bounded by the partition count
-    j = s.join(stats.select("_pid", *keys, "_first", "_off"), ["_pid", *keys])
+    j = join_groups(s, stats.select("_pid", *keys, "_first", "_off"), ["_pid", *keys])
     idx = j.select(key, (F.col("_off") + F.col("_loc") - F.col("_first")).alias(name))
     return df.join(idx, key)
 
@@ -79,7 +123,7 @@ def rank_within(df: DataFrame, keys: Sequence[str], idx: str, name: str = "_rank
                                            F.lit(0))) \
          .withColumn(count_name, F.sum("_c").over(Window.partitionBy(*keys)))
     r = d.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, "_blk").orderBy(idx)))
-    j = r.join(c.select(*keys, "_blk", "_before", count_name), [*keys, "_blk"])
+    j = join_groups(r, c.select(*keys, "_blk", "_before", count_name), [*keys, "_blk"])
     return j.withColumn(name, F.col("_before") + F.col("_r")).drop("_blk", "_r", "_before")
 
 
@@ -99,5 +143,5 @@ def with_offsets(ranked: DataFrame, keys: Sequence[str], rank_col: str, cols: Se
         tag = f"{'m' if o < 0 else 'p'}{abs(o)}"
         nb = ranked.select(*keys, (F.col(rank_col) - o).alias(rank_col),
                            *[F.col(c).alias(f"{c}_{tag}") for c in cols])
-        out = out.join(nb, [*keys, rank_col], "left")
+        out = join_groups(out, nb, [*keys, rank_col], "left")
     return out

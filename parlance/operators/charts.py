@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.ordering import join_groups
 from ..session import with_scalar
 
 
@@ -19,7 +20,7 @@ def sentiment_over_time(session_sent: DataFrame, group_cols: Sequence[str] = ())
                              F.greatest(F.max("avg_compound"), F.lit(0.1)).alias("_hi"))
     pad = (F.col("_hi") - F.col("_lo")) * 0.1
     b = b.select(*keys, (F.col("_lo") - pad).alias("y_min"), (F.col("_hi") + pad).alias("y_max"))
-    j = d.join(b, keys) if keys else with_scalar(d, b)  # one bounds row per group
+    j = join_groups(d, b, keys) if keys else with_scalar(d, b)  # one bounds row per group
     return j.select(*keys, "session_key", "session_date", "avg_compound", "overall_sentiment", "y_min", "y_max")
 
 
@@ -27,7 +28,7 @@ def compound_histogram(scored: DataFrame, bins: int = 30, group_cols: Sequence[s
     """V2: equal-width bins over the data range (maximum in the last bin; lo == hi -> bin 1)."""
     keys = list(group_cols)
     r = scored.groupBy(*keys).agg(F.min("compound_score").alias("lo"), F.max("compound_score").alias("hi"))
-    j = scored.join(r, keys) if keys else with_scalar(scored, r)  # one range row per group
+    j = join_groups(scored, r, keys) if keys else with_scalar(scored, r)  # one range row per group
     width = (F.col("hi") - F.col("lo")) / bins
     b = F.when(F.col("hi") == F.col("lo"), 1).otherwise(
         F.least(F.floor((F.col("compound_score") - F.col("lo")) / width) + 1, F.lit(bins)))

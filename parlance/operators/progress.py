@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import labels as lb
-from ..functions.ordering import rank_within, with_offsets
+from ..functions.ordering import join_groups, rank_within, with_offsets
 from ..session import with_scalar
 
 # Rule texts of the reports.
@@ -216,7 +216,7 @@ def corpus_trend(facts: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
         F.max_by("overall_sentiment", "transcript_idx").alias("latest_sentiment"),
     )
     if keys:
-        agg = agg.join(last3, keys, "left").join(vol, keys, "left")
+        agg = join_groups(join_groups(agg, last3, keys, "left"), vol, keys, "left")
     else:  # single client: the two one-row roll-ups are attached as literals
         agg = with_scalar(with_scalar(agg, last3), vol)
     change = F.col("last_compound") - F.col("first_compound")
@@ -392,16 +392,15 @@ def vocabulary_shift(processed: DataFrame, sessions: DataFrame, speaker: str = "
     t = processed.where(F.col("speaker") == speaker).select("session_key", F.explode("tokens").alias("term"))
     tf = t.groupBy("session_key", "term").agg(F.count(F.lit(1)).alias("n"))
     tot = t.groupBy("session_key").agg(F.count(F.lit(1)).alias("total"))
-    s = sessions.select(*keys, "session_key", "transcript_idx")
-    w = Window.partitionBy(*keys).orderBy("transcript_idx")
-    s = s.withColumn("next_key", F.lead("session_key").over(w)).where(F.col("next_key").isNotNull())
-    a = tf.join(tot, "session_key").select("session_key", "term", (F.col("n") / F.col("total")).alias("f"),
-                                           "total")
-    cur = s.join(a, "session_key").select(*keys, "session_key", "next_key", "term",
-                                          F.col("f").alias("f_prev"))
+    # the session after each one by rank, so no window holds a client and null clients keep theirs
+    s = rank_within(sessions.select(*keys, "session_key", "transcript_idx"), keys, "transcript_idx", "_rk", "_n")
+    s = with_offsets(s, keys, "_rk", ["session_key"], [1]).select(
+        *keys, "session_key", F.col("session_key_p1").alias("next_key")).where(F.col("next_key").isNotNull())
+    a = tf.join(tot, "session_key").select("session_key", "term", (F.col("n") / F.col("total")).alias("f"))
+    cur = s.join(a, "session_key").select(*keys, "session_key", "next_key", "term", F.col("f").alias("f_prev"))
     nxt = s.join(a.withColumnRenamed("session_key", "next_key"), "next_key") \
            .select(*keys, "session_key", "next_key", "term", F.col("f").alias("f_next"))
-    j = cur.join(nxt, [*keys, "session_key", "next_key", "term"], "full_outer")
+    j = join_groups(cur, nxt, [*keys, "session_key", "next_key", "term"], "full_outer")
     return j.select(*keys, "session_key", "next_key", "term",
                     F.coalesce("f_prev", F.lit(0.0)).alias("f_prev"),
                     F.coalesce("f_next", F.lit(0.0)).alias("f_next"),

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import fixed
+from ..functions.ordering import join_groups
 from ..options import ReportOptions
 from . import progress as pg
 
@@ -180,9 +181,9 @@ def overall_reports(facts: DataFrame, trend: DataFrame, recurrent: DataFrame | N
             F.concat(F.lit("- **Primary Theme**: Topic "), F.coalesce(F.col("dominant_topic").cast("string"), F.lit("N/A"))),
             F.concat(F.lit("- **Key Insight**: "), F.coalesce(F.get(F.col("insights"), 0), F.lit("No specific insights."))),
             F.lit("")).alias("l")))).alias("_summ"))
-    r = trend.join(table, keys, "left").join(summ, keys, "left")
+    r = join_groups(join_groups(trend, table, keys, "left"), summ, keys, "left")
     if recurrent is not None:
-        r = r.join(terms_of(recurrent, "recurrent_topic", 5, "recurrent_terms"), keys, "left")
+        r = join_groups(r, terms_of(recurrent, "recurrent_topic", 5, "recurrent_terms"), keys, "left")
     else:
         r = r.withColumn("recurrent_topic", F.lit(None).cast("int")).withColumn("recurrent_terms", F.lit(None).cast("string"))
     if evolution is not None:
@@ -191,17 +192,17 @@ def overall_reports(facts: DataFrame, trend: DataFrame, recurrent: DataFrame | N
             F.lit("- **Topic "), F.col("topic_id").cast("string"), F.lit("** ("), F.coalesce("ev_terms", F.lit("")),
             F.lit("): "), F.col("trend"), F.lit(" by "), _f("%.1f", F.abs(F.col("change")) * 100), F.lit("% (from "),
             _f("%.2f", F.col("first")), F.lit(" to "), _f("%.2f", F.col("last")), F.lit(")")).alias("l")))).alias("_ev"))
-        r = r.join(ev, keys, "left")
+        r = join_groups(r, ev, keys, "left")
     else:
         r = r.withColumn("_ev", F.lit(None).cast("array<struct<rank:int,l:string>>"))
     for df, col, alias in ((consistent, "consistent_topic", "consistent_terms"),
                            (emerging, "emerging_topic", "emerging_terms")):
         if df is not None:
-            r = r.join(terms_of(df, col, 3, alias), keys, "left")
+            r = join_groups(r, terms_of(df, col, 3, alias), keys, "left")
         else:
             r = r.withColumn(col, F.lit(None).cast("int")).withColumn(alias, F.lit(None).cast("string"))
     if gap is not None:
-        r = r.join(gap.select(*keys, "gap_insight"), keys, "left")
+        r = join_groups(r, gap.select(*keys, "gap_insight"), keys, "left")
     else:
         r = r.withColumn("gap_insight", F.lit(None).cast("string"))
     period = F.when(F.col("first_date").isNotNull(), F.concat(

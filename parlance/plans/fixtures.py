@@ -32,6 +32,8 @@ LEMMAS = [("tion", "tio"), ("ther", "there"), ("than", "then"), ("les", "le"),
 IDIOMS = [("the shit", 3.0), ("the bomb", 3.0), ("bad ass", 1.5), ("yeah right", -2.0),
           ("cut the mustard", 2.0), ("kiss of death", -1.5), ("hand to mouth", -2.0)]
 
+#: conversations of this client have no client key: a group of null keys in every query by client
+NO_PATIENT = 3
 NUM_FIXED_TOPICS = 5
 TERMS_PER_FIXED_TOPIC = 20
 
@@ -89,7 +91,7 @@ def utterances(conversations: DataFrame) -> DataFrame:
         F.col("turn").alias("dialogue_idx"),
         speaker_col().alias("speaker"),
         F.col("text"),
-        (F.col("conv_id") % 10).alias("patient_id"),
+        F.nullif(F.col("conv_id") % 10, F.lit(NO_PATIENT)).alias("patient_id"),
     )
 
 
@@ -101,7 +103,7 @@ def sessions(conversations: DataFrame) -> DataFrame:
         F.concat(F.lit("conv_"), F.col("conv_id").cast("string"), F.lit(".txt")).alias("file_name"),
         session_date_col().alias("session_date"),
         (F.col("conv_id") % 13).cast("int").alias("session_number"),
-        (F.col("conv_id") % 10).alias("patient_id"),
+        F.nullif(F.col("conv_id") % 10, F.lit(NO_PATIENT)).alias("patient_id"),
     )
 
 
@@ -110,10 +112,10 @@ SQL_SPEAKER = "CASE WHEN role = 'user' THEN 'Client' WHEN role = 'assistant' THE
 SQL_SESSION_DATE = ("CASE WHEN conv_id % 17 = 0 THEN NULL "
                     "ELSE DATE '2023-01-01' + CAST(conv_id * 7 AS INTEGER) END")
 SQL_UTTERANCES = (f"SELECT conv_id AS session_key, turn AS dialogue_idx, {SQL_SPEAKER} AS speaker, "
-                  "text, conv_id % 10 AS patient_id FROM conversations")
+                  f"text, nullif(conv_id % 10, {NO_PATIENT}) AS patient_id FROM conversations")
 SQL_SESSIONS = ("SELECT conv_id AS session_key, 'conv_' || CAST(conv_id AS VARCHAR) || '.txt' AS file_name, "
                 f"{SQL_SESSION_DATE} AS session_date, CAST(conv_id % 13 AS INTEGER) AS session_number, "
-                "conv_id % 10 AS patient_id FROM (SELECT DISTINCT conv_id FROM conversations)")
+                f"nullif(conv_id % 10, {NO_PATIENT}) AS patient_id FROM (SELECT DISTINCT conv_id FROM conversations)")
 
 
 # ------------------------------------------------------------ fixed mixtures

@@ -131,17 +131,17 @@ def transcript_roundtrip(spark, sf_dir):
 
 
 @register("transcript_roundtrip_long", """
-WITH l AS (SELECT conv_id % 5 AS session_key, role,
+WITH l AS (SELECT conv_id // 200 AS session_key, role,
                   array_to_string(list_filter(string_split(regexp_replace(text, '^\\s+', ''), chr(10)),
                                               lambda l: regexp_matches(l, '\\S')), ' ') AS text,
-                  row_number() OVER (PARTITION BY conv_id % 5 ORDER BY conv_id, turn) - 1 AS dialogue_idx
+                  row_number() OVER (PARTITION BY conv_id // 200 ORDER BY conv_id, turn) - 1 AS dialogue_idx
            FROM conversations)
 SELECT session_key, CAST(dialogue_idx AS BIGINT) AS dialogue_idx, role AS speaker, text FROM l""")
 def transcript_roundtrip_long(spark, sf_dir):
-    """S6 on long files: every fifth conversation goes into one transcript, parsed back as a whole."""
+    """S6 on long files: 200 neighbouring conversations are one transcript, parsed back as a whole."""
     c = read(spark, sf_dir, "conversations")
     lines = F.array_sort(F.collect_list(F.struct("conv_id", "turn", F.concat_ws(": ", "role", "text").alias("l"))))
-    files = c.groupBy((F.col("conv_id") % 5).alias("session_key")).agg(
+    files = c.groupBy(F.floor(F.col("conv_id") / 200).alias("session_key")).agg(
         F.array_join(F.transform(lines, lambda x: x["l"]), "\n\n").alias("content"))
     return tr.utterances_of(tr.colon_dialogue(files, "content"))
 
@@ -394,7 +394,7 @@ SELECT al.patient_id, sessions, first_date, last_date, coalesce(dated_sessions,
   CASE WHEN vol > 0.2 THEN '{pg.INS_VOLATILE}' WHEN vol < 0.05 THEN '{pg.INS_CONSISTENT}' END AS volatility_insight,
   CASE WHEN sessions > 1 AND latest = 'negative' THEN '{pg.REC_LATEST_NEGATIVE}' END AS latest_recommendation,
   CASE WHEN sessions >= 3 AND rng3 < 0.1 THEN '{pg.REC_STAGNATION}' END AS stagnation_recommendation
-FROM al LEFT JOIN da USING (patient_id)"""
+FROM al LEFT JOIN da ON al.patient_id IS NOT DISTINCT FROM da.patient_id"""
 
 
 @register("corpus_trend", _sql(_TREND_SQL).replace("\n, fd AS", ",\nfd AS"))
@@ -565,7 +565,7 @@ def session_sent_idx(spark, sf_dir) -> DataFrame:
         FROM facts WHERE session_date IS NOT NULL GROUP BY patient_id)
 SELECT f.patient_id, session_key, session_date, round(avg_compound, 6) AS avg_compound, overall_sentiment,
   round(lo - (hi - lo) * 0.1, 6) AS y_min, round(hi + (hi - lo) * 0.1, 6) AS y_max
-FROM facts f JOIN b USING (patient_id) WHERE session_date IS NOT NULL""").replace("\n, b AS", ",\nb AS"))
+FROM facts f JOIN b ON f.patient_id IS NOT DISTINCT FROM b.patient_id WHERE session_date IS NOT NULL""").replace("\n, b AS", ",\nb AS"))
 def chart_sentiment_over_time(spark, sf_dir):
     """V1: dated session tone with padded axis bounds per client."""
     v = ch.sentiment_over_time(session_sent_idx(spark, sf_dir), GROUP)
@@ -898,7 +898,7 @@ nxt AS (SELECT pp.patient_id, pp.session_key, pp.next_key, fr.term, fr.f AS f_ne
 jn AS (SELECT coalesce(cur.patient_id, nxt.patient_id) AS patient_id, coalesce(cur.session_key, nxt.session_key) AS session_key,
         coalesce(cur.next_key, nxt.next_key) AS next_key, coalesce(cur.term, nxt.term) AS term,
         coalesce(f_prev, 0.0) AS f_prev, coalesce(f_next, 0.0) AS f_next
-      FROM cur FULL OUTER JOIN nxt ON cur.patient_id = nxt.patient_id AND cur.session_key = nxt.session_key
+      FROM cur FULL OUTER JOIN nxt ON cur.patient_id IS NOT DISTINCT FROM nxt.patient_id AND cur.session_key = nxt.session_key
         AND cur.next_key = nxt.next_key AND cur.term = nxt.term)
 SELECT patient_id, session_key, next_key, term, round(f_prev, 6) AS f_prev, round(f_next, 6) AS f_next,
   round(ln((f_next + 1e-6) / (f_prev + 1e-6)), 6) AS log_ratio FROM jn""").replace("\n, ct AS", ",\nct AS"))

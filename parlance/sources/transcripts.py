@@ -10,6 +10,7 @@ date and number, dialogue array) and an utterance table exploded from it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -114,37 +115,30 @@ def _segments(df: DataFrame, content: str, name: str, is_speaker, speaker_of, fi
         s["speaker"].alias("speaker"), s["text"].alias("text"))).alias(name))
 
 
-def colon_dialogue(df: DataFrame, content: str, speakers: tuple[str, ...] | None = None,
-                   name: str = "dialogue") -> DataFrame:
-    """S6 (adds the column ``name``): ``Speaker: text`` lines; continuation lines appended unstripped; blanks dropped.
+@dataclass
+class LineRules:
+    """What a line means: does it open a segment, whose, with which text (null: none), and its text otherwise."""
 
-    ``speakers`` (optional allow-list): only these names open a segment, so a
-    prose line such as ``I said: fine`` stays a continuation line.
-    """
-    empty = F.array().cast("array<string>")
+    is_speaker: Callable[[Column], Column]
+    speaker: Callable[[Column], Column]
+    first: Callable[[Column], Column]
+    rest: Callable[[Column], Column]
 
-    def first_piece(line):
-        g2 = F.regexp_extract(line, SPEAKER_RE, 2)
-        return F.when(g2 != "", F.array(g2)).otherwise(empty)
 
+def colon_rules(speakers: tuple[str, ...] | None = None) -> LineRules:
+    """``Speaker: text`` lines; ``speakers`` is an optional allow-list."""
     def is_speaker(line):
         m = line.rlike(SPEAKER_RE)
         if speakers:
             m = m & F.regexp_extract(line, SPEAKER_RE, 1).isin(list(speakers))
         return m
 
-    return _segments(df, content, name, is_speaker,
-                     lambda l: F.regexp_extract(l, SPEAKER_RE, 1), first_piece, lambda l: l)
+    return LineRules(is_speaker, lambda l: F.regexp_extract(l, SPEAKER_RE, 1),
+                     lambda l: F.nullif(F.regexp_extract(l, SPEAKER_RE, 2), F.lit("")), lambda l: l)
 
 
-def bold_dialogue(df: DataFrame, content: str, compat: bool = False, name: str = "dialogue") -> DataFrame:
-    """S7 (adds the column ``name``): ``**Speaker**`` lines; following non-blank lines appended stripped.
-
-    ``compat=True`` keeps the literal name rule (``strip()[2:-2].strip()``:
-    ``**Client:**`` -> ``Client:``, inline text after ``**`` lost); the default
-    strips a trailing colon and keeps inline text after the closing ``**``.
-    """
-    empty = F.array().cast("array<string>")
+def bold_rules(compat: bool = False) -> LineRules:
+    """``**Speaker**`` lines (see ``bold_dialogue``)."""
     is_spk = lambda l: strip_py(l).startswith("**")
 
     def literal_name(l):  # strip()[2:-2].strip()
@@ -152,20 +146,44 @@ def bold_dialogue(df: DataFrame, content: str, compat: bool = False, name: str =
         return strip_py(s.substr(F.lit(3), F.length(s) - 4))
 
     if compat:
-        return _segments(df, content, name, is_spk, literal_name, lambda l: empty,
-                         lambda l: strip_py(l))
+        return LineRules(is_spk, literal_name, lambda l: F.lit(None).cast("string"), strip_py)
     bold = r"(?Us)^\s*\*\*(.*?)\*\*\s*:?(.*)$"
 
     def speaker(l):
-        g = F.regexp_extract(l, bold, 1)
-        fixed = strip_py(F.regexp_replace(strip_py(g), r":$", ""))
+        fixed = strip_py(F.regexp_replace(strip_py(F.regexp_extract(l, bold, 1)), r":$", ""))
         return F.when(l.rlike(bold), fixed).otherwise(literal_name(l))
 
-    def first_piece(l):
-        inline = strip_py(F.regexp_extract(l, bold, 2))
-        return F.when(l.rlike(bold) & (inline != ""), F.array(inline)).otherwise(empty)
+    return LineRules(is_spk, speaker, lambda l: F.when(
+        l.rlike(bold), F.nullif(strip_py(F.regexp_extract(l, bold, 2)), F.lit(""))), strip_py)
+
+
+def rules_of(fmt: str, compat: bool = False, speakers: tuple[str, ...] | None = None) -> LineRules:
+    return bold_rules(compat) if fmt == "md" else colon_rules(speakers)
+
+
+def _dialogue(df: DataFrame, content: str, rules: LineRules, name: str) -> DataFrame:
+    pieces = lambda l: F.filter(F.array(rules.first(l)), lambda x: x.isNotNull())
+    return _segments(df, content, name, rules.is_speaker, rules.speaker, pieces, rules.rest)
 
-    return _segments(df, content, name, is_spk, speaker, first_piece, lambda l: strip_py(l))
+
+def colon_dialogue(df: DataFrame, content: str, speakers: tuple[str, ...] | None = None,
+                   name: str = "dialogue") -> DataFrame:
+    """S6 (adds the column ``name``): ``Speaker: text`` lines; continuation lines appended unstripped; blanks dropped.
+
+    ``speakers`` (optional allow-list): only these names open a segment, so a
+    prose line such as ``I said: fine`` stays a continuation line.
+    """
+    return _dialogue(df, content, colon_rules(speakers), name)
+
+
+def bold_dialogue(df: DataFrame, content: str, compat: bool = False, name: str = "dialogue") -> DataFrame:
+    """S7 (adds the column ``name``): ``**Speaker**`` lines; following non-blank lines appended stripped.
+
+    ``compat=True`` keeps the literal name rule (``strip()[2:-2].strip()``:
+    ``**Client:**`` -> ``Client:``, inline text after ``**`` lost); the default
+    strips a trailing colon and keeps inline text after the closing ``**``.
+    """
+    return _dialogue(df, content, bold_rules(compat), name)
 
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
