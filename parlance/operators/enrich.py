@@ -9,6 +9,8 @@ client shipped here.  Replies are sectioned with array functions.
 
 from __future__ import annotations
 
+import inspect
+import time
 from collections.abc import Callable, Sequence
 
 import pandas as pd
@@ -183,71 +185,121 @@ def progress_prompts(sessions: DataFrame, utterances: DataFrame, sentiment_info:
                     F.when(~ok, "Need at least 2 transcripts to analyze progress").alias("error"))
 
 
-def complete(prompts: DataFrame, completer: Callable[[list[str]], list[str]],
-             opts: EnrichOptions = EnrichOptions(), model: str = "custom") -> DataFrame:
-    """Run ``completer`` over prompt batches on executors (``mapInPandas``).
-
-    Rows with an error or null prompt are passed through; the prompts of a failed
-    batch are tried again one by one, and those that fail yield null replies with the
-    error text (L10).
+class RateLimit:
+    """Token bucket: at most ``burst`` requests at once and ``per_second`` on average (None: no limit)."""
+
+    def __init__(self, per_second: float | None, burst: int = 1, clock=time.monotonic, sleep=time.sleep):
+        self.per_second, self.burst, self.clock, self.sleep = per_second, max(burst, 1), clock, sleep
+        self.tokens, self.at = float(self.burst), clock()
+
+    def take(self) -> None:
+        if not self.per_second:
+            return
+        now = self.clock()
+        self.tokens = min(self.burst, self.tokens + (now - self.at) * self.per_second)
+        self.at = now
+        if self.tokens < 1:
+            self.sleep((1 - self.tokens) / self.per_second)
+            self.tokens, self.at = 1.0, self.clock()
+        self.tokens -= 1
+
+
+def ask(prompts: list[str], completer: Callable, opts: EnrichOptions, limit: RateLimit,
+        sleep=time.sleep) -> list[tuple[str | None, str | None]]:
+    """Replies and errors of one batch.  A failed batch is asked again prompt by prompt, each at most
+    ``opts.retries`` more times, waiting ``opts.backoff_seconds`` doubled each time; an empty reply or a reply list of
+    the wrong length is a failure."""
+    takes_options = len(inspect.signature(completer).parameters) > 1
+
+    def call(some):
+        limit.take()
+        replies = list(completer(some, opts) if takes_options else completer(some))
+        if len(replies) != len(some):
+            raise ValueError(f"{len(replies)} replies to {len(some)} prompts")
+        return replies
+
+    said = lambda r: (r, None) if isinstance(r, str) and r else (None, "Failed to get LLM response")
+    try:
+        replies = call(prompts)
+        if all(isinstance(r, str) and r for r in replies):
+            return [(r, None) for r in replies]
+    except Exception:  # noqa: BLE001 -- asked again below, one by one
+        replies = [None] * len(prompts)
+    out = []
+    for prompt, reply in zip(prompts, replies):
+        result = said(reply)
+        for attempt in range(opts.retries):
+            if result[0] is not None:
+                break
+            sleep(opts.backoff_seconds * 2 ** attempt)
+            try:
+                result = said(call([prompt])[0])
+            except Exception as e:  # noqa: BLE001 -- the last error is reported with the row
+                result = (None, f"Failed to get response: {e}")
+        out.append(result)
+    return out
+
+
+def complete(prompts: DataFrame, completer: Callable, opts: EnrichOptions = EnrichOptions(),
+             model: str = "custom") -> DataFrame:
+    """Add ``response, model`` (and ``error``): ``completer(prompts)`` or ``completer(prompts, opts)`` on executors.
+
+    Equal prompts are asked once: the distinct ones (by SHA-256) are dealt over ``opts.partitions`` tasks, asked in
+    batches of ``opts.batch_size`` under the rate limit (shared out over the tasks), and joined back.  The options
+    (temperature, max_tokens, system_prompt, extra) go to a completer with two parameters.  Rows with an error or
+    without a prompt are not asked; a prompt that fails keeps its error and a null response (L10).  The join
+    reads the replies once; checkpoint the result before reading it twice, or the prompts are asked again.
     """
-    schema = prompts.schema.simpleString()[len("struct<"):-1] + ",response:string,model:string"
     if "error" not in prompts.columns:
         prompts = prompts.withColumn("error", F.lit(None).cast("string"))
-        schema = prompts.schema.simpleString()[len("struct<"):-1] + ",response:string,model:string"
+    keyed = prompts.withColumn("__key", F.when(F.col("error").isNull(), F.sha2("prompt", 256)))
+    n = opts.partitions or max(1, prompts.sparkSession.sparkContext.defaultParallelism)
+    distinct = keyed.where(F.col("__key").isNotNull()).groupBy("__key").agg(F.first("prompt").alias("prompt")) \
+        .repartition(n, "__key")
+    per_task = opts.requests_per_second / n if opts.requests_per_second else None
 
     def run(batches):
+        limit = RateLimit(per_task)
         for pdf in batches:
-            todo = pdf["prompt"].notna() & pdf["error"].isna()
-            out = pd.Series([None] * len(pdf), index=pdf.index, dtype=object)
-            if todo.any():
-                try:
-                    replies = completer(pdf.loc[todo, "prompt"].tolist())
-                    out.loc[todo] = replies
-                except Exception:  # noqa: BLE001 -- one prompt at a time, so that only failing ones have no reply
-                    for i in pdf.index[todo]:
-                        try:
-                            out.loc[i] = completer([pdf.at[i, "prompt"]])[0]
-                        except Exception as e:  # noqa: BLE001
-                            pdf.loc[i, "error"] = f"Failed to get response: {e}"
-            pdf["response"] = out
-            pdf["model"] = model
-            yield pdf
-
-    src = prompts.repartition(opts.partitions) if opts.partitions else prompts
-    return src.mapInPandas(run, schema)
+            said = []
+            for lo in range(0, len(pdf), opts.batch_size):
+                said += ask(pdf["prompt"].iloc[lo:lo + opts.batch_size].tolist(), completer, opts, limit)
+            yield pd.DataFrame({"__key": pdf["__key"], "response": [r for r, _ in said], "__failed": [e for _, e in said]})
+
+    asked = distinct.mapInPandas(run, "`__key` string, response string, `__failed` string")
+    j = keyed.join(asked, "__key", "left")
+    return j.select(*[F.coalesce("error", "__failed").alias(c) if c == "error" else F.col(c) for c in prompts.columns],
+                    "response", F.lit(model).alias("model"))
 
 
 def parse_reply(reply: Column) -> Column:
-    """Section a reply on blank lines into summary / insights / themes / focus."""
+    """Section a reply on blank lines into summary / insights / themes / focus.
+
+    One pass: every section is tagged with its class and the section after it; the lists are picked from
+    the tagged array, which is made once.
+    """
     secs = F.split(reply, "\n\n")
-    n = F.size(secs)
-
-    def is_summary(s, i):
-        return F.lower(s).contains("summary") & (i < n - 1)
-
-    def cls(s, i):
-        low = F.lower(s)
-        return (F.when(is_summary(s, i), "summary")
-                .when(low.contains("insight") | low.contains("pattern"), "insight")
-                .when(low.contains("emotion") | low.contains("theme"), "theme")
-                .when(low.contains("therapeutic") | low.contains("focus") | low.contains("intervention"),
-                      "focus"))
-
-    summaries = F.filter(F.transform(secs, lambda s, i: F.when(is_summary(s, i), F.element_at(secs, i + 2))),
-                         lambda x: x.isNotNull())
-    summary = F.when(F.size(summaries) > 0, F.element_at(summaries, -1)).otherwise(F.lit(""))
-
-    def of(kind):
-        tagged = F.transform(secs, lambda s, i: F.struct(s.alias("s"), cls(s, i).alias("k")))
-        return F.transform(F.filter(tagged, lambda x: x["k"] == kind), lambda x: x["s"])
-
-    insights = of("insight")
-    summary = F.when((summary == "") & (F.size(insights) == 0), reply).otherwise(summary)
-    return F.when(reply.isNotNull(), F.struct(summary.alias("summary"), insights.alias("insights"),
-                                              of("theme").alias("emotional_themes"),
-                                              of("focus").alias("therapeutic_focus"),
-                                              reply.alias("full_response")))
+    low = lambda x: F.lower(x["s"])
+    pairs = F.arrays_zip(secs.alias("s"), F.concat(F.slice(secs, 2, F.greatest(F.size(secs) - 1, F.lit(0))), F.array(
+        F.lit(None).cast("string"))).alias("after"))
+    summary = lambda x: low(x).contains("summary") & x["after"].isNotNull()
+    tagged = F.transform(pairs, lambda x: F.struct(
+        x["s"].alias("s"), F.when(summary(x), x["after"]).alias("summary"),
+        F.when(summary(x), "summary")
+         .when(low(x).contains("insight") | low(x).contains("pattern"), "insight")
+         .when(low(x).contains("emotion") | low(x).contains("theme"), "theme")
+         .when(low(x).contains("therapeutic") | low(x).contains("focus") | low(x).contains("intervention"), "focus")
+         .alias("k")))
+
+    def picked(t):
+        of = lambda kind: F.transform(F.filter(t, lambda x: x["k"] == kind), lambda x: x["s"])
+        last = F.coalesce(F.try_element_at(F.filter(t, lambda x: x["summary"].isNotNull()), F.lit(-1))["summary"], F.lit(""))
+        return F.struct(F.when((last == "") & (F.size(of("insight")) == 0), reply).otherwise(last).alias("summary"),
+                        of("insight").alias("insights"), of("theme").alias("emotional_themes"),
+                        of("focus").alias("therapeutic_focus"), reply.alias("full_response"))
+
+    # a one-element array hands the tagged sections on as a lambda variable, computed once
+    return F.when(reply.isNotNull(), F.element_at(F.transform(F.array(tagged), picked), 1))
 
 
 def paragraphs(reply: Column) -> Column:

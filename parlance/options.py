@@ -78,4 +78,12 @@ class EnrichOptions:
     system_prompt: str | None = None
     compat: bool = False
     partitions: int | None = None
+    #: prompts in one call, calls a second of the whole job (None: no limit), calls more for a failed prompt
+    batch_size: int = 16
+    requests_per_second: float | None = None
+    retries: int = 2
+    backoff_seconds: float = 1.0
+    #: characters of session data in one progress prompt; replies merged at a time
+    part_chars: int = 12_000
+    fan_in: int = 8
     extra: dict = field(default_factory=dict)

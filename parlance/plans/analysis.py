@@ -19,11 +19,13 @@ from ..operators import charts as ch
 from ..operators import enrich as en
 from ..operators import preprocess as pp
 from ..operators import progress as pg
+from ..operators import prompt_parts as pt
 from ..operators import reports as rp
 from ..operators import sentiment as se
 from ..operators import topics as tp
-from ..options import ReportOptions, SentimentOptions, TextOptions, TopicOptions
-from ..sources import sinks
+from ..options import EnrichOptions, ReportOptions, SentimentOptions, TextOptions, TopicOptions
+from ..session import ensure_checkpoint_dir
+from ..sources import line_scan, report_files, sinks
 from ..sources import transcripts as tr
 
 
@@ -47,6 +49,7 @@ class Analysis:
     reports: DataFrame
     charts: dict = field(default_factory=dict)
     enrichment: DataFrame | None = None
+    progress_replies: DataFrame | None = None
 
 
 def analyze(spark: SparkSession, sessions: DataFrame, utterances: DataFrame, lexicon: DataFrame,
@@ -54,7 +57,8 @@ def analyze(spark: SparkSession, sessions: DataFrame, utterances: DataFrame, lex
             lemmas: DataFrame | None = None, idioms=None, group_cols: tuple[str, ...] = (),
             text_opts: TextOptions = TextOptions(), sent_opts: SentimentOptions = SentimentOptions(),
             topic_opts: TopicOptions = TopicOptions(), report_opts: ReportOptions = ReportOptions(),
-            completer=None, rejects: DataFrame | None = None) -> Analysis:
+            completer=None, rejects: DataFrame | None = None,
+            enrich_opts: EnrichOptions = EnrichOptions()) -> Analysis:
     """Run every stage on a session table (with ``transcript_idx``) and its utterances."""
     keys = list(group_cols)
     if keys:
@@ -76,15 +80,25 @@ def analyze(spark: SparkSession, sessions: DataFrame, utterances: DataFrame, lex
         terms = dtop = prev = coh = ttop = None
     facts = pg.session_facts(sessions, ss, prog, ttop, terms)
     trend = pg.corpus_trend(facts, keys)
-    enrichment = None
+    enrichment = progress = None
     if completer is not None and report_opts.include_enrichment:
+        ensure_checkpoint_dir(spark)
         content = en.session_content(sessions, utterances)
-        replies = en.complete(en.summary_prompts(content), completer)
-        parsed = replies.select("session_key", en.parse_reply(F.col("response")).alias("p"))
-        enrichment = parsed.select("session_key", F.col("p.summary").alias("enriched_summary"),
-                                   F.col("p.insights").alias("enriched_insights"),
-                                   F.col("p.emotional_themes").alias("enriched_themes"),
-                                   F.col("p.therapeutic_focus").alias("enriched_focus"))
+        sent = en.sentiment_highlights(ss, prog)
+        topic = en.topic_highlights(ttop, terms) if ttop is not None else sent.select(
+            "session_key", F.lit(None).cast("string").alias("topic_info"))
+        # replies cost calls: each table of them is checkpointed, so no prompt is asked again
+        replies = en.complete(en.summary_prompts(content), completer, enrich_opts).select(
+            "session_key", en.parse_reply(F.col("response")).alias("p")).checkpoint(eager=True)
+        combined = en.complete(en.analysis_prompts(content, sent, topic, enrich_opts), completer, enrich_opts).select(
+            "session_key", en.paragraphs(F.col("response")).alias("contextual_insights")).checkpoint(eager=True)
+        enrichment = replies.join(combined, "session_key", "left").select(
+            "session_key", F.col("p.summary").alias("enriched_summary"),
+            F.col("p.insights").alias("enriched_insights"), F.col("p.emotional_themes").alias("enriched_themes"),
+            F.col("p.therapeutic_focus").alias("enriched_focus"), "contextual_insights")
+        parts = pt.progress_prompt_parts(sessions, utterances, sent, topic, keys, enrich_opts.part_chars)
+        progress = pt.progress_replies(parts, completer, keys, enrich_opts).select(
+            *keys, en.paragraphs(F.col("response")).alias("paragraphs"))
     session_rep = rp.session_reports(facts, report_opts, enrichment, keys)
     overall = rp.overall_reports(
         facts, trend,
@@ -92,7 +106,7 @@ def analyze(spark: SparkSession, sessions: DataFrame, utterances: DataFrame, lex
         pg.theme_evolution(prev, keys) if prev is not None else None,
         pg.consistent_topic(prev, keys) if prev is not None else None,
         pg.emerging_topic(prev, keys) if prev is not None else None,
-        pg.speaker_gap(scored, sessions, keys), terms, keys, report_opts)
+        pg.speaker_gap(scored, sessions, keys), terms, keys, report_opts, progress)
     reports = rp.all_reports(session_rep, overall)
     dated_ss = ss.join(sessions.select("session_key", "session_date", *keys), "session_key")
     charts = {
@@ -111,18 +125,19 @@ def analyze(spark: SparkSession, sessions: DataFrame, utterances: DataFrame, lex
                     scored=scored, session_sentiment=ss, speaker_sentiment=spk, progression=prog,
                     documents=docs, topic_terms=terms, document_topics=dtop, prevalence=prev,
                     coherence=coh, facts=facts, trend=trend, reports=reports, charts=charts,
-                    enrichment=enrichment)
+                    enrichment=enrichment, progress_replies=progress)
 
 
 def analyze_directory(spark: SparkSession, path: str, fmt: str, lexicon: DataFrame, **kw) -> Analysis:
-    """S1-S10 then ``analyze``; ``compat`` and ``speakers`` go to the reader."""
-    t = tr.read_transcripts(spark, path, fmt, kw.pop("compat", False), tuple(kw.get("group_cols", ())),
-                            kw.pop("speakers", None))
+    """S1-S10 then ``analyze``; ``compat`` and ``speakers`` go to the reader, ``split_files`` picks the one that
+    reads line by line (files larger than a task; no ``raw_content``)."""
+    read = line_scan.read_transcript_lines if kw.pop("split_files", False) else tr.read_transcripts
+    t = read(spark, path, fmt, kw.pop("compat", False), tuple(kw.get("group_cols", ())), kw.pop("speakers", None))
     return analyze(spark, t.sessions, t.utterances, lexicon, rejects=t.rejects, **kw)
 
 
-def write_outputs(a: Analysis, out: str, report_format: str = "md") -> None:
-    """Materialise every table as Parquet under ``out`` (reports also as text folders)."""
+def write_outputs(a: Analysis, out: str, report_format: str = "md", stamp: str | None = None) -> None:
+    """Materialise every table as Parquet under ``out`` (reports also as one file each, named with ``stamp``)."""
     tables = {
         "sessions": a.sessions.drop("dialogue"), "utterance_sentiment": a.scored,
         "session_sentiment": a.session_sentiment, "speaker_sentiment": a.speaker_sentiment,
@@ -138,4 +153,4 @@ def write_outputs(a: Analysis, out: str, report_format: str = "md") -> None:
     for name, df in a.charts.items():
         df.write.mode("overwrite").parquet(os.path.join(out, "charts", name))
     sinks.write_reports(a.reports, os.path.join(out, "reports"), report_format)
-    sinks.write_reports(a.reports, os.path.join(out, "report_text"), report_format, as_text_files=True)
+    report_files.write_report_files(a.reports, os.path.join(out, "report_files"), report_format, stamp)

@@ -5,25 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_METADATA_KEYS = 10_000
+from .report_files import report_format
 
+#: metadata keys that become columns of their own in the flat table
+MAX_METADATA_COLUMNS = 10_000
 
-def flat_utterances(sessions: DataFrame, utterances: DataFrame) -> DataFrame:
+
+def flat_utterances(sessions: DataFrame, utterances: DataFrame, max_columns: int = MAX_METADATA_COLUMNS) -> DataFrame:
     """S11 table: one row per utterance with file/date/number and one ``metadata_<key>`` per key.
 
-    The key set defines the output schema, so it is the one thing gathered
-    to the driver: distinct keys (a partially aggregated set, bounded by
-    ``MAX_METADATA_KEYS``), never rows.
+    The key set defines the schema, so it is the one thing gathered to the driver, and no more than
+    ``max_columns`` + 1 keys of it.  Beyond that no table is that wide: all metadata are then one JSON column
+    ``metadata``, whole.
     """
     keys = [r[0] for r in sessions.select(F.explode(F.map_keys("metadata")).alias("k"))
-            .distinct().orderBy("k").limit(MAX_METADATA_KEYS + 1).collect()]
-    if len(keys) > MAX_METADATA_KEYS:
-        raise ValueError("too many distinct metadata keys for a flat table")
-    s = sessions.select("session_key", "file_name", "session_date", "session_number",
-                        *[F.col("metadata")[k].alias(f"metadata_{k}") for k in keys])
+            .distinct().orderBy("k").limit(max_columns + 1).collect()]
+    if len(keys) > max_columns:
+        extra = [F.to_json("metadata").alias("metadata")]
+        names = ["metadata"]
+    else:
+        extra = [F.col("metadata")[k].alias(f"metadata_{k}") for k in keys]
+        names = [f"`metadata_{k}`" for k in keys]
+    s = sessions.select("session_key", "file_name", "session_date", "session_number", *extra)
     return utterances.select("session_key", "dialogue_idx", "speaker", "text").join(s, "session_key") \
-        .select("file_name", "session_date", "session_number", "speaker", "text",
-                *[f"metadata_{k}" for k in keys], "session_key", "dialogue_idx")
+        .select("file_name", "session_date", "session_number", "speaker", "text", *names, "session_key", "dialogue_idx")
 
 
 def write_flat_csv(sessions: DataFrame, utterances: DataFrame, path: str, mode: str = "overwrite"):
@@ -38,25 +43,13 @@ def write_raw_json(sessions: DataFrame, path: str, mode: str = "overwrite"):
     sessions.select(*cols).write.mode(mode).json(path)
 
 
-REPORT_FORMATS = ("md", "txt", "html")
-
-
-def report_format(fmt: str) -> str:
-    """Unknown formats fall back to md; html is the same text, unrendered."""
-    return fmt if fmt in REPORT_FORMATS else "md"
-
-
-def report_file_name(name, fmt: str, stamp: str):
-    """``<name with spaces as _>_<stamp>.<fmt>`` as a column expression."""
-    return F.concat(F.regexp_replace(name, " ", "_"), F.lit(f"_{stamp}.{report_format(fmt)}"))
-
-
 def write_reports(reports: DataFrame, path: str, fmt: str = "md", as_text_files: bool = False,
                   mode: str = "overwrite"):
     """Write the reports table (group columns, ``session_key, report_name, content``).
 
     Default: Parquet table.  ``as_text_files``: one text folder per report
-    (``partitionBy`` the group columns, session and name), content lines as written.
+    (``partitionBy`` the group columns, session and name), content lines as written.  One named file per
+    report: ``report_files.write_report_files``.
     """
     if as_text_files:
         keys = [c for c in reports.columns if c not in ("content", "insights", "recommendations")]

@@ -202,7 +202,7 @@ def test_streaming_ingest(spark):
 
 
 def test_sinks(spark):
-    from parlance.sources import sinks
+    from parlance.sources import report_files, sinks
     d = tempfile.mkdtemp(prefix="parlance-k-")
     _write(d, "session_2023-07-15_new.mdx", README_MDX)
     t = tr.read_transcripts(spark, d, "mdx")
@@ -224,7 +224,7 @@ def test_sinks(spark):
     sinks.write_reports(both, os.path.join(out, "two"), as_text_files=True)
     got = {(r.patient_id, r.session_key, r.value) for r in spark.read.text(os.path.join(out, "two")).collect()}
     assert got == {("p1", 1, "a"), ("p2", 2, "b"), ("p2", None, "c")}
-    name = spark.range(1).select(sinks.report_file_name(F.lit("session 1"), "html", "20240101").alias("n")).first().n
+    name = spark.range(1).select(report_files.report_file_name(F.lit("session 1"), "html", "20240101").alias("n")).first().n
     assert name == "session_1_20240101.html"
 
 
@@ -324,7 +324,8 @@ def test_end_to_end_directory(spark):
     rep = {r.report_name: r.content for r in spark.read.parquet(os.path.join(out, "reports")).collect()}
     assert set(rep) == {"session_1", "session_2", "overall_progress"}
     assert rep["session_1"].startswith("# Session 1 Report (2023-07-15)")
-    assert "## AI-Enhanced Summary" in rep["session_1"]
+    assert "## LLM-Generated Insights" in rep["session_1"] and "### Contextual Analysis" in rep["session_1"]
+    assert "## LLM-Generated Progress Insights" in rep["overall_progress"]
     assert "**Sessions Analyzed**: 2" in rep["overall_progress"]
     assert spark.read.parquet(os.path.join(out, "utterance_sentiment")).count() == 20
 
