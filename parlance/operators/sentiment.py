@@ -9,7 +9,7 @@ digits, so capitals/punctuation/emoticon rules cannot fire):
 * for each of the three preceding words not in the lexicon: booster scalar
   (signed like the current valence, damped x0.95 / x0.9 at distance 2 / 3),
   negation (x-0.74, with the ``never so/this`` amplifications), and at
-  distance 3 the idiom table;
+  distance 3 the idiom table, joined by phrase (any number of idioms);
 * ``least`` before a word negates it unless preceded by ``at``/``very``;
 * the first ``but`` halves earlier valences and multiplies later ones by 1.5;
 * compound = s / sqrt(s^2 + 15); pos/neg/neu shares.
@@ -42,7 +42,6 @@ UTTERANCE_KEYS = ("session_key", "dialogue_idx")
 NEGATION_SCALAR = -0.74
 BOOSTER_DECREMENT = -0.293
 NORMALIZE_ALPHA = 15.0
-MAX_PHRASE_TABLE = 10_000
 
 
 # Words the context rules test by name.
@@ -51,11 +50,10 @@ UNKNOWN = "\u0000"
 
 
 def term_dictionary(lexicon: DataFrame, boosters: DataFrame | None, negators: DataFrame | None,
-                    rule_words: Sequence[str] = RULE_WORDS) -> DataFrame:
+                    rule_words: Sequence[str] = RULE_WORDS, phrases: DataFrame | None = None) -> DataFrame:
     """One row per unigram the rules look at: valence, booster scalar, negator flag.
 
-    Words the rules test by name (and words of multi-word idioms/boosters)
-    are included with nulls, so the sparse token array keeps them.
+    Words the rules test by name and the words of ``phrases`` are included with nulls, so their tokens are kept.
     """
     spark = lexicon.sparkSession
     parts = [lexicon.select(F.col("term"), F.col("valence").cast("double").alias("v"),
@@ -70,6 +68,9 @@ def term_dictionary(lexicon: DataFrame, boosters: DataFrame | None, negators: Da
     parts.append(spark.createDataFrame([(w,) for w in sorted(set(rule_words))], "term string").select(
         "term", F.lit(None).cast("double").alias("v"), F.lit(None).cast("double").alias("b"),
         F.lit(False).alias("n")))
+    if phrases is not None:
+        parts.append(phrases.select(F.explode(F.split("phrase", " ")).alias("term"), F.lit(None).cast("double").alias("v"),
+                                    F.lit(None).cast("double").alias("b"), F.lit(False).alias("n")))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
@@ -77,18 +78,52 @@ def term_dictionary(lexicon: DataFrame, boosters: DataFrame | None, negators: Da
                                  F.max(F.col("n").cast("int")).cast("boolean").alias("n"))
 
 
-def _phrase_map(rows: Sequence[tuple[str, float]]) -> Column | None:
-    if not rows:
-        return None
-    if len(rows) > MAX_PHRASE_TABLE:
-        raise ValueError("phrase tables are inlined into the plan; keep them small")
-    d = dict(rows)
-    return F.create_map(*[x for k in sorted(d) for x in (F.lit(k), F.lit(float(d[k])))])
+def phrase_table(spark, boosters: DataFrame | None, idioms) -> DataFrame:
+    """A4: ``phrase, iv, dec``: valence of an idiom, and whether the phrase is a two-word booster.
+
+    ``idioms`` is a table ``phrase, valence`` (of equal phrases the highest counts) or a list of pairs (the last counts).
+    """
+    parts = spark.createDataFrame([], "phrase string, iv double, dec boolean")
+    if idioms is not None and not isinstance(idioms, DataFrame):
+        idioms = spark.createDataFrame(sorted((k, float(v)) for k, v in dict(idioms).items()), "phrase string, valence double")
+    if idioms is not None:
+        parts = parts.unionByName(idioms.select("phrase", F.col("valence").cast("double").alias("iv"), F.lit(False).alias("dec")))
+    if boosters is not None:
+        parts = parts.unionByName(boosters.where(F.col("term").contains(" ")).select(
+            F.col("term").alias("phrase"), F.lit(None).cast("double").alias("iv"), F.lit(True).alias("dec")))
+    return parts.groupBy("phrase").agg(F.max("iv").alias("iv"), F.max("dec").alias("dec"))
+
+
+def _with_phrases(r: DataFrame, phrases: DataFrame, keys: list[str]) -> DataFrame:
+    """Add what the phrases around a token say: ``idm`` (null: no idiom) and ``dec``.
+
+    Phrases of two and of three words are joined at their last word; the tokens around look them up by position,
+    in the scorer's order: those that end at the token or before it (first match), then those that start with it.
+    """
+    known = lambda *t: F.when(F.greatest(*[(F.col(x) == UNKNOWN).cast("int") for x in t]) == 0, F.concat_ws(" ", *t))
+    cols = r.columns
+    two = broadcast_if_small(phrases.select(F.col("phrase").alias("_k2"), F.col("iv").alias("_i2"), F.col("dec").alias("_d2")))
+    three = broadcast_if_small(phrases.select(F.col("phrase").alias("_k3"), F.col("iv").alias("_i3")))
+    r = r.withColumn("_k2", known("t1", "tok")).withColumn("_k3", known("t2", "t1", "tok"))
+    r = r.join(two, "_k2", "left").join(three, "_k3", "left")
+    w = Window.partitionBy(*keys).orderBy("p")
+    r = r.select("*", *[f(c, k).over(w).alias(f"{c}{n}{k}") for f, n in ((F.lag, "m"), (F.lead, "p")) for k in (1, 2)
+                        for c in ("p", "_i2", "_i3", "_d2")])
+
+    def at(field, dist):
+        """Field of the kept token ``dist`` words further (negative: before)."""
+        n = "m" if dist < 0 else "p"
+        return F.coalesce(*[F.when(F.col(f"p{n}{k}") == F.col("p") + dist, F.col(f"{field}{n}{k}")) for k in (1, 2)])
+
+    before = F.coalesce(F.col("_i2"), F.col("_i3"), at("_i2", -1), at("_i3", -1), at("_i2", -2))
+    idm = F.coalesce(at("_i3", 2), at("_i2", 1), before)
+    dec = F.coalesce(at("_d2", -1), F.lit(False)) | F.coalesce(at("_d2", -2), F.lit(False))
+    return r.select(*cols, idm.alias("idm"), dec.alias("dec"))
 
 
 def score_utterances(utterances: DataFrame, lexicon: DataFrame, boosters: DataFrame | None = None,
                      negators: DataFrame | None = None,
-                     idioms: Sequence[tuple[str, float]] | None = None,
+                     idioms: DataFrame | Sequence[tuple[str, float]] | None = None,
                      opts: SentimentOptions = SentimentOptions(),
                      keys: Sequence[str] = UTTERANCE_KEYS) -> DataFrame:
     """One scored row per utterance with non-empty raw text.
@@ -113,15 +148,12 @@ def score_utterances(utterances: DataFrame, lexicon: DataFrame, boosters: DataFr
     toks = tx.vader_tokens(F.coalesce(F.col(src), F.lit("")))
     u = utterances.where(tx.has_text("text"))
     carry = [c for c in u.columns if c not in keys]
-    bigram_boosters = []
-    if boosters is not None:
-        bigram_boosters = sorted(r[0] for r in boosters.where(F.col("term").contains(" "))
-                                 .select("term").limit(MAX_PHRASE_TABLE + 1).collect())
-        if len(bigram_boosters) > MAX_PHRASE_TABLE:
-            raise ValueError("too many multi-word boosters to inline")
-    phrase_words = {w for p in bigram_boosters for w in p.split()}
-    phrase_words |= {w for p, _ in (idioms or []) for w in p.split()}
-    d = term_dictionary(lexicon, boosters, negators, tuple(RULE_WORDS) + tuple(sorted(phrase_words)))
+    phrases = None
+    if boosters is not None or idioms is not None:
+        phrases = phrase_table(lexicon.sparkSession, boosters, idioms)
+        if phrases.isEmpty():
+            phrases = None
+    d = term_dictionary(lexicon, boosters, negators, RULE_WORDS, phrases)
     d = d.select(F.col("term").alias("_dkey"), "v", "b", "n")
 
     e = u.select(*u.columns, F.posexplode_outer(toks).alias("_pos", "_tok"))
@@ -165,9 +197,12 @@ def score_utterances(utterances: DataFrame, lexicon: DataFrame, boosters: DataFr
                  *[at(k, "v", F.lit(None).cast("double")).isNotNull().alias(f"l{k}") for k in (1, 2, 3)],
                  *[at(k, "b", F.lit(0.0)).alias(f"b{k}") for k in (1, 2, 3)],
                  *[at(k, "n", F.lit(False)).alias(f"n{k}") for k in (1, 2, 3)],
-                 fwd(1).alias("f1"), fwd(2).alias("f2"))
+                 fwd(1).alias("f1"))
     base = [*keys, *carry, "_ntok", "p", "h", "tok", "v", "b", "_bi", "t1", "t2", "t3", "l1", "l2", "l3",
-            "b1", "b2", "b3", "n1", "n2", "n3", "f1", "f2"]
+            "b1", "b2", "b3", "n1", "n2", "n3", "f1"]
+    if phrases is not None:
+        r = _with_phrases(r, phrases, keys)
+        base += ["idm", "dec"]
 
     def signed(v, bk):
         return F.when(v < 0, -F.col(bk)).otherwise(F.col(bk))
@@ -184,27 +219,9 @@ def score_utterances(utterances: DataFrame, lexicon: DataFrame, boosters: DataFr
     amp2 = (F.col("t3") == "never") & (F.col("t2").isin("so", "this") | F.col("t1").isin("so", "this"))
     v3 = (F.col("x2") + signed(F.col("x2"), "b3") * 0.9) * \
         F.when(amp2, 1.25).when(F.col("n3"), NEGATION_SCALAR).otherwise(1.0)
-    idiom_map = _phrase_map(idioms or [])
-    if idiom_map is not None:
-        def pair(a_, b_):
-            return F.concat_ws(" ", F.col(a_), F.col(b_))
-
-        def triple(a_, b_, c_):
-            return F.concat_ws(" ", F.col(a_), F.col(b_), F.col(c_))
-        seqs = [pair("t1", "tok"), triple("t2", "t1", "tok"), pair("t2", "t1"),
-                triple("t3", "t2", "t1"), pair("t3", "t2")]
-        found = None
-        for sq in reversed(seqs):  # the first sequence that matches wins
-            val = F.element_at(idiom_map, sq)
-            found = F.when(val.isNotNull(), val) if found is None else \
-                F.when(val.isNotNull(), val).otherwise(found)
-        v3 = F.coalesce(found, v3)
-        v3 = F.coalesce(F.element_at(idiom_map, pair("tok", "f1")), v3)
-        v3 = F.coalesce(F.element_at(idiom_map, triple("tok", "f1", "f2")), v3)
-    if bigram_boosters:
-        dec = (F.concat_ws(" ", F.col("t3"), F.col("t2")).isin(bigram_boosters)
-               | F.concat_ws(" ", F.col("t2"), F.col("t1")).isin(bigram_boosters))
-        v3 = F.when(dec, v3 + BOOSTER_DECREMENT).otherwise(v3)
+    if phrases is not None:
+        v3 = F.coalesce(F.col("idm"), v3)
+        v3 = F.when(F.col("dec"), v3 + BOOSTER_DECREMENT).otherwise(v3)
     x3 = F.when((F.col("p") > 2) & ~F.col("l3"), v3).otherwise(F.col("x2"))
     r = r.select(*base, x3.alias("x3"))
     least1 = (F.col("p") > 0) & ~F.col("l1") & (F.col("t1") == "least")

@@ -11,80 +11,152 @@ from __future__ import annotations
 
 import logging
 import math
+import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .. import schema as S
+from ..functions.ordering import dense_index, join_groups, rank_within, running_sums
 from ..options import TopicOptions
-from ..session import broadcast_if_small, with_scalar
+from ..session import broadcast_if_small, ensure_checkpoint_dir, with_scalar
 
 DOC_KEYS = ("doc_type", "session_key", "dialogue_idx")
 EPSILON = 1e-12
-MAX_TOPIC_WORDS = 100_000
 
 
 # ------------------------------------------------------------------ T1
-def documents(processed: DataFrame, session_tokens: DataFrame | None = None) -> DataFrame:
-    """(doc_type, session_key, dialogue_idx, tokens) for non-empty token lists.
+@dataclass(frozen=True)
+class Corpus:
+    """The documents at both grains, without a row that holds a session's tokens.
 
-    ``transcript`` documents use ``dialogue_idx = -1``.  Session tokens are
-    the ordered concatenation of utterance tokens (see P13).
+    ``rows`` are the utterances with tokens; a session's document is their concatenation, so its counts are sums and
+    its positions are offsets into it.  ``docs``: document keys and ``n_tokens``; ``counts``: document keys,
+    ``term``, ``count``.
     """
-    utt = processed.where(F.size("tokens") > 0).select(
-        F.lit("dialogue").alias("doc_type"), "session_key", F.col("dialogue_idx").cast("bigint"), "tokens")
-    if session_tokens is None:
-        ordered = F.array_sort(F.collect_list(F.struct(F.col("dialogue_idx").alias("i"),
-                                                       F.col("tokens").alias("k"))))
-        session_tokens = processed.where(F.size("tokens") > 0).groupBy("session_key").agg(
-            F.flatten(F.transform(ordered, lambda u: u["k"])).alias("combined_tokens"))
-    ses = session_tokens.where(F.size("combined_tokens") > 0).select(
-        F.lit("transcript").alias("doc_type"), "session_key", F.lit(-1).cast("bigint").alias("dialogue_idx"),
-        F.col("combined_tokens").alias("tokens"))
-    return ses.unionByName(utt)
+
+    rows: DataFrame
+    docs: DataFrame
+    counts: DataFrame
+    two_grains: bool = True
+
+    def occurrences(self, terms: DataFrame) -> DataFrame:
+        """Document keys, ``n_tokens``, ``p`` (position from 0) and ``term`` of the tokens that are in ``terms``."""
+        r, at, keys = self.rows, F.lit(0).cast("long").alias("_at"), ["session_key", "dialogue_idx"]
+        if self.two_grains:
+            offsets = running_sums(r.select(*keys, F.size("tokens").cast("long").alias("_size")), ["session_key"],
+                                   ["dialogue_idx"], {"_at": F.col("_size")}).drop("_size")
+            r, at = join_groups(r, offsets, keys), F.col("_at")
+        e = r.select(*[c for c in DOC_KEYS if c in r.columns], at, F.posexplode("tokens").alias("p", "term")) \
+            .join(broadcast_if_small(terms.select("term").distinct()), "term")
+        if self.two_grains:
+            grains = F.array(
+                F.struct(F.lit("dialogue").alias("doc_type"), F.col("dialogue_idx").alias("dialogue_idx"),
+                         F.col("p").cast("long").alias("p")),
+                F.struct(F.lit("transcript").alias("doc_type"), F.lit(-1).cast("long").alias("dialogue_idx"),
+                         (F.col("_at") + F.col("p")).alias("p")))
+            e = e.select("term", "session_key", F.explode(grains).alias("g")).select(
+                "g.doc_type", "session_key", "g.dialogue_idx", "g.p", "term")
+        return join_groups(e.select(*DOC_KEYS, F.col("p").cast("long").alias("p"), "term"), self.docs, DOC_KEYS)
+
+
+def corpus(processed: DataFrame) -> Corpus:
+    """Utterance and session documents of the non-empty token lists of ``processed``.
+
+    Session documents have ``dialogue_idx = -1``; their tokens are those of their utterances in order (see P13).
+    """
+    rows = processed.where(F.size("tokens") > 0).select(
+        "session_key", F.col("dialogue_idx").cast("bigint").alias("dialogue_idx"), "tokens")
+    utt, ses = F.lit("dialogue").alias("doc_type"), F.lit("transcript").alias("doc_type")
+    whole = F.lit(-1).cast("bigint").alias("dialogue_idx")
+    sizes = rows.select("session_key", "dialogue_idx", F.size("tokens").cast("long").alias("n_tokens"))
+    docs = sizes.select(utt, "session_key", "dialogue_idx", "n_tokens").unionByName(
+        sizes.groupBy("session_key").agg(F.sum("n_tokens").alias("n_tokens")).select(ses, "session_key", whole, "n_tokens"))
+    said = rows.select("session_key", "dialogue_idx", F.explode("tokens").alias("term")) \
+        .groupBy("session_key", "dialogue_idx", "term").agg(F.count(F.lit(1)).alias("count"))
+    counts = said.select(utt, "session_key", "dialogue_idx", "term", "count").unionByName(
+        said.groupBy("session_key", "term").agg(F.sum("count").alias("count")).select(ses, "session_key", whole, "term", "count"))
+    return Corpus(rows, docs, counts)
+
+
+def as_corpus(docs: Corpus | DataFrame) -> Corpus:
+    """A corpus as it is; a table of documents (keys and ``tokens``, every row a document) as one grain."""
+    if isinstance(docs, Corpus):
+        return docs
+    rows = docs.where(F.size("tokens") > 0).select(*DOC_KEYS, "tokens")
+    counts = rows.select(*DOC_KEYS, F.explode("tokens").alias("term")).groupBy(*DOC_KEYS, "term") \
+        .agg(F.count(F.lit(1)).alias("count"))
+    return Corpus(rows, rows.select(*DOC_KEYS, F.size("tokens").cast("long").alias("n_tokens")), counts, False)
 
 
 # ------------------------------------------------------------------ T2
-def document_frequency(docs: DataFrame) -> DataFrame:
+def document_frequency(docs: Corpus | DataFrame) -> DataFrame:
     """(term, df): number of documents containing the term (partial aggregation, skew-safe)."""
-    return docs.select(F.explode(F.array_distinct("tokens")).alias("term")).groupBy("term") \
-        .agg(F.count(F.lit(1)).alias("df"))
+    return as_corpus(docs).counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def vocabulary(docs: DataFrame, opts: TopicOptions = TopicOptions()) -> DataFrame:
+def vocabulary(docs: Corpus | DataFrame, opts: TopicOptions = TopicOptions()) -> DataFrame:
     """Keep ``min_df <= df <= floor(max_df * N)``; at most ``max_vocab`` terms by df if that is set.
 
-    ``N`` is a one-row aggregate joined on a constant key; the ranking for the cap is a global top-k
-    (bounded by ``max_vocab``), ties by term.  Output (term, df, term_index).
+    ``N`` is one number.  Terms are numbered by df (descending), then term, with a distributed dense index.
+    Output (term, df, term_index).
     """
-    n = docs.agg(F.count(F.lit(1)).alias("_n"))
+    c = as_corpus(docs)
+    n = c.docs.agg(F.count(F.lit(1)).alias("_n"))
     upper = F.floor(F.lit(opts.max_df) * F.col("_n")) if opts.max_df <= 1.0 else F.lit(int(opts.max_df))
-    kept = with_scalar(document_frequency(docs), n) \
+    kept = with_scalar(document_frequency(c), n) \
         .where((F.col("df") >= opts.min_df) & (F.col("df") <= upper)).drop("_n")
-    w = Window.orderBy(F.col("df").desc(), F.col("term").asc())
     if opts.max_vocab is not None:
         kept = kept.orderBy(F.col("df").desc(), F.col("term").asc()).limit(opts.max_vocab)
-    return kept.withColumn("term_index", (F.row_number().over(w) - 1).cast("int"))
+    return dense_index(kept, [F.col("df").desc(), F.col("term").asc()], "term_index", key="term",
+                       order_cols=("df", "term")).select("term", "df", F.col("term_index").cast("int"))
 
 
 # ------------------------------------------------------------------ T4
-def bag_of_words(docs: DataFrame, vocab: DataFrame) -> DataFrame:
+def bag_of_words(docs: Corpus | DataFrame, vocab: DataFrame) -> DataFrame:
     """T4: (doc keys, term, count) restricted to the vocabulary."""
-    e = docs.select(*DOC_KEYS, F.explode("tokens").alias("term"))
-    v = broadcast_if_small(vocab.select("term"))
-    return e.join(v, "term").groupBy(*DOC_KEYS, "term").agg(F.count(F.lit(1)).alias("count"))
+    return as_corpus(docs).counts.join(broadcast_if_small(vocab.select("term")), "term") \
+        .select(*DOC_KEYS, "term", "count")
+
+
+FEATURES = T.StructType([
+    *[T.StructField(k, t) for k, t in zip(DOC_KEYS, (T.StringType(), T.LongType(), T.LongType()))],
+    T.StructField("features", VectorUDT())])
+
+
+def feature_vectors(docs: Corpus | DataFrame, vocab: DataFrame, n_terms: int) -> DataFrame:
+    """T4 as sparse vectors over ``term_index`` (doc keys, ``features``), a row per document, also without known terms.
+
+    The vectors are made by join and grouping and written once to the checkpoint folder in the stored form of a
+    vector; read back they are vectors.  So neither the dictionary nor Python is needed to make them, and every
+    pass of a fit reads the same files.
+    """
+    c = as_corpus(docs)
+    spark = vocab.sparkSession
+    ids = c.counts.join(broadcast_if_small(vocab.select("term", "term_index")), "term")
+    pairs = ids.groupBy(*DOC_KEYS).agg(F.sort_array(F.collect_list(F.struct("term_index", "count"))).alias("_t"))
+    j = join_groups(c.docs, pairs, DOC_KEYS, "left")
+    found = F.coalesce("_t", F.array().cast("array<struct<term_index:int,count:bigint>>"))
+    stored = j.select(*DOC_KEYS, F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(n_terms).alias("size"),
+        F.transform(found, lambda x: x["term_index"]).alias("indices"),
+        F.transform(found, lambda x: x["count"].cast("double")).alias("values")).alias("features"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/features-{uuid.uuid4().hex}"
+    stored.write.parquet(path)
+    return spark.read.schema(FEATURES).parquet(path)
 
 
 # ---------------------------------------------------------------- T5-T10
 @dataclass
 class TopicModel:
-    vocab: list[str]
+    vocab: DataFrame              # T2 (term, df, term_index)
     topic_terms: DataFrame        # T7 (topic_id, term, weight)
     document_topics: DataFrame    # T8-T10
     doc_concentration: list[float]
@@ -108,26 +180,25 @@ def with_dominant(df: DataFrame, mixture: str = "topic_distribution") -> DataFra
              .withColumn("dominant_topic_prob", F.coalesce(first["prob"], F.lit(0.0)))
 
 
-def fit_topics(docs: DataFrame, opts: TopicOptions = TopicOptions(),
-               vocab: DataFrame | None = None) -> TopicModel | None:
+def fit_topics(docs: Corpus | DataFrame, opts: TopicOptions = TopicOptions(),
+               vocab: DataFrame | None = None, feats: DataFrame | None = None) -> TopicModel | None:
     """Vocabulary, bag of words, online LDA, topic terms and document mixtures.
 
-    Returns None when there are no documents or the vocabulary is empty (T3).
+    Returns None when there are no documents or the vocabulary is empty (T3).  Fits of one corpus may share
+    ``vocab`` and ``feats`` (of ``feature_vectors``).
     """
+    c = as_corpus(docs)
     if vocab is None:
-        vocab = vocabulary(docs, opts)
-    terms = [r["term"] for r in vocab.orderBy("term_index").select("term").collect()]
-    if len(terms) < 10:
+        ensure_checkpoint_dir(c.rows.sparkSession)
+        vocab = vocabulary(c, opts).checkpoint(eager=True)
+    n_terms = vocab.count()
+    if n_terms < 10:
         logging.getLogger(__name__).warning(
-            "topic model on a vocabulary of %d terms (document frequencies %s to %s)", len(terms), opts.min_df, opts.max_df)
-    if not terms:
-        return None
-    cv = CountVectorizerModel.from_vocabulary(terms, inputCol="tokens", outputCol="features")
-    feats = cv.transform(docs).persist()
-    n_docs = feats.count()
-    if n_docs == 0:
-        feats.unpersist()
+            "topic model on a vocabulary of %d terms (document frequencies %s to %s)", n_terms, opts.min_df, opts.max_df)
+    if not n_terms:
         return None
+    if feats is None:
+        feats = feature_vectors(c, vocab, n_terms)
     # a mini-batch is a fixed share of the documents, so the number of jobs does not grow with them
     iters = max(1, math.ceil(opts.passes / opts.batch_share))
     lda = LDA(k=opts.num_topics, maxIter=iters, optimizer="online", learningOffset=1.0,
@@ -136,14 +207,12 @@ def fit_topics(docs: DataFrame, opts: TopicOptions = TopicOptions(),
               topicDistributionCol="topicDistribution")
     model = lda.fit(feats)
     alpha = [float(a) for a in model.estimatedDocConcentration().toArray()]
-    spark = docs.sparkSession
-    vdf = spark.createDataFrame([(i, t) for i, t in enumerate(terms)], "term_index int, term string")
     desc = model.describeTopics(opts.top_terms)
     tt = desc.select(F.col("topic").cast("int").alias("topic_id"),
                      F.explode(F.arrays_zip("termIndices", "termWeights")).alias("z"))
     tt = tt.select("topic_id", F.col("z.termIndices").cast("int").alias("term_index"),
                    F.col("z.termWeights").alias("weight")) \
-           .join(broadcast_if_small(vdf), "term_index").select("topic_id", "term", "weight")
+           .join(vocab.select("term_index", "term"), "term_index").select("topic_id", "term", "weight")
     # A document whose words are all out of vocabulary gets the prior mixture.
     prior = F.array(*[F.lit(a / sum(alpha)) for a in alpha])
     td = model.transform(feats).withColumn("_p", vector_to_array("topicDistribution"))
@@ -151,7 +220,7 @@ def fit_topics(docs: DataFrame, opts: TopicOptions = TopicOptions(),
     td = td.withColumn("_p", F.when(oov, prior).otherwise(F.col("_p")))
     td = td.withColumn("topic_distribution", mixture_column(F.col("_p"), opts.min_prob))
     td = with_dominant(td.select(*DOC_KEYS, "topic_distribution"))
-    return TopicModel(vocab=terms, topic_terms=tt, document_topics=td, doc_concentration=alpha,
+    return TopicModel(vocab=vocab, topic_terms=tt, document_topics=td, doc_concentration=alpha,
                       model=model)
 
 
@@ -179,68 +248,54 @@ def top_words(topic_terms: DataFrame, n: int = 20) -> DataFrame:
         .select("topic_id", "term", "rank")
 
 
-def coherence_cv(topic_terms: DataFrame, docs: DataFrame, top_n: int = 20, window: int = 110,
-                 block: int = 4096) -> DataFrame:
+def coherence_cv(topic_terms: DataFrame, docs: Corpus | DataFrame, top_n: int = 20, window: int = 110,
+                 block: int = 4096, models: Sequence[str] = ()) -> DataFrame:
     """c_v coherence (Röder et al. 2015) with a boolean sliding window.
 
     Probabilities are window counts: a document of length L >= W has
     L - W + 1 windows (shorter ones count as one window).  An occurrence at
     position p lies in windows [max(0, p-W+1), min(p, L-W)]; a word's
-    windows in a document are the union of these intervals (merged by a
-    gaps-and-islands window), so counts never enumerate windows.  Pair
-    counts are interval overlaps, joined per (document, block of windows)
-    so no document is a single hot key.  The inputs the branches share (a
-    narrow per-document table of relevant positions, the islands, the NPMI
-    pairs) are checkpointed once.  Returns (topic_id, coherence) rows plus
-    topic_id = -1 for the mean over topics.
+    windows in a document are the union of these intervals, so counts never
+    enumerate windows.  Intervals are cut at blocks of ``block`` windows
+    before they are merged (gaps and islands), so no window function spans a
+    long document.  Pair counts are interval overlaps of the words that share a topic,
+    joined on (document, block, word).  Returns (topic_id, coherence) rows plus
+    topic_id = -1 for the mean over topics.  ``models`` names columns of ``topic_terms`` that tell several models
+    apart: all are scored in the one pass, with a mean row each.
     """
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(docs.sparkSession)
-    # Top words: at most (topics x top_n) rows, a bound set by the model, not the data.
-    tw_rows = top_words(topic_terms, top_n).collect()
-    if len(tw_rows) > MAX_TOPIC_WORDS:
-        raise ValueError("too many topic words for coherence")
-    spark = docs.sparkSession
-    tw = spark.createDataFrame([(r["topic_id"], r["term"], r["rank"]) for r in tw_rows],
-                               "topic_id int, term string, rank int")
-    relevant = sorted({r["term"] for r in tw_rows})
-    # One pass over the documents: length and the positions of relevant words only
-    # (an InSet lookup), materialised once so every later branch reads the same rows.
-    positions = F.filter(F.transform("tokens", lambda t, i: F.struct(i.alias("p"), t.alias("term"))),
-                         lambda x: x["term"].isin(relevant))
-    narrow = docs.where(F.size("tokens") > 0).select(
-        *DOC_KEYS, F.size("tokens").alias("_len"), positions.alias("_occ")).checkpoint(eager=True)
-    n_windows = narrow.agg(F.sum(F.when(F.col("_len") >= window, F.col("_len") - window + 1)
+    c, models = as_corpus(docs), list(models)
+    ensure_checkpoint_dir(topic_terms.sparkSession)
+    topic = [*models, "topic_id"]
+    w = Window.partitionBy(*topic).orderBy(F.col("weight").desc(), F.col("term").asc())
+    tw = topic_terms.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n) \
+        .select(*topic, "term").checkpoint(eager=True)  # models x topics x top_n rows
+    n_windows = c.docs.agg(F.sum(F.when(F.col("n_tokens") >= window, F.col("n_tokens") - window + 1)
                                  .otherwise(1)).cast("double").alias("_nw"))
-    occ = narrow.select(*DOC_KEYS, "_len", F.explode("_occ").alias("o")) \
-                .select(*DOC_KEYS, "_len", F.col("o.p").alias("p"), F.col("o.term").alias("term"))
-    lo = F.when(F.col("_len") >= window, F.greatest(F.lit(0), F.col("p") - window + 1)).otherwise(0)
-    hi = F.when(F.col("_len") >= window, F.least(F.col("p"), F.col("_len") - window)).otherwise(0)
+    occ = c.occurrences(tw)
+    last = F.col("n_tokens") - window
+    lo = F.when(last >= 0, F.greatest(F.lit(0), F.col("p") - window + 1)).otherwise(0)
+    hi = F.when(last >= 0, F.least(F.col("p"), last)).otherwise(0)
     occ = occ.select(*DOC_KEYS, "term", lo.alias("lo"), hi.alias("hi"))
-    wk = Window.partitionBy(*DOC_KEYS, "term").orderBy("lo", "hi")
-    isl = occ.withColumn("_prev", F.max("hi").over(wk.rowsBetween(Window.unboundedPreceding, -1))) \
+    cut = occ.withColumn("_b", F.explode(F.sequence(F.floor(F.col("lo") / block), F.floor(F.col("hi") / block)))) \
+        .select(*DOC_KEYS, "term", "_b", F.greatest("lo", F.col("_b") * block).alias("lo"),
+                F.least("hi", F.col("_b") * block + block - 1).alias("hi"))
+    wk = Window.partitionBy(*DOC_KEYS, "term", "_b").orderBy("lo", "hi")
+    isl = cut.withColumn("_prev", F.max("hi").over(wk.rowsBetween(Window.unboundedPreceding, -1))) \
              .withColumn("_new", F.when(F.col("_prev").isNull() | (F.col("lo") > F.col("_prev") + 1), 1).otherwise(0)) \
              .withColumn("_isl", F.sum("_new").over(wk.rowsBetween(Window.unboundedPreceding, 0))) \
-             .groupBy(*DOC_KEYS, "term", "_isl").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")) \
+             .groupBy(*DOC_KEYS, "term", "_b", "_isl").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")) \
              .checkpoint(eager=True)  # read by the counts and the pair branch
     counts = isl.groupBy("term").agg(F.sum(F.col("hi") - F.col("lo") + 1).alias("c"))
-    pieces = isl.withColumn("_b", F.explode(F.sequence(F.floor(F.col("lo") / block), F.floor(F.col("hi") / block)))) \
-        .select(*DOC_KEYS, "term", "_b",
-                F.greatest(F.col("lo"), F.col("_b") * block).alias("lo"),
-                F.least(F.col("hi"), F.col("_b") * block + block - 1).alias("hi"))
-    a, b = pieces.alias("a"), pieces.alias("b")
-    cond = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in (*DOC_KEYS, "_b")]
-    cond += [F.col("a.term") < F.col("b.term"), F.col("a.lo") <= F.col("b.hi"), F.col("b.lo") <= F.col("a.hi")]
-    co = a.join(b, cond).select(
-        F.col("a.term").alias("w1"), F.col("b.term").alias("w2"),
-        (F.least("a.hi", "b.hi") - F.greatest("a.lo", "b.lo") + 1).alias("ov")) \
-        .groupBy("w1", "w2").agg(F.sum("ov").alias("co"))
-    # all ordered pairs of top words inside each topic, with counts
-    pairs = tw.alias("x").join(tw.alias("y"), "topic_id").select(
-        "topic_id", F.col("x.term").alias("wi"), F.col("y.term").alias("wj"))
-    key1 = F.least("wi", "wj")
-    key2 = F.greatest("wi", "wj")
-    pairs = pairs.withColumn("w1", key1).withColumn("w2", key2)
+    # all ordered pairs of top words inside each topic; each unordered pair is counted once for all models
+    pairs = join_groups(tw.select(*topic, F.col("term").alias("wi")), tw.select(*topic, F.col("term").alias("wj")), topic)
+    asked = pairs.where("wi < wj").select(F.col("wi").alias("w1"), F.col("wj").alias("w2")).distinct()
+    at = [*DOC_KEYS, "_b"]
+    first = isl.select(*at, F.col("term").alias("w1"), F.col("lo").alias("lo1"), F.col("hi").alias("hi1")) \
+        .join(broadcast_if_small(asked), "w1")
+    co = join_groups(first, isl.select(*at, F.col("term").alias("w2"), "lo", "hi"), [*at, "w2"]) \
+        .where("lo1 <= hi AND lo <= hi1").groupBy("w1", "w2") \
+        .agg(F.sum(F.least("hi", "hi1") - F.greatest("lo", "lo1") + 1).alias("co"))
+    pairs = pairs.withColumn("w1", F.least("wi", "wj")).withColumn("w2", F.greatest("wi", "wj"))
     pairs = pairs.join(co, ["w1", "w2"], "left") \
         .join(counts.select(F.col("term").alias("wi"), F.col("c").alias("ci")), "wi") \
         .join(counts.select(F.col("term").alias("wj"), F.col("c").alias("cj")), "wj")
@@ -249,29 +304,29 @@ def coherence_cv(topic_terms: DataFrame, docs: DataFrame, top_n: int = 20, windo
     co_c = F.when(F.col("wi") == F.col("wj"), F.col("ci")).otherwise(F.coalesce(F.col("co"), F.lit(0)))
     pco = co_c / N
     npmi = F.log((pco + EPSILON) / ((F.col("ci") / N) * (F.col("cj") / N))) / (-F.log(pco + EPSILON))
-    P = pairs.select("topic_id", "wi", "wj", npmi.alias("npmi")).checkpoint(eager=True)  # k x top_n^2 rows
-    V = P.groupBy("topic_id", "wj").agg(F.sum("npmi").alias("vj"))
-    vnorm = V.groupBy("topic_id").agg(F.sqrt(F.sum(F.col("vj") * F.col("vj"))).alias("vn"))
-    U = P.join(V, ["topic_id", "wj"]).groupBy("topic_id", "wi").agg(
+    P = pairs.select(*topic, "wi", "wj", npmi.alias("npmi")).checkpoint(eager=True)  # models x k x top_n^2 rows
+    V = P.groupBy(*topic, "wj").agg(F.sum("npmi").alias("vj"))
+    vnorm = V.groupBy(*topic).agg(F.sqrt(F.sum(F.col("vj") * F.col("vj"))).alias("vn"))
+    U = join_groups(P, V, [*topic, "wj"]).groupBy(*topic, "wi").agg(
         F.sum(F.col("npmi") * F.col("vj")).alias("dot"),
         F.sqrt(F.sum(F.col("npmi") * F.col("npmi"))).alias("un"))
-    seg = U.join(vnorm, "topic_id").select("topic_id", (F.col("dot") / (F.col("un") * F.col("vn"))).alias("cos"))
-    per_topic = seg.groupBy("topic_id").agg(F.avg("cos").alias("coherence"))
-    overall = per_topic.agg(F.avg("coherence").alias("coherence")).select(F.lit(-1).alias("topic_id"), "coherence")
+    seg = join_groups(U, vnorm, topic).select(*topic, (F.col("dot") / (F.col("un") * F.col("vn"))).alias("cos"))
+    per_topic = seg.groupBy(*topic).agg(F.avg("cos").alias("coherence"))
+    overall = per_topic.groupBy(*models).agg(F.avg("coherence").alias("coherence")).select(
+        *models, F.lit(-1).alias("topic_id"), "coherence")
     return per_topic.unionByName(overall)
 
 
 # ------------------------------------------------------------------ D7
-def tfidf(docs: DataFrame, vocab: DataFrame | None = None) -> DataFrame:
+def tfidf(docs: Corpus | DataFrame, vocab: DataFrame | None = None) -> DataFrame:
     """(doc keys, term, tf, idf, tfidf) with idf = ln((N + 1) / (df + 1)), Spark ML's smoothing."""
-    df = with_scalar(document_frequency(docs), docs.agg(F.count(F.lit(1)).alias("_n")))
+    c = as_corpus(docs)
+    df = with_scalar(document_frequency(c), c.docs.agg(F.count(F.lit(1)).alias("_n")))
     if vocab is not None:
         df = df.join(vocab.select("term"), "term")
-    tf = docs.select(*DOC_KEYS, F.explode("tokens").alias("term")).groupBy(*DOC_KEYS, "term") \
-             .agg(F.count(F.lit(1)).alias("tf"))
     idf = F.log((F.col("_n") + 1) / (F.col("df") + 1))
-    return tf.join(df, "term").select(*DOC_KEYS, "term", "tf", idf.alias("idf"),
-                                      (F.col("tf") * idf).alias("tfidf"))
+    return c.counts.withColumnRenamed("count", "tf").join(df, "term").select(
+        *DOC_KEYS, "term", "tf", idf.alias("idf"), (F.col("tf") * idf).alias("tfidf"))
 
 
 # ------------------------------------------------------------------ D9
@@ -287,23 +342,41 @@ def empty_topic_terms(spark) -> DataFrame:
 
 
 # ------------------------------------------------------------------ D8
-def choose_k(docs: DataFrame, ks: Sequence[int], opts: TopicOptions = TopicOptions(),
-             min_coherence: float | None = None) -> DataFrame:
+def choose_k(docs: Corpus | DataFrame, ks: Sequence[int], opts: TopicOptions = TopicOptions(),
+             min_coherence: float | None = None) -> DataFrame | None:
     """Fit T5 for each k and score it with T11; optionally drop topics under ``min_coherence``.
 
-    Returns (k, topic_id, coherence, kept) with topic_id = -1 for the model mean.
-    The vocabulary is computed once and shared by every fit.
+    Returns (k, topic_id, coherence, kept) with topic_id = -1 for the model mean; None without a vocabulary.
+    Vocabulary and features are made once and shared by every fit; one pass over the corpus scores all models.
     """
-    from dataclasses import replace
-    vocab = vocabulary(docs, opts)
-    out = None
+    c = as_corpus(docs)
+    ensure_checkpoint_dir(c.rows.sparkSession)
+    vocab = vocabulary(c, opts).checkpoint(eager=True)
+    n_terms = vocab.count()
+    if not n_terms:
+        return None
+    feats = feature_vectors(c, vocab, n_terms)
+    terms = None
     for k in ks:
-        m = fit_topics(docs, replace(opts, num_topics=k), vocab)
-        if m is None:
-            continue
-        c = coherence_cv(m.topic_terms, docs, opts.top_terms, opts.coherence_window) \
-            .withColumn("k", F.lit(k))
-        kept = (F.col("coherence") >= min_coherence) if min_coherence is not None else F.lit(True)
-        c = c.withColumn("kept", (F.col("topic_id") < 0) | kept)
-        out = c if out is None else out.unionByName(c)
-    return out
+        t = fit_topics(c, replace(opts, num_topics=k), vocab, feats).topic_terms.withColumn("k", F.lit(k))
+        terms = t if terms is None else terms.unionByName(t)
+    scores = coherence_cv(terms, c, opts.top_terms, opts.coherence_window, models=["k"])
+    kept = (F.col("coherence") >= min_coherence) if min_coherence is not None else F.lit(True)
+    return scores.select("topic_id", "coherence", "k", ((F.col("topic_id") < 0) | kept).alias("kept"))
+
+
+def topics_along_session(document_topics: DataFrame, sessions: DataFrame, parts: int = 3) -> DataFrame:
+    """Prevalence along a session: per session, part (1 to ``parts``, by the rank of its utterances) and topic.
+
+    Utterances are dealt into parts of near equal size in order; the prevalence is the mean probability over the
+    utterance documents of the part.  Ranks are block-wise, so no session is one window.
+    """
+    d = document_topics.where(F.col("doc_type") == "dialogue").select("session_key", "dialogue_idx", "topic_distribution")
+    r = rank_within(d, ["session_key"], "dialogue_idx", "_rk", "_n")
+    r = r.withColumn("part", (F.floor((F.col("_rk") - 1) * parts / F.col("_n")) + 1).cast("int"))
+    n = r.groupBy("session_key", "part").agg(F.count(F.lit(1)).alias("utterances"))
+    t = r.select("session_key", "part", F.explode("topic_distribution").alias("m")).groupBy(
+        "session_key", "part", F.col("m.topic_id").alias("topic_id")).agg(F.sum("m.prob").alias("_sum"))
+    p = t.join(n, ["session_key", "part"]).select(
+        "session_key", "part", "topic_id", (F.col("_sum") / F.col("utterances")).alias("prevalence"), "utterances")
+    return sessions.join(p, "session_key")

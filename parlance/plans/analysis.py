@@ -68,7 +68,7 @@ def analyze(spark: SparkSession, sessions: DataFrame, utterances: DataFrame, lex
     ss = se.session_sentiment(scored, sessions.select("session_key"), opts=sent_opts)
     spk = se.speaker_sentiment(scored, keys, sent_opts)
     prog = se.session_progression(scored, sessions.select("session_key"))
-    docs = tp.documents(processed).persist()
+    docs = tp.corpus(processed)
     model = tp.fit_topics(docs, topic_opts)
     if model is not None:
         terms, dtop = model.topic_terms, model.document_topics
@@ -123,7 +123,7 @@ def analyze(spark: SparkSession, sessions: DataFrame, utterances: DataFrame, lex
         charts["sentiment_by_topic"] = ch.sentiment_by_topic(dtop, scored)
     return Analysis(sessions=sessions, utterances=utterances, rejects=rejects, processed=processed,
                     scored=scored, session_sentiment=ss, speaker_sentiment=spk, progression=prog,
-                    documents=docs, topic_terms=terms, document_topics=dtop, prevalence=prev,
+                    documents=docs.docs, topic_terms=terms, document_topics=dtop, prevalence=prev,
                     coherence=coh, facts=facts, trend=trend, reports=reports, charts=charts,
                     enrichment=enrichment, progress_replies=progress)
 

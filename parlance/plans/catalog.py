@@ -275,7 +275,6 @@ def session_progression(spark, sf_dir):
 
 
 from . import queries_more  # noqa: E402,F401  (registers the second half)
-from . import queries_scale  # noqa: E402,F401  (files over splits, prompt parts, report lines)
 
 
 # ======================================================== heavier text: documents
