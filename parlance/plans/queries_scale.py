@@ -9,14 +9,16 @@ from pyspark.sql import functions as F
 from ..functions import ordering
 from ..operators import enrich as en
 from ..operators import progress as pg
+from ..operators import preprocess as pp
 from ..operators import prompt_parts as pt
+from ..operators import sentiment as se
 from ..operators import topics as tp
 from ..options import EnrichOptions, TopicOptions
 from ..session import ensure_checkpoint_dir
 from ..sources import line_scan
 from . import fixtures as fx
 from . import sql as q
-from .catalog import processed, r6, read, register, sessions
+from .catalog import _SQL_PROGRESSION, _SQL_SESSION_SENT, FIXTURE_TEXT, processed, r6, read, register, sessions
 from .queries_more import (_FL, _SQL_SENT_INFO, _reports, _sent_info, _sql, _topic_info, BASE, GROUP, SQL_INSIGHTS,
                            SQL_RECOMMENDATIONS, TREND_CTES, TREND_SELECT, _lit, docs, fixed_mix, sessions_idx)
 
@@ -319,3 +321,72 @@ def choose_k_invariants(spark, sf_dir):
         F.count_if(topic).alias("topics"), F.count_if(~topic).alias("means"),
         F.count_if(F.abs("coherence") > 1 + 1e-9).alias("out_of_range"),
         (F.abs(F.avg(F.when(topic, F.col("coherence"))) - F.max(F.when(~topic, F.col("coherence")))) < 1e-9).alias("mean_of_topics"))
+
+
+# ================================================================ texts in which the rare rules fire
+# Openings that are put before the texts of the conversations, by conv_id % 14.
+OPENINGS = ("the plain and of to ", "the good and but of the bad in ", "to be least the very least of at least and ",
+            "x never so and never this the yes never and ", "it is kind of the kind and of ", "we all know the bomb and the rest ",
+            "they would cut the mustard and then the kiss of death of it ", "see http://a.b/c?d=1 and www.x.y/z HTTPS://q now ",
+            "I cannot, wanna gonna gotta lemme gimme \u201cquote\u201d the ", "sort of and not sort of the in, bad ass to ",
+            "yeah right, yeah right and the hand to mouth ", "42 and 3rd of the 1st ", "very and very of it to for of ", "")
+SILENT = 13  # conversations of this remainder say nothing: empty sessions
+_OPEN = "CASE conv_id % 14 " + " ".join(f"WHEN {i} THEN {fx._sql_str(x)}" for i, x in enumerate(OPENINGS)) + " END"
+SQL_RULE_UTTERANCES = (
+    f"SELECT conv_id AS session_key, turn AS dialogue_idx, {fx.SQL_SPEAKER} AS speaker, CASE WHEN conv_id % 14 = {SILENT} THEN '' "
+    f"WHEN conv_id % 5 = 2 AND turn = 1 THEN NULL WHEN conv_id % 5 = 3 AND turn = 1 THEN ' ' ELSE {_OPEN} || text END AS text, "
+    f"nullif(conv_id % 10, {fx.NO_PATIENT}) AS patient_id FROM conversations")
+
+
+def rule_utterances(spark, sf_dir):
+    """The utterances with openings that make every context rule fire, blank and missing texts and silent sessions."""
+    c = read(spark, sf_dir, "conversations")
+    k = F.col("conv_id")
+    opening = F.element_at(F.array(*[F.lit(x) for x in OPENINGS]), (k % 14 + 1).cast("int"))
+    text = F.when(k % 14 == SILENT, F.lit("")).when((k % 5 == 2) & (F.col("turn") == 1), F.lit(None).cast("string")) \
+        .when((k % 5 == 3) & (F.col("turn") == 1), F.lit(" ")).otherwise(F.concat(opening, F.col("text")))
+    return fx.utterances(c.withColumn("text", text))
+
+
+def _rule_scored(spark, sf_dir):
+    p = pp.preprocess(rule_utterances(spark, sf_dir), FIXTURE_TEXT)
+    return se.score_utterances(p, fx.lexicon_df(spark), fx.boosters_df(spark), fx.negators_df(spark), fx.IDIOMS)
+
+
+_RULES = "WITH " + q.scored_utterances_cte(SQL_RULE_UTTERANCES, fx.IDIOMS)
+
+
+@register("rule_sentiment", _RULES + f"""
+SELECT session_key, dialogue_idx, pos_score, neg_score, neu_score, compound_score, {q.polarity('compound_score')} AS sentiment_category
+FROM scored""")
+def rule_sentiment(spark, sf_dir):
+    """A2-A7 where but, least, never, kind of, idioms, boosters, blank and missing texts occur."""
+    return _rule_scored(spark, sf_dir).select("session_key", "dialogue_idx", "pos_score", "neg_score", "neu_score",
+                                              "compound_score", "sentiment_category")
+
+
+@register("rule_sessions", _RULES + f""", {_SQL_SESSION_SENT}, {_SQL_PROGRESSION}
+SELECT ss.session_key, round(ss.avg_compound, 6) AS avg_compound, {q.polarity('ss.avg_compound')} AS overall_sentiment,
+  ss.scored_count, round(start_sentiment, 6) AS start_sentiment, round(end_sentiment, 6) AS end_sentiment,
+  round(sentiment_shift, 6) AS sentiment_shift, round(sentiment_volatility, 6) AS sentiment_volatility, sentiment_trend
+FROM ss JOIN prog USING (session_key)""")
+def rule_sessions(spark, sf_dir):
+    """Sessions of which some have no scored utterance."""
+    sc, s = _rule_scored(spark, sf_dir), sessions(spark, sf_dir).select("session_key")
+    j = se.session_sentiment(sc, s).join(se.session_progression(sc, s), "session_key")
+    num = ("avg_compound", "start_sentiment", "end_sentiment", "sentiment_shift", "sentiment_volatility")
+    return j.select("session_key", *[r6(F.col(c)).alias(c) for c in num], "overall_sentiment", "scored_count", "sentiment_trend")
+
+
+_RULE_TOKS = q.filter_tokens(q.word_tokens(q.clean("text")), fx.STOPWORDS, 3)
+
+
+@register("rule_tokens", f"""
+SELECT session_key, dialogue_idx, CASE WHEN length(text) > 0 THEN {q.clean('text')} END AS processed_text,
+  CASE WHEN length(text) > 0 THEN array_to_string({_RULE_TOKS}, ' ') END AS tokens_text,
+  CASE WHEN length(text) > 0 THEN CAST({q.word_count("text")} AS INTEGER) END AS word_count
+FROM ({SQL_RULE_UTTERANCES})""")
+def rule_tokens(spark, sf_dir):
+    """P2, P4, P6, P11, P14 where links, digits, contractions, quotes, blank and missing texts occur."""
+    p = pp.preprocess(rule_utterances(spark, sf_dir), FIXTURE_TEXT)
+    return p.select("session_key", "dialogue_idx", "processed_text", F.array_join("tokens", " ").alias("tokens_text"), "word_count")

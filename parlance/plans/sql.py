@@ -61,8 +61,12 @@ def term_dict() -> str:
             f"SELECT term, NULL::DOUBLE, NULL::DOUBLE, true FROM {neg}) GROUP BY term")
 
 
-def scored_utterances_cte(source: str = fx.SQL_UTTERANCES) -> str:
-    """CTEs ending in ``scored``: the lexicon scorer written with window lags."""
+def scored_utterances_cte(source: str = fx.SQL_UTTERANCES, idioms=()) -> str:
+    """CTEs ending in ``scored``: the lexicon scorer written with window lags; ``idioms`` are (phrase, valence) pairs."""
+    table = "MAP {" + ", ".join(f"{fx._sql_str(k)}: {float(v)!r}" for k, v in idioms) + "}"
+    looked = [f"{table}[{' || chr(32) || '.join(x)}]" for x in (
+        ("tok", "tn", "tn2"), ("tok", "tn"), ("t1", "tok"), ("t2", "t1", "tok"), ("t2", "t1"), ("t3", "t2", "t1"), ("t3", "t2"))]
+    idiom = (", ".join(looked) + ", ") if idioms else ""
     bigrams = str_list([b[0] for b in fx.BOOSTERS if " " in b[0]] or ["\x00"])
     return f"""
 u AS ({source}),
@@ -73,7 +77,7 @@ d AS ({term_dict()}),
 j AS (SELECT t.session_key, t.dialogue_idx, t.tok, t.pos, d.v, d.b, coalesce(d.n, false) AS n
       FROM toks t LEFT JOIN d ON t.tok = d.term),
 w AS (SELECT *,
-        lag(tok, 1) OVER x AS t1, lag(tok, 2) OVER x AS t2, lag(tok, 3) OVER x AS t3, lead(tok, 1) OVER x AS tn,
+        lag(tok, 1) OVER x AS t1, lag(tok, 2) OVER x AS t2, lag(tok, 3) OVER x AS t3, lead(tok, 1) OVER x AS tn, lead(tok, 2) OVER x AS tn2,
         lag(v, 1) OVER x AS v1, lag(v, 2) OVER x AS v2, lag(v, 3) OVER x AS v3,
         coalesce(lag(b, 1) OVER x, 0) AS b1, coalesce(lag(b, 2) OVER x, 0) AS b2, coalesce(lag(b, 3) OVER x, 0) AS b3,
         coalesce(lag(n, 1) OVER x, false) AS n1, coalesce(lag(n, 2) OVER x, false) AS n2,
@@ -88,9 +92,9 @@ s2 AS (SELECT *, CASE WHEN pos > 1 AND v2 IS NULL THEN
           * CASE WHEN t2 = 'never' AND t1 IN ('so', 'this') THEN 1.5 WHEN n2 THEN -0.74 ELSE 1 END
         ELSE x1 END AS x2 FROM s1),
 s3 AS (SELECT *, CASE WHEN pos > 2 AND v3 IS NULL THEN
-          (x2 + CASE WHEN x2 < 0 THEN -b3 ELSE b3 END * 0.9)
+          coalesce({idiom}(x2 + CASE WHEN x2 < 0 THEN -b3 ELSE b3 END * 0.9)
           * CASE WHEN t3 = 'never' AND (t2 IN ('so', 'this') OR t1 IN ('so', 'this')) THEN 1.25
-                 WHEN n3 THEN -0.74 ELSE 1 END
+                 WHEN n3 THEN -0.74 ELSE 1 END)
           + CASE WHEN list_contains({bigrams}, t3 || ' ' || t2) OR list_contains({bigrams}, t2 || ' ' || t1)
                  THEN -0.293 ELSE 0 END
         ELSE x2 END AS x3 FROM s2),
@@ -111,5 +115,6 @@ scored AS (SELECT su.session_key, su.dialogue_idx, su.speaker, su.patient_id,
           coalesce(round_even(abs(ps / (ps + abs(ns) + nc)), 3), 0.0) AS pos_score,
           coalesce(round_even(abs(ns / (ps + abs(ns) + nc)), 3), 0.0) AS neg_score,
           coalesce(round_even(abs(nc / (ps + abs(ns) + nc)), 3), 0.0) AS neu_score,
-          coalesce(round_even(greatest(-1.0, least(1.0, s / sqrt(s * s + 15))), 4), 0.0) AS compound_score
+          CASE WHEN s IS NULL THEN 0.0
+               ELSE round_even(greatest(-1.0, least(1.0, s / sqrt(s * s + 15))), 4) END AS compound_score
         FROM su LEFT JOIN agg USING (session_key, dialogue_idx))"""
