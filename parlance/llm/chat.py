@@ -38,6 +38,19 @@ def _tokens(part: Column) -> Column:
     return F.coalesce(part["tokens"].cast("long"), out.cast("long"))
 
 
+def _flattened(parts: Column, is_text) -> Column:
+    """Parts in order as one text: neighbouring texts are joined before they are escaped, so that no control string
+    can be put together from two parts; every other part is its placeholder."""
+    start = F.struct(F.lit("").alias("out"), F.lit("").alias("text"))
+
+    def visit(acc, p):
+        said = F.struct(acc["out"].alias("out"), F.concat(acc["text"], F.coalesce(p["text"], F.lit(""))).alias("text"))
+        other = F.struct(F.concat(acc["out"], escape(acc["text"]), _placeholder(p["kind"])).alias("out"), F.lit("").alias("text"))
+        return F.when(is_text(p), said).otherwise(other)
+
+    return F.aggregate(parts, start, visit, lambda acc: F.concat(acc["out"], escape(acc["text"])))
+
+
 def text_parts(text: Column) -> Column:
     """A plain text as the one part of a turn."""
     return F.array(F.struct(F.lit("text").alias("kind"), text.alias("text"), F.lit(None).cast("string").alias("ref"),
@@ -48,8 +61,8 @@ def format_conversations(turns: DataFrame, conv_id: str = "conv_id", turn: str =
                          parts: str = "parts", loss_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
     """One row per conversation: ``conv_id, formatted, loss_spans, attachments, n_tokens``.
 
-    ``parts`` is an array of ``kind, text, ref, tokens``.  A visitor flattens it in order: text parts
-    are escaped, every other part becomes a placeholder of its kind.  ``attachments`` lists those
+    ``parts`` is an array of ``kind, text, ref, tokens``.  A visitor flattens it in order: neighbouring text parts
+    are joined and escaped, every other part becomes a placeholder of its kind.  ``attachments`` lists those
     parts (``turn_no, kind, ref, tokens``) in the order of their placeholders, ``n_tokens`` counts words
     of the texts and the tokens the placeholders expand to.  ``loss_spans`` (``start, length``, from 1, in code points) mark
     what turns of ``loss_roles`` say.
@@ -61,8 +74,7 @@ def format_conversations(turns: DataFrame, conv_id: str = "conv_id", turn: str =
     t = turns.select(F.col(conv_id).alias("__conv"), F.col(turn).alias("__turn"),
                      F.coalesce(F.col(role), F.lit("")).alias("__role"), F.col(parts).alias("__parts"))
     is_text = lambda p: F.coalesce(p["kind"], F.lit("text")) == "text"
-    content = F.array_join(F.transform(F.col("__parts"), lambda p: F.when(
-        is_text(p), escape(F.coalesce(p["text"], F.lit("")))).otherwise(_placeholder(p["kind"]))), "")
+    content = _flattened(F.coalesce(F.col("__parts"), F.array().cast(t.schema["__parts"].dataType)), is_text)
     others = F.transform(F.filter(F.col("__parts"), lambda p: ~is_text(p)), lambda p: F.struct(
         p["kind"].alias("kind"), p["ref"].alias("ref"), _tokens(p).alias("tokens")))
     words = F.aggregate(F.filter(F.col("__parts"), is_text), F.lit(0).cast("long"),
