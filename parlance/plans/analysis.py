@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import ordering
 from ..operators import charts as ch
 from ..operators import enrich as en
 from ..operators import preprocess as pp
@@ -50,6 +51,12 @@ class Analysis:
     charts: dict = field(default_factory=dict)
     enrichment: DataFrame | None = None
     progress_replies: DataFrame | None = None
+    held: list = field(default_factory=list)
+
+    def release(self) -> None:
+        """Give up the tables that were persisted for the run."""
+        for df in self.held:
+            df.unpersist()
 
 
 def analyze(spark: SparkSession, sessions: DataFrame, utterances: DataFrame, lexicon: DataFrame,
@@ -112,6 +119,7 @@ def analyze(spark: SparkSession, sessions: DataFrame, utterances: DataFrame, lex
     charts = {
         "sentiment_over_time": ch.sentiment_over_time(dated_ss, keys),
         "compound_histogram": ch.compound_histogram(scored),
+        "compound_density": ch.density_curve(ch.compound_histogram(scored)),
         "speaker_bars": ch.speaker_bars(spk),
         "progression": ch.progression_bars(prog.join(sessions.select("session_key", "session_date"),
                                                      "session_key")),
@@ -119,21 +127,33 @@ def analyze(spark: SparkSession, sessions: DataFrame, utterances: DataFrame, lex
     if terms is not None:
         charts["topic_terms"] = ch.topic_term_bars(terms)
         charts["prevalence"] = ch.prevalence_pivot(prev, list(range(topic_opts.num_topics)), keys)
+        charts["prevalence_sentiment"] = ch.prevalence_with_sentiment(
+            ch.prevalence_pivot(prev, list(range(topic_opts.num_topics))), dated_ss)
+        charts["topics_along_session"] = tp.topics_along_session(dtop, sessions.select("session_key"))
         charts["dominant_counts"] = ch.dominant_topic_counts(dtop)
         charts["sentiment_by_topic"] = ch.sentiment_by_topic(dtop, scored)
     return Analysis(sessions=sessions, utterances=utterances, rejects=rejects, processed=processed,
                     scored=scored, session_sentiment=ss, speaker_sentiment=spk, progression=prog,
                     documents=docs.docs, topic_terms=terms, document_topics=dtop, prevalence=prev,
                     coherence=coh, facts=facts, trend=trend, reports=reports, charts=charts,
-                    enrichment=enrichment, progress_replies=progress)
+                    enrichment=enrichment, progress_replies=progress, held=[processed, scored])
 
 
 def analyze_directory(spark: SparkSession, path: str, fmt: str, lexicon: DataFrame, **kw) -> Analysis:
-    """S1-S10 then ``analyze``; ``compat`` and ``speakers`` go to the reader, ``split_files`` picks the one that
-    reads line by line (files larger than a task; no ``raw_content``)."""
+    """S1-S10 then ``analyze``; ``compat`` and ``speakers`` go to the reader.
+
+    ``split_files`` picks the reader that goes line by line (files larger than a task; no ``raw_content``).
+    ``group_by`` names metadata keys that tell clients apart: each becomes a group column (null where a file has no
+    such key) and sessions are numbered within a client.
+    """
     read = line_scan.read_transcript_lines if kw.pop("split_files", False) else tr.read_transcripts
     t = read(spark, path, fmt, kw.pop("compat", False), tuple(kw.get("group_cols", ())), kw.pop("speakers", None))
-    return analyze(spark, t.sessions, t.utterances, lexicon, rejects=t.rejects, **kw)
+    sessions, named = t.sessions, tuple(kw.pop("group_by", ()))
+    if named:
+        kw["group_cols"] = (*kw.get("group_cols", ()), *named)
+        sessions = sessions.drop("transcript_idx").select("*", *[F.col("metadata")[k].alias(k) for k in named])
+        sessions = ordering.dense_index(sessions, ordering.session_order(), "transcript_idx", kw["group_cols"])
+    return analyze(spark, sessions, t.utterances, lexicon, rejects=t.rejects, **kw)
 
 
 def write_outputs(a: Analysis, out: str, report_format: str = "md", stamp: str | None = None) -> None:

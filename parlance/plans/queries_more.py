@@ -816,7 +816,7 @@ def _lit(text: str) -> str:
     return "'" + text.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
 
 
-@register("analysis_prompts", _sql(
+@register("analysis_prompts_compat", _sql(
     _SQL_SENT_INFO.replace("\n, sinfo AS", ",\nsinfo AS") + "," +
     _SQL_CONTENT.replace("\n, content AS", "\ncontent AS") + f"""
 SELECT c.session_key, {_lit(en.ANALYSIS_ASK)} || {_META} || 'SENTIMENT ANALYSIS:' || chr(10)
@@ -825,13 +825,13 @@ SELECT c.session_key, {_lit(en.ANALYSIS_ASK)} || {_META} || 'SENTIMENT ANALYSIS:
   || CASE WHEN length(c.content) > 4000 THEN substr(c.content, 1, 4000) || '...' ELSE c.content END AS prompt,
   CAST(NULL AS VARCHAR) AS error
 FROM content c LEFT JOIN sinfo si USING (session_key) LEFT JOIN tinfo ti USING (session_key)"""))
-def analysis_prompts(spark, sf_dir):
+def analysis_prompts_compat(spark, sf_dir):
     """Combined prompt (sentiment + topic highlights + content cut to 4000 characters)."""
     return en.analysis_prompts(_content(spark, sf_dir), _sent_info(spark, sf_dir), _topic_info(spark, sf_dir),
                                EnrichOptions(content_chars=en.COMPAT_CHARS))
 
 
-@register("analysis_prompts_full", _sql(
+@register("analysis_prompts", _sql(
     _SQL_SENT_INFO.replace("\n, sinfo AS", ",\nsinfo AS") + "," +
     _SQL_CONTENT.replace("\n, content AS", "\ncontent AS") + f"""
 SELECT c.session_key, {_lit(en.ANALYSIS_ASK)} || {_META} || 'SENTIMENT ANALYSIS:' || chr(10)
@@ -839,12 +839,12 @@ SELECT c.session_key, {_lit(en.ANALYSIS_ASK)} || {_META} || 'SENTIMENT ANALYSIS:
   || coalesce(ti.topic_info, {_lit(en.NO_TOPIC)}) || chr(10) || chr(10) || 'TRANSCRIPT:' || chr(10)
   || c.content AS prompt, CAST(NULL AS VARCHAR) AS error
 FROM content c LEFT JOIN sinfo si USING (session_key) LEFT JOIN tinfo ti USING (session_key)"""))
-def analysis_prompts_full(spark, sf_dir):
+def analysis_prompts(spark, sf_dir):
     """Combined prompt with the whole content (the default)."""
     return en.analysis_prompts(_content(spark, sf_dir), _sent_info(spark, sf_dir), _topic_info(spark, sf_dir))
 
 
-@register("progress_prompts", _sql(
+@register("progress_prompts_compat", _sql(
     _SQL_SENT_INFO.replace("\n, sinfo AS", ",\nsinfo AS") + f""",
 f5 AS (SELECT session_key, string_agg(coalesce(speaker, 'Unknown') || ': ' || substr(coalesce(text, ''), 1, 100) || '...',
                                       chr(10) ORDER BY dialogue_idx) AS preview
@@ -861,14 +861,14 @@ SELECT patient_id, CASE WHEN count(*) >= 2 THEN 'Please analyze these therapy se
     || string_agg(block, chr(10) || chr(10) ORDER BY transcript_idx) END AS prompt,
   CASE WHEN count(*) < 2 THEN 'Need at least 2 transcripts to analyze progress' END AS error
 FROM blk GROUP BY patient_id"""))
-def progress_prompts(spark, sf_dir):
+def progress_prompts_compat(spark, sf_dir):
     """One progress prompt per client (sessions in index order, the reference's preview)."""
     u = processed(spark, sf_dir, False).select("session_key", "dialogue_idx", "speaker", "text")
     return en.progress_prompts(sessions_idx(spark, sf_dir), u, _sent_info(spark, sf_dir),
                                _topic_info(spark, sf_dir), GROUP, compat=True)
 
 
-@register("progress_prompts_full", _sql(
+@register("progress_prompts", _sql(
     _SQL_SENT_INFO.replace("\n, sinfo AS", ",\nsinfo AS") + f""",
 ent AS (SELECT session_key, string_agg(coalesce(speaker, 'Unknown') || ': ' || coalesce(text, ''),
                                       chr(10) ORDER BY dialogue_idx) AS preview
@@ -885,7 +885,7 @@ SELECT patient_id, CASE WHEN count(*) >= 2 THEN 'Please analyze these therapy se
     || string_agg(block, chr(10) || chr(10) ORDER BY transcript_idx) END AS prompt,
   CASE WHEN count(*) < 2 THEN 'Need at least 2 transcripts to analyze progress' END AS error
 FROM blk GROUP BY patient_id"""))
-def progress_prompts_full(spark, sf_dir):
+def progress_prompts(spark, sf_dir):
     """One progress prompt per client with all entries in full (the default)."""
     u = processed(spark, sf_dir, False).select("session_key", "dialogue_idx", "speaker", "text")
     return en.progress_prompts(sessions_idx(spark, sf_dir), u, _sent_info(spark, sf_dir),

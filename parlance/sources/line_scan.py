@@ -15,7 +15,7 @@ from .. import schema as S
 from ..functions import ordering
 from ..session import ensure_checkpoint_dir
 from .transcripts import (FORMATS, FRONT_MATTER_RE, LineRules, Transcripts, _empty, _nonblank, file_date, file_number,
-                          front_matter, read_transcripts, rules_of)
+                          front_matter, no_such_folder, read_transcripts, rules_of)
 
 SPLIT = ["file_path", "block_start"]
 #: end of a front-matter block: dashes at the start of a line or after white space
@@ -32,8 +32,8 @@ def read_lines(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
     ensure_checkpoint_dir(spark)
     try:
         raw = spark.read.text(path, pathGlobFilter=f"*.{fmt}")
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        return no_such_folder(e)
     return raw.select(F.col("_metadata.file_path").alias("file_path"),
                       F.col("_metadata.file_block_start").alias("block_start"),
                       F.monotonically_increasing_id().alias("pos"), F.col("value").alias("line")).checkpoint(eager=True)

@@ -190,13 +190,19 @@ def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def no_such_folder(e: AnalysisException) -> None:
+    """A missing folder is an empty input; any other failure of a read stays one."""
+    if e.getCondition() != "PATH_NOT_FOUND":
+        raise e
+
+
 def read_files(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
     """Non-recursive scan of ``*.{fmt}`` files, one row per file (None if nothing)."""
     try:
         raw = spark.read.text(path, wholetext=True, pathGlobFilter=f"*.{fmt}",
                               recursiveFileLookup=False)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        return no_such_folder(e)
     return raw.select(F.col("_metadata.file_name").alias("file_name"),
                       F.col("_metadata.file_path").alias("file_path"),
                       normalize_newlines(F.col("value")).alias("content"))
