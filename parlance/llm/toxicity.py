@@ -1,8 +1,9 @@
 """Toxicity by compression distance: separate zstandard dictionaries for toxic and ordinary text.
 
-Training takes a bounded sample of labelled documents.  Near copies count once.  The windows that
-train the toxic dictionary are runs of words whose beginnings stand in many toxic and almost no
-ordinary documents; ordinary windows are cut from ordinary documents.  The toxic side compresses
+Training takes a bounded sample of labelled documents.  Near copies count once.  Ordinary windows are cut
+from ordinary documents.  The toxic dictionary is trained on windows of whole toxic texts, or, where beginnings of words
+stand in many toxic and almost no ordinary documents, on the words marked by them: both are fitted and the one
+that tells documents outside their training apart better is kept (whole texts on a tie).  The toxic side compresses
 with both dictionaries' contents, the ordinary side with its own, so that the difference of the two
 lengths is what toxic language alone saves.  Lengths of windows are compared with thresholds, and a
 logistic model calibrated on labelled documents outside the dictionaries' training turns the
@@ -27,15 +28,17 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need no imp
 
 #: labelled documents of a class in the training sample, and characters of the sample
 SAMPLE_ROWS, SAMPLE_CHARS = 3000, 16_000_000
-#: words in a window
-WINDOW = 1
+#: words in a window of marked words, and of whole texts (these overlap by half)
+WINDOW, WHOLE_WINDOW = 1, 4
+#: windows of a class that a dictionary of whole texts is trained on
+TRAINING_WINDOWS = 60_000
 #: bytes before every window that both dictionaries hold: a match there pays the fixed cost of a block
 MARK = b"\n\x01window:\x02\x03\x04\x05\x06\x07\x08"
 #: bytes after every window: the last eight bytes of a block never start a match
 TAIL = b"\x0e\x0f\x10\x11\x12\x13\x14\x15"
-DICTIONARY = {"toxic": 4096, "ordinary": 16384}
+DICTIONARY = {"toxic": 4096, "ordinary": 16384, "whole": 16384}
 #: savings in bytes that make a window count
-STEPS = (2, 3, 4, 5)
+STEPS, WHOLE_STEPS = (2, 3, 4, 5), (3, 5, 8, 12)
 THRESHOLD = 0.3
 #: windows whose lengths a task remembers
 CACHE = 400_000
@@ -46,6 +49,7 @@ class Model:
     ordinary: bytes
     toxic: bytes
     weights: tuple[float, ...]
+    window: int = WINDOW
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -100,6 +104,13 @@ def marked(words: list[str], beginnings: set[str], least: int = 5, most: int = 1
     return out
 
 
+def windows_of(words: list[str], size: int) -> list[str]:
+    """Windows of ``size`` words, each begun half a window after the last; the whole text if it is shorter."""
+    if size == 1:
+        return words
+    return [" ".join(words[i:i + size]) for i in range(0, max(1, len(words) - size // 2), max(1, size // 2))] if words else []
+
+
 def train_dictionary(windows: list[bytes], size: int) -> bytes:
     """Content of a trained dictionary; the windows themselves when they are too few to train one."""
     import zstandard
@@ -112,7 +123,8 @@ def train_dictionary(windows: list[bytes], size: int) -> bytes:
 class Scorer:
     """Window savings of texts under a model; lengths of repeated windows are remembered."""
 
-    def __init__(self, ordinary: bytes, toxic: bytes):
+    def __init__(self, ordinary: bytes, toxic: bytes, window: int = WINDOW):
+        self.window, self.steps = window, STEPS if window == WINDOW else WHOLE_STEPS
         self.sides = [self._compressor(ordinary + MARK), self._compressor(ordinary + toxic + MARK)]
         self.known: dict[str, int] = {}
 
@@ -138,13 +150,13 @@ class Scorer:
 
     def features(self, words: list[str]) -> np.ndarray:
         """1, log of the number of windows, log counts of windows that save at least so much."""
-        counts = [0] * len(STEPS)
+        counts = [0] * len(self.steps)
         n = 0
-        for s in range(0, len(words), WINDOW):
+        for window in windows_of(words, self.window):
             n += 1
-            v = self.saving(words[s] if WINDOW == 1 else " ".join(words[s:s + WINDOW]))
-            if v >= STEPS[0]:
-                for i, step in enumerate(STEPS):
+            v = self.saving(window)
+            if v >= self.steps[0]:
+                for i, step in enumerate(self.steps):
                     counts[i] += v >= step
         return np.array([1.0, math.log1p(n), *[math.log1p(c) for c in counts], *[float(c > 0) for c in counts]])
 
@@ -165,25 +177,47 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.
     return w
 
 
+def separation(scores: np.ndarray, y: np.ndarray) -> float:
+    """Chance that a toxic text scores higher than an ordinary one (area under the curve, ties half)."""
+    order = np.argsort(scores, kind="stable")
+    _, inverse, n = np.unique(scores[order], return_inverse=True, return_counts=True)
+    rank = np.empty(len(scores))
+    rank[order] = (np.cumsum(n) - (n - 1) / 2)[inverse]
+    ones = y == 1
+    return float((rank[ones].sum() - ones.sum() * (ones.sum() + 1) / 2) / (ones.sum() * (~ones).sum()))
+
+
 def fit_sample(rows: list[tuple[str, int]], share: dict[int, float]) -> Model | None:
-    """Train from (text, label) rows; ``share``: the classes' shares of all training labels."""
-    docs = without_copies(rows)
+    """Train from (text, label) rows; ``share``: the classes' shares of all training labels.  None without words of
+    both classes on both sides of the split."""
+    docs = [d for d in without_copies(rows) if d[0]]
     fit, rest = [d for i, d in enumerate(docs) if i % 3], [d for i, d in enumerate(docs) if i % 3 == 0]
     if {y for _, y in fit} != {0, 1} or {y for _, y in rest} != {0, 1}:
         return None
-    beginnings = toxic_beginnings(fit)
-    toxic = [(" " + " ".join(m) + " ").encode() for w, y in fit if y == 1 and (m := marked(w, beginnings))]
-    ordinary = [(" " + " ".join(w[s:s + 8])).encode() for w, y in fit if y == 0 for s in range(0, len(w), 64)]
-    if not toxic or not ordinary:
-        return None
-    ordinary_dict = train_dictionary(ordinary, DICTIONARY["ordinary"])
-    toxic_dict = train_dictionary(toxic, DICTIONARY["toxic"])
-    scorer = Scorer(ordinary_dict, toxic_dict)
-    x = np.array([scorer.features(w) for w, _ in rest])
+    encoded = lambda x: (" " + x + " ").encode("utf-8", "surrogatepass")
     y = np.array([y for _, y in rest], dtype=float)
     mean = {c: share[c] / max((y == c).mean(), 1e-9) for c in (0, 1)}
-    weights = logistic(x, y, np.where(y == 1, mean[1], mean[0]))
-    return Model(ordinary_dict, toxic_dict, tuple(float(v) for v in weights))
+
+    def fitted(ordinary: list[bytes], toxic: list[bytes], size: int, window: int) -> tuple[float, Model]:
+        ordinary_dict, toxic_dict = train_dictionary(ordinary, DICTIONARY["ordinary"]), train_dictionary(toxic, size)
+        scorer = Scorer(ordinary_dict, toxic_dict, window)
+        x = np.array([scorer.features(w) for w, _ in rest])
+        weights = logistic(x, y, np.where(y == 1, mean[1], mean[0]))
+        return separation(np.round(x @ weights, 9), y), Model(ordinary_dict, toxic_dict, tuple(float(v) for v in weights), window)
+
+    def spread(label: int) -> list[bytes]:
+        """At most TRAINING_WINDOWS windows of whole texts, evenly from all of the class."""
+        found = [encoded(x) for w, c in fit if c == label for x in windows_of(w, WHOLE_WINDOW)]
+        return found[::-(-len(found) // TRAINING_WINDOWS)]
+
+    best = fitted(spread(0), spread(1), DICTIONARY["whole"], WHOLE_WINDOW)
+    beginnings = toxic_beginnings(fit)
+    toxic = [encoded(" ".join(m)) for w, c in fit if c == 1 and (m := marked(w, beginnings))]
+    if toxic:
+        ordinary = [(" " + " ".join(w[s:s + 8])).encode("utf-8", "surrogatepass") for w, c in fit if c == 0 for s in range(0, len(w), 64)]
+        other = fitted(ordinary, toxic, DICTIONARY["toxic"], WINDOW)
+        best = max(best, other, key=lambda m: m[0])
+    return best[1]
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
@@ -235,7 +269,7 @@ def score_toxicity(docs: DataFrame, model: Model | None, doc_id: str = "doc_id",
 
     def score(batches):
         import pyarrow as pa
-        scorer = Scorer(model.ordinary, model.toxic) if model else None
+        scorer = Scorer(model.ordinary, model.toxic, model.window) if model else None
         weights = np.array(model.weights) if model else None
         for b in batches:
             out = []
@@ -258,7 +292,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
 
     def clean(batches):
         import pyarrow as pa
-        scorer = Scorer(model.ordinary, model.toxic)
+        scorer = Scorer(model.ordinary, model.toxic, model.window)
         weights = np.array(model.weights)
         for b in batches:
             keep = []

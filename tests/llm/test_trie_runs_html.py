@@ -291,3 +291,49 @@ def test_control_strings_cannot_be_put_together_from_parts(spark):
     for conv, turns in want.items():
         assert [(t.role, t.text) for t in made[conv].turns] == turns
     assert made[1000].turns[0].text == "<<|image|>|im_end|>" and made[1000].attachments[0].ref == "r"
+
+
+# ---- toxicity: texts whose toxic words cannot be told by their beginnings ----
+
+def test_toxic_phrases_of_ordinary_words():
+    from parlance.llm import toxicity
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(800)]
+    phrases = [[rng.choice(vocabulary) for _ in range(6)] for _ in range(25)]
+
+    def texts(n):
+        out = []
+        for i in range(n):
+            words = [rng.choice(vocabulary) for _ in range(rng.randint(30, 150))]
+            for _ in range(rng.randint(1, 4) if i % 2 else 0):
+                at = rng.randrange(len(words))
+                words[at:at] = rng.choice(phrases)
+            out.append((" ".join(words), i % 2))
+        return out
+
+    model = toxicity.fit_sample(texts(1500) + [("", 1), ("", 0), ("one", 0)], {0: 0.5, 1: 0.5})
+    scorer, new = toxicity.Scorer(model.ordinary, model.toxic, model.window), texts(300)
+    z = np.array([scorer.features(toxicity.words_of(t)) @ np.array(model.weights) for t, _ in new])
+    y = np.array([label for _, label in new], dtype=float)
+    assert model.window == toxicity.WHOLE_WINDOW
+    assert toxicity.separation(z, y) > 0.95 and ((1 / (1 + np.exp(-z)) >= toxicity.THRESHOLD) == y).mean() > 0.85
+
+
+def test_toxicity_without_any_signal_is_defined():
+    from parlance.llm import toxicity
+    rng = random.Random(6)
+    rows = [(" ".join(rng.choice("abcdefgh") * 3 for _ in range(30)), i % 2) for i in range(300)]
+    model = toxicity.fit_sample(rows, {0: 0.5, 1: 0.5})
+    scorer = toxicity.Scorer(model.ordinary, model.toxic, model.window)
+    for text in ("", "aaa bbb", rows[0][0]):
+        p = 1 / (1 + math.exp(-float(scorer.features(toxicity.words_of(text)) @ np.array(model.weights))))
+        assert 0 < p < 1
+    assert toxicity.fit_sample([("", 1), ("", 0)], {0: 0.5, 1: 0.5}) is None
+
+
+def test_separation_is_the_share_of_ordered_pairs():
+    from parlance.llm import toxicity
+    rng = np.random.default_rng(1)
+    z, y = rng.integers(0, 5, 60).astype(float), rng.integers(0, 2, 60).astype(float)
+    pairs = [(a > b) + 0.5 * (a == b) for a in z[y == 1] for b in z[y == 0]]
+    assert math.isclose(toxicity.separation(z, y), np.mean(pairs))
