@@ -102,15 +102,6 @@ QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_chat_formatting, op3_simhash, op4_toxicity, op5_line_dedup, op6_warc, op7_url_filter,
     op8_decontamination, op9_quality_rules, op10_language_id, op11_prefix_trie, op12_periodic_runs, op13_html_text)}
 
-_WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
-
-_WARC_TEXT = "coalesce(html, '')"
-for _p, _r in warc.HTML_TO_TEXT:
-    _q, _s = _p.replace("'", "''"), _r.replace("'", "''")
-    if _r == "\n":
-        _s = "' || chr(10) || '"
-    _WARC_TEXT = f"regexp_replace({_WARC_TEXT}, '{_q}', '{_s}', 'g')"
-
 ORACLE = {
     "op2_chat_formatting": r"""
         WITH t AS (

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import sys
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark import cloudpickle
@@ -20,7 +21,13 @@ from .common import sized, small_batches, written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need no import path
 
-LANGUAGES = ("de", "en", "es", "fr")
+#: labelled rows that a language needs to be learnt
+LEAST_ROWS = 20
+#: answer for a text that no learnt language explains
+OTHER = "other"
+#: a text fits a language if its mean log-likelihood is at most so much below the language's own, in nats and in
+#: standard errors; neighbouring trigrams are one observation in so many; shorter texts always fit
+SLACK, ERRORS, DEPENDENT, LEAST_TRIGRAMS = 2.0, 6.0, 3.0, 30
 BUCKETS = 1 << 16
 #: share of a text's log-likelihood that counts: neighbouring trigrams say the same thing again
 TEMPER = 0.3
@@ -47,12 +54,33 @@ def trigrams(text: str | None, block: int = 1 << 20):
         yield ((code[spaces] * np.uint32(2654435761)) >> np.uint32(16)).astype(np.int64)
 
 
-def text_model(labelled: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> np.ndarray:
-    """Log-probabilities (language, bucket) of trigrams, counted over all labelled rows.
+def learnt_languages(labelled: DataFrame, least_rows: int = LEAST_ROWS) -> tuple[str, ...]:
+    """The labels ``__lang`` of at least ``least_rows`` rows with a text, in order (one grouped count)."""
+    rows = labelled.where((F.length("__t") > 0) & (F.length(F.trim("__lang")) > 0)).groupBy("__lang").agg(
+        F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_rows)
+    return tuple(sorted(r["__lang"] for r in rows.collect()))
 
-    ``labelled``: ``__t`` and ``__lang``; other labels and nulls are left out.  At most
+
+@dataclass(frozen=True)
+class Model:
+    """Languages and the log-probabilities (language, bucket) of their trigrams."""
+
+    languages: tuple[str, ...]
+    table: np.ndarray
+
+
+def text_model(labelled: DataFrame, languages: tuple[str, ...] | None = None) -> Model:
+    """Trigram model of the given languages or of those that the labels name, counted over all labelled rows.
+
+    ``labelled``: ``__t`` and ``__lang``; rows of other labels and nulls are left out.  At most
     languages * BUCKETS sums come to the driver.
     """
+    small_batches(labelled.sparkSession)
+    if languages is None:
+        languages = learnt_languages(labelled)
+    if not languages:
+        return Model((), np.zeros((0, BUCKETS), np.float32))
+
     def count(batches):
         import pyarrow as pa
         n = np.zeros((len(languages), BUCKETS), dtype=np.int64)
@@ -69,11 +97,18 @@ def text_model(labelled: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> n
     counts = np.full(len(languages) * BUCKETS, 0.1)
     counts[sums["k"].to_numpy(dtype=np.int64)] += sums["n"].to_numpy(dtype=np.float64)
     counts = counts.reshape(len(languages), BUCKETS)
-    return np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
+    return Model(tuple(languages), np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32))
 
 
 def text_evidence(rows: DataFrame, model: np.ndarray) -> DataFrame:
-    """Replace ``__t`` by ``l0, l1, ...``: tempered log-likelihoods, the largest of them zero."""
+    """Replace ``__t`` by ``l0, l1, ...``, tempered log-likelihoods of which the largest is zero, and ``__fits``.
+
+    A text does not fit if even its best language gives it a mean log-likelihood far below that of the
+    language's own trigrams (whose mean and variance follow from the model).
+    """
+    share = np.exp(model.astype(np.float64))
+    own = (share * model).sum(axis=1)
+    spread = np.maximum((share * model.astype(np.float64) ** 2).sum(axis=1) - own ** 2, 0)
     small_batches(rows.sparkSession)
     names = [c for c in rows.columns if c != "__t"]
     like = [f"l{i}" for i in range(len(model))]
@@ -81,17 +116,21 @@ def text_evidence(rows: DataFrame, model: np.ndarray) -> DataFrame:
     def score(batches):
         import pyarrow as pa
         for b in batches:
-            out = np.zeros((b.num_rows, len(model)))
+            out, n = np.zeros((b.num_rows, len(model))), np.zeros(b.num_rows)
             for i, t in enumerate(b.column(b.schema.names.index("__t")).to_pylist()):
                 for g in trigrams(t):
                     out[i] += model[:, g].sum(axis=1, dtype=np.float64)
+                    n[i] += len(g)
+            best, many = (out.argmax(axis=1) if len(out) else np.zeros(0, int)), np.maximum(n, 1)
+            least = own[best] - SLACK - ERRORS * np.sqrt(spread[best] * DEPENDENT / many)
+            fits = (n < LEAST_TRIGRAMS) | (out[np.arange(len(out)), best] / many >= least)
             out = TEMPER * (out - out.max(axis=1, keepdims=True)) if len(out) else out
             yield pa.RecordBatch.from_arrays(
-                [b.column(b.schema.names.index(n)) for n in names] + [pa.array(out[:, k]) for k in range(len(model))],
-                names=names + like)
+                [b.column(b.schema.names.index(n)) for n in names] + [pa.array(out[:, k]) for k in range(len(model))] + [pa.array(fits)],
+                names=names + like + ["__fits"])
 
     kinds = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "__t"]
-    return rows.mapInArrow(score, ", ".join(kinds + [f"{n} double" for n in like]))
+    return rows.mapInArrow(score, ", ".join(kinds + [f"{n} double" for n in like] + ["`__fits` boolean"]))
 
 
 def html_language(html: Column) -> Column:
@@ -104,19 +143,25 @@ def html_text(html: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(t, r"<[^>]*>", " "), r"&#?\w+;", " ")
 
 
-def identify(rows: DataFrame, model: np.ndarray, languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
+def identify(rows: DataFrame, model: Model) -> DataFrame:
     """Add ``language, confidence, text_language`` to the other columns of ``rows``; ``__t`` goes.
 
     ``rows``: ``__t`` (text), ``__host``, ``__domain``, ``__suffix``, ``__declared`` and any others.  Evidence
     that is null or empty says nothing: a text without trigrams has equal likelihoods, a null host
-    has the prior of all rows.  Ties go to the first language.  Repeated rows come out as often as
-    they come in and count as often; an empty table gives no rows.
+    has the prior of all rows.  A text that fits none of the model's languages is ``other``, with null confidence, and
+    counts for no prior.  Ties go to the first language.  Repeated rows come out as often as
+    they come in and count as often; an empty table gives no rows; without languages all answers are null.
     """
+    languages = model.languages
+    if not languages:
+        nothing = F.lit(None).cast("string")
+        out = [c for c in rows.columns if not c.startswith("__")]
+        return rows.select(*out, nothing.alias("language"), F.lit(None).cast("double").alias("confidence"), nothing.alias("text_language"))
     n = len(languages)
     like = [f"l{i}" for i in range(n)]
-    s = written(text_evidence(rows, model))
+    s = written(text_evidence(rows, model.table))
     total = sum((F.exp(F.col(c)) for c in like), F.lit(0.0))
-    share = [(F.exp(F.col(c)) / total).alias(f"q{i}") for i, c in enumerate(like)]
+    share = [F.when(F.col("__fits"), F.exp(F.col(c)) / total).otherwise(0.0).alias(f"q{i}") for i, c in enumerate(like)]
     soft = s.select("__host", "__domain", "__suffix", "__declared", *share)
     sums = lambda *by: soft.groupBy(*by).agg(*[F.sum(f"q{i}").alias(f"n{i}") for i in range(n)])
 
@@ -149,8 +194,8 @@ def identify(rows: DataFrame, model: np.ndarray, languages: tuple[str, ...] = LA
     post = [F.col(like[i]) + F.coalesce(F.col(f"h{i}"), F.lit(math.log(base[i]))) + F.coalesce(F.col(dn[i]), zero)
             + F.coalesce(F.col(sn[i]), zero) for i in range(n)]
     out = [c for c in s.columns if not c.startswith("__") and c not in like]
-    j = j.select(*out, *like, *[p.alias(f"z{i}") for i, p in enumerate(post)])
-    best = F.greatest(*[F.col(f"z{i}") for i in range(n)])
+    j = j.select(*out, *like, "__fits", *[p.alias(f"z{i}") for i, p in enumerate(post)])
+    best = F.greatest(*[F.col(f"z{i}") for i in range(n)], F.lit(-math.inf))
     norm = sum((F.exp(F.col(f"z{i}") - best) for i in range(n)), zero)
 
     def first(prefix: str, top: Column) -> Column:
@@ -159,8 +204,10 @@ def identify(rows: DataFrame, model: np.ndarray, languages: tuple[str, ...] = LA
             c = F.when(F.col(f"{prefix}{i}") == top, F.lit(languages[i])).otherwise(c)
         return c
 
-    return j.select(*out, first("z", best).alias("language"), F.round(1 / norm, 4).alias("confidence"),
-                    first("l", F.greatest(*like)).alias("text_language"))
+    known = F.col("__fits")
+    return j.select(*out, F.when(known, first("z", best)).otherwise(OTHER).alias("language"),
+                    F.when(known, F.round(1 / norm, 4)).alias("confidence"),
+                    F.when(known, first("l", F.greatest(*like, F.lit(-math.inf)))).otherwise(OTHER).alias("text_language"))
 
 
 def page_rows(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -337,3 +337,31 @@ def test_separation_is_the_share_of_ordered_pairs():
     z, y = rng.integers(0, 5, 60).astype(float), rng.integers(0, 2, 60).astype(float)
     pairs = [(a > b) + 0.5 * (a == b) for a in z[y == 1] for b in z[y == 0]]
     assert math.isclose(toxicity.separation(z, y), np.mean(pairs))
+
+
+# ---- language id: languages from the labels, other texts ----
+
+def test_languages_come_from_the_labels_and_strangers_are_other(spark):
+    from parlance.llm import langid
+    rng = random.Random(7)
+    syllables = {"it": ["zio", "gli", "che", "ando"], "zh": ["的是", "不了", "在有", "人这"], "nl": ["ij", "aar", "oe", "sch"],
+                 "xx": ["qv", "wk", "jx", "vq"]}
+
+    def say(lang, n=60):
+        return " ".join("".join(rng.choice(syllables[lang]) for _ in range(3)) for _ in range(n))
+
+    rows = [(say(lang), lang) for lang in ("it", "zh", "nl") for _ in range(30)] + [(say("xx"), "xx"), (None, "it"), ("abc", None), ("", "")]
+    model = langid.text_model(spark.createDataFrame(rows, "__t string, __lang string"))
+    assert model.languages == ("it", "nl", "zh")
+    pages = [(i, f"http://a.b/{i}", f"<html lang='{lang}'><p>{say(lang, 200)}</p>") for i, lang in enumerate(["it", "zh", "nl", "xx"] * 3)]
+    pages += [(100, None, None), (101, "http://a.b/", "<p>zio</p>"), (101, "http://a.b/", "<p>zio</p>"), (102, "x", "<p>" + say("zh", 30_000) + "</p>")]
+    df = spark.createDataFrame([(*p, "clash", "l0") for p in pages], "page_id long, url string, html string, language string, __fits string")
+    got = [(r.page_id, r.language, r.confidence) for r in langid.identify(langid.page_rows(df), model).collect()]
+    assert len(got) == len(pages)
+    for page, language, confidence in got:
+        if page < 100:
+            want = ["it", "zh", "nl", "xx"][page % 4]
+            assert (language, confidence is None) == (("other", True) if want == "xx" else (want, False))
+    assert {x[1] for x in got if x[0] == 102} == {"zh"} and len({x for x in got if x[0] == 101}) == 1
+    none = langid.text_model(spark.createDataFrame(rows, "__t string, __lang string").limit(0))
+    assert [r.language for r in langid.identify(langid.page_rows(df.limit(2)), none).collect()] == [None, None]
