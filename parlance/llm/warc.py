@@ -102,19 +102,33 @@ def derive(responses: DataFrame, carry: tuple[str, ...] = ("page_id",)) -> DataF
 
 
 def warc_record(date: str) -> Column:
-    """A derived record as it stands in a WARC file, from the columns of ``derive``."""
-    line = lambda name, value: F.when(value.isNotNull(), F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit(CRLF))) \
+    """A derived record as it stands in a WARC file, without the two line ends after it, from the columns of ``derive``.
+
+    Besides the fields of the format, ``X-Source-Payload-Digest``, ``X-Source-Status`` and one ``X-Source-Header`` for each
+    header of the response go with both record types.  Line breaks in values become spaces, so no value can start a
+    field; null values have no field.
+    """
+    one_line = lambda value: F.regexp_replace(value.cast("string"), r"[\r\n]+", " ")
+    line = lambda name, value: F.when(value.isNotNull(), F.concat(F.lit(f"{name}: "), one_line(value), F.lit(CRLF))) \
         .otherwise(F.lit(""))
+    entries = F.sort_array(F.map_entries(F.coalesce("source_headers", F.create_map().cast("map<string,string>"))))
+    headers = F.array_join(F.transform(entries, lambda e: F.concat(
+        F.lit("X-Source-Header: "), one_line(e["key"]), F.lit(": "), one_line(e["value"]), F.lit(CRLF))), "")
     return F.concat(
         F.lit("WARC/1.1" + CRLF), line("WARC-Type", F.col("warc_type")), line("WARC-Record-ID", F.col("record_id")),
         line("WARC-Refers-To", F.col("refers_to")), line("WARC-Target-URI", F.col("target_uri")),
         line("WARC-Date", F.lit(date)), line("WARC-Block-Digest", F.col("block_digest")),
-        line("WARC-Payload-Digest", F.when(F.col("warc_type") == "response", F.col("source_digest"))),
+        line("X-Source-Payload-Digest", F.col("source_digest")),
+        line("X-Source-Status", F.nullif(F.col("http_status"), F.lit(""))), headers,
         line("Content-Type", F.col("content_type")), line("Content-Length", F.col("content_length")),
-        F.lit(CRLF), F.col("body"), F.lit(CRLF + CRLF))
+        F.lit(CRLF), F.col("body"))
 
 
 def write_warc(records: DataFrame, path: str, date: str) -> None:
-    """Write derived records as gzip text files of WARC records, one set of files per record type."""
+    """Write derived records as gzip files of WARC records, one set of files per record type.
+
+    The writer's line separator is the two line ends that close a record, so the files hold nothing but records.  A file
+    is one gzip member, as Spark writes it.
+    """
     records.select("warc_type", warc_record(date).alias("value")).write.partitionBy("warc_type") \
-        .option("compression", "gzip").option("lineSep", "\n").text(path)
+        .option("compression", "gzip").option("lineSep", CRLF + CRLF).text(path)

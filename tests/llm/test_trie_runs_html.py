@@ -365,3 +365,36 @@ def test_languages_come_from_the_labels_and_strangers_are_other(spark):
     assert {x[1] for x in got if x[0] == 102} == {"zh"} and len({x for x in got if x[0] == 101}) == 1
     none = langid.text_model(spark.createDataFrame(rows, "__t string, __lang string").limit(0))
     assert [r.language for r in langid.identify(langid.page_rows(df.limit(2)), none).collect()] == [None, None]
+
+
+# ---- WARC files ----
+
+def test_written_warc_files_read_back(spark, tmp_path):
+    import glob
+    import gzip
+
+    from parlance.llm import warc
+    html = "<html lang='de'><title>Häfen</title><p>Der Hafen\r\n\r\nist still.</p><a href='/x'>x</a></html>"
+    pages = spark.createDataFrame([(1, "http://a.b/c\r\nWARC-Type: evil", html), (2, None, None), (2, None, None),
+                                   (3, "http://long", "<p>" + "wort " * 50_000 + "</p>")], "page_id long, url string, html string")
+    records = warc.derive(warc.page_responses(pages))
+    warc.write_warc(records, f"{tmp_path}/out", "2024-01-01T00:00:00Z")
+    want = sorted((r.warc_type, r.record_id, r.refers_to, r.block_digest, r.source_digest, r.body.encode()) for r in records.collect())
+    got = []
+    for name in glob.glob(f"{tmp_path}/out/*/*.gz"):
+        data = gzip.open(name).read()
+        while data:
+            head, data = data.split(b"\r\n\r\n", 1)
+            lines = head.decode().split("\r\n")
+            assert lines[0] == "WARC/1.1"
+            fields = [x.split(": ", 1) for x in lines[1:]]
+            f = dict(fields)
+            assert [x[0] for x in fields].count("WARC-Type") == 1
+            body, data = data[:int(f["Content-Length"])], data[int(f["Content-Length"]):]
+            assert data[:4] == b"\r\n\r\n"
+            data = data[4:]
+            assert f["WARC-Block-Digest"] == "sha1:" + hashlib.sha1(body).hexdigest()
+            headers = [v for k, v in fields if k == "X-Source-Header"]
+            assert headers[1] == "content-type: text/html; charset=utf-8" and f["X-Source-Status"] == "200"
+            got.append((f["WARC-Type"], f["WARC-Record-ID"], f["WARC-Refers-To"], f["WARC-Block-Digest"], f["X-Source-Payload-Digest"], body))
+    assert sorted(got) == want and len(got) == 8
