@@ -102,7 +102,63 @@ QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_chat_formatting, op3_simhash, op4_toxicity, op5_line_dedup, op6_warc, op7_url_filter,
     op8_decontamination, op9_quality_rules, op10_language_id, op11_prefix_trie, op12_periodic_runs, op13_html_text)}
 
+#: the oracle's html_to_text: the same rules nested as calls
+_PLAIN = "body"
+for _pattern, _to in warc.HTML_TO_TEXT:
+    _to = "chr(10)" if _to == "\n" else "'" + _to.replace("'", "''") + "'"
+    _PLAIN = "regexp_replace({}, '{}', {}, 'g')".format(_PLAIN, _pattern.replace("'", "''"), _to)
+
+
+def _uuid(kind: str, *of: str) -> str:
+    h = f"md5('{kind}'" + "".join(f" || chr(10) || coalesce({c}::VARCHAR, '')" for c in of) + ")"
+    parts = " || '-' || ".join(f"substr({h}, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+    return f"'<urn:uuid:' || {parts} || '>'"
+
+
+_STOPS = ", ".join("'" + v + "'" for v in sorted({v for w in quality.STOP_WORDS for v in (w, w.capitalize(), w.upper())}))
+_RULES = " AND ".join(
+    "NOT coalesce(" + " OR ".join([f"{m} < {r.low}"] * (r.low is not None) + [f"{m} > {r.high}"] * (r.high is not None)) + ", false)"
+    for r in quality.RULES for m in [quality.METRICS[r.metric].replace("/ n_", "/ nullif(n_").replace(
+        "n_words", "n_words, 0)").replace("n_lines", "n_lines, 0)") if "/" in quality.METRICS[r.metric] else quality.METRICS[r.metric]])
+
 ORACLE = {
+    "op6_warc": rf"""
+        WITH p AS (SELECT page_id, url AS target_uri, coalesce(html, '') AS body FROM pages),
+        r AS (
+            SELECT *, {_uuid("response", "page_id", "target_uri", "body")} AS refers_to, 'sha1:' || sha1(body) AS source_digest,
+                   strlen(body) AS bytes, {_PLAIN} AS plain,
+                   trim(regexp_extract(body, '(?is)<title\b[^>]*>(.*?)</title', 1)) AS title,
+                   lower(regexp_extract(body, '(?is)<html\b[^>]*\blang=["'']?([a-zA-Z-]+)', 1)) AS lang,
+                   len(regexp_extract_all(body, '(?i)<a\b[^>]*\bhref=')) AS links FROM p),
+        d AS (
+            SELECT *, 'metadata' AS warc_type, 'application/json' AS content_type, '{{"status":"200","headers":{{'
+                   || '"content-type":"text/html; charset=utf-8","content-length":"' || bytes || '"}},"title":' || to_json(title)
+                   || ',"lang":' || to_json(lang) || ',"links":' || links || ',"payload_length":' || bytes || '}}' AS made FROM r
+            UNION ALL SELECT *, 'conversion', 'text/plain', plain FROM r)
+        SELECT page_id, warc_type, CASE warc_type WHEN 'metadata' THEN {_uuid("metadata", "refers_to")}
+                   ELSE {_uuid("conversion", "refers_to")} END AS record_id, refers_to, target_uri, source_digest,
+               '200' AS http_status, 'text/html; charset=utf-8' AS source_type, content_type, 'sha1:' || sha1(made) AS block_digest,
+               strlen(made)::BIGINT AS content_length FROM d""",
+    "op9_quality_rules": rf"""
+        WITH d AS (
+            SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w,
+                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS l
+            FROM documents),
+        i AS (SELECT rid, w, unnest(range(1, len(w) - 6)) AS pos FROM d WHERE len(w) >= 8),
+        x AS (SELECT rid, pos, count(*) OVER (PARTITION BY rid, array_to_string(w[pos:pos + 7], ' ')) AS n FROM i),
+        v AS (SELECT rid, count(DISTINCT pos + k) AS n FROM x, (SELECT unnest(range(0, 8)) AS k) WHERE n > 1 GROUP BY rid),
+        m AS (
+            SELECT doc_id, len(w) AS n_words, length(regexp_replace(t, '[ 	-]', '', 'g')) AS word_chars,
+                   length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+                   len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(v.n, 0) AS n_repeat_words, len(l) AS n_lines,
+                   len(list_filter(w, lambda x: list_contains([{_STOPS}], x))) AS n_stop_words,
+                   len(list_filter(l, lambda x: regexp_matches(x, '^\s*[-*•]\s'))) AS n_bullet_lines,
+                   len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)\s*$'))) AS n_ellipsis_lines
+            FROM d LEFT JOIN v USING (rid)),
+        f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND {_RULES} AS kept FROM f""",
     "op2_chat_formatting": r"""
         WITH t AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
