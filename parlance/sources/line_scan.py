@@ -1,7 +1,7 @@
 """Transcript files read line by line (S1-S7, S10): a file may be larger than any task.
 
-The text scan splits files; a split's lines stay in order.  Speakers are carried over split borders by prefix
-sums over one row per split, so no file, only an utterance, has to fit into a task.
+The text scan splits files; a split's lines stay in order.  Speakers are carried over the borders of blocks of lines by
+prefix sums over one row per block, so no file, only an utterance, has to fit into a task.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from .transcripts import (FORMATS, FRONT_MATTER_RE, LineRules, Transcripts, _emp
                           front_matter, no_such_folder, read_transcripts, rules_of)
 
 SPLIT = ["file_path", "block_start"]
+#: lines of a split that are numbered together: 2 to this power at most
+BLOCK_BITS = 13
 #: end of a front-matter block: dashes at the start of a line or after white space
 _CLOSE = r"(?U)(^|\s)---"
 
@@ -84,33 +86,34 @@ def without_front_matter(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 def segments(lines: DataFrame, rules: LineRules) -> DataFrame:
     """S6/S7 on lines: ``file_path, dialogue_idx, speaker, text``, a row per utterance.
 
-    In a split, running sums number its speaker lines and the utterances that have text; the split's first lines
-    belong to the last speaker before it, which one row per split carries on.
+    In a block of a split's lines, running sums number the speaker lines and the utterances that have text; a block's first
+    lines belong to the last speaker before it, which one row per block carries on.
     """
     line = F.col("line")
     spoken = rules.is_speaker(line)
+    block = [*SPLIT, "_blk"]
     e = lines.withColumn("_spk", spoken).where(F.col("_spk") | _nonblank(line)).select(
-        *SPLIT, "pos", "_spk", F.when(F.col("_spk"), rules.speaker(line)).alias("speaker"),
+        *SPLIT, "pos", F.shiftright("pos", BLOCK_BITS).alias("_blk"), "_spk", F.when(F.col("_spk"), rules.speaker(line)).alias("speaker"),
         F.when(F.col("_spk"), rules.first(line)).otherwise(rules.rest(line)).alias("piece"))
     named = F.length("speaker") > 0
     e = e.withColumn("_waits", F.col("_spk") & F.col("piece").isNull() & named)
-    w = Window.partitionBy(*SPLIT).orderBy("pos")
+    w = Window.partitionBy(*block).orderBy("pos")
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
     e = e.withColumn("_prev", F.lag("_waits").over(w))
     e = e.withColumn("_opens", F.when(F.col("_spk"), F.col("piece").isNotNull() & named)
                      .otherwise(F.coalesce("_prev", F.lit(False))))
     e = e.select("*", F.count_if("_spk").over(so_far).alias("_seg"), F.count_if("_opens").over(so_far).alias("_open"))
-    splits = e.groupBy(*SPLIT).agg(
+    splits = e.groupBy(*block).agg(
         F.count_if("_spk").alias("_spks"), F.count_if("_opens").alias("_opened"),
         F.count_if(F.col("_prev").isNull() & ~F.col("_spk")).alias("_goes_on"), F.max_by("_waits", "pos").alias("_last"))
-    over = Window.partitionBy("file_path").orderBy("block_start")
+    over = Window.partitionBy("file_path").orderBy("block_start", "_blk")
     splits = splits.withColumn("_more", F.when((F.col("_goes_on") > 0) & F.coalesce(
         F.lag("_last").over(over), F.lit(False)), 1).otherwise(0))
     earlier = over.rowsBetween(Window.unboundedPreceding, -1)
     carried = splits.select(
-        *SPLIT, "_more", F.coalesce(F.sum("_spks").over(earlier), F.lit(0)).alias("_seg0"),
+        *block, "_more", F.coalesce(F.sum("_spks").over(earlier), F.lit(0)).alias("_seg0"),
         F.coalesce(F.sum(F.col("_opened") + F.col("_more")).over(earlier), F.lit(0)).alias("_open0"))
-    j = e.join(carried, SPLIT).select(
+    j = e.join(carried, block).select(
         "file_path", (F.col("_seg") + F.col("_seg0")).alias("_seg"),
         (F.col("_open") + F.col("_open0") + F.col("_more")).alias("_open"), "speaker",
         F.when(F.col("piece").isNotNull(), F.struct("block_start", "pos", "piece")).alias("_piece"))
