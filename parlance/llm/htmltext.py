@@ -41,7 +41,7 @@ MAIN_WORDS = frozenset("article post entry content main story text body title".s
 NEGATIONS = frozenset("has no not with without".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>"']|"[^"]*"|'[^']*')*+)>""", re.S)
-_ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)[^>]*>?", re.I) for t in RAW_TAGS}
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
@@ -53,7 +53,7 @@ BLOCK_TYPE = pa.list_(pa.struct([("text", pa.string()), ("words", pa.int64()), (
 
 def _region(tag: str, attrs: str, region: int) -> int:
     """Region of an element inside ``region``; ``main`` and ``article`` leave what they contain in the article
-    unless they lie in a side part."""
+    unless they lie in a side part.  Of elements inside a line of text only hidden ones are side parts."""
     if attrs:
         words: list[str] = []
         for name, value in _ATTR.findall(attrs):
@@ -61,6 +61,8 @@ def _region(tag: str, attrs: str, region: int) -> int:
             if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(
                     r"display\s*:\s*none", value):
                 return SIDE
+            if tag not in BLOCK_TAGS:
+                continue
             if name == "role" and value.lower() in SIDE_ROLES:
                 return SIDE
             if name == "role" and value.lower() in ("main", "article"):
@@ -158,11 +160,13 @@ def flat_blocks(page: str) -> list[dict]:
             heading = int(len(tag) == 2 and tag[0] == "h" and tag[1].isdigit())
         inside = _region(tag, attrs, region)
         if tag not in VOID_TAGS and (block or inside != region or tag in DROPPED_TAGS):
-            if inside != region:
+            if block and inside != region:
                 flush()
             stack.append((tag, region, dropping))
             opened[tag] += 1
-            region, dropping = inside, dropping or tag in DROPPED_TAGS
+            # what is hidden within a line is dropped and does not end its block
+            dropping = dropping or tag in DROPPED_TAGS or not block and inside != region
+            region = inside if block else region
     flush()
     return out
 

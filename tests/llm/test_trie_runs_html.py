@@ -241,7 +241,9 @@ def test_broken_and_odd_pages(spark, rules):
     pages = [None, "", "   ", "<article>", "<p", f"<article><p><b>One<p>{LONG}<ul><li>x<li>y</ul></p></div></article",
              f"<article><p>{LONG}</p><p>cut in a refer&am", f"<script>var t='</p>';</SCRIPT ><article>{LONG}</article>",
              f"<ARTICLE>{LONG}</ARTICLE><style>never closed", f"<article>{big}</article>", "</p></div></article>",
-             "<article>a &lt;b&gt; &#x41;&#66; 1 < 2</article>", "<article>\x00 x</article>"]
+             "<article>a &lt;b&gt; &#x41;&#66; 1 < 2</article>", "<article>\x00 x</article>",
+             f"<article data-hidden='1' data-id=ad><p>{LONG} <a href='/p?id=menu&role=search' class='nav-link'>here</a> and "
+             "<span class=ad>there</span><span hidden>not</span>.</p></article>"]
     got = extracted(spark, rules, pages)
     assert got[:5] == ["", "", "", "", ""]
     assert got[5] == f"One\n{LONG}\nx\ny"
@@ -249,6 +251,7 @@ def test_broken_and_odd_pages(spark, rules):
     assert got[7] == LONG and got[8] == LONG
     assert got[9].split("\n") == [f"{LONG} {i}" for i in range(3000)]
     assert got[10] == "" and got[11] == "a <b> AB 1 < 2" and got[12] == "\x00 x"
+    assert got[13] == f"{LONG} here and there."
 
 
 def test_pages_repeat_and_empty_table(spark, rules):
