@@ -272,5 +272,7 @@ def read_transcripts(spark: SparkSession, path: str, fmt: str = "mdx", compat: b
         sessions, rejects = parse(files, fmt, compat, speakers)
         if rejects is None:
             rejects = _empty(spark, S.REJECTS)
+    # utterances come from the parsed rows, not from those that the index is joined to: their text is not moved
+    utterances = utterances_of(sessions)
     sessions = ordering.dense_index(sessions, ordering.session_order(), "transcript_idx", group_cols)
-    return Transcripts(sessions=sessions, utterances=utterances_of(sessions), rejects=rejects)
+    return Transcripts(sessions=sessions, utterances=utterances, rejects=rejects)

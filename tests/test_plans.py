@@ -8,7 +8,8 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
-MODEL_FITS = {"lda_topic_terms", "lda_document_topics", "choose_k"}  # fitted at build time; checked elsewhere
+MODEL_FITS = {"lda_topic_terms", "lda_document_topics", "choose_k", "lda_invariants", "choose_k_invariants",
+              "progress_replies"}  # fitted or asked at build time; checked elsewhere
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
 
 
