@@ -90,3 +90,48 @@ def test_text_is_processed_once(spark, said, lemmas):
     scores = spark.createDataFrame([(0.5,), (-0.5,)], "compound_score double").withColumn("compound_score", look("compound_score").cast("double"))
     ch.compound_histogram(scores, 2).collect()
     assert seen.value == after + 2
+
+
+def test_tokens_are_counted_inside_the_row(spark):
+    """A row's counts and stretches are made where its tokens are, also those of null and empty words."""
+    lists = [["b", "a", "b", "a", "b"], ["x"], ["", None, "", None], ["a"] * 3 + ["b"] * 9 + ["a"]]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(lists)], "i int, tokens array<string>")
+    counts = df.select("i", F.explode(tp.term_counts(F.col("tokens"))).alias("c")).select("i", "c.*")
+    assert "Exchange" not in _plan(counts)
+    assert {(r["i"], r["term"], r["count"]) for r in counts.collect()} == {
+        (i, w, t.count(w)) for i, t in enumerate(lists) for w in t}
+    got = df.where("i in (0, 3)").select("i", F.explode(tp.term_stretches(F.col("tokens"), 2)).alias("c")).select("i", "c.*").collect()
+    assert sorted(map(tuple, got)) == [(0, "a", 1, 3), (0, "b", 0, 4), (3, "a", 0, 2), (3, "a", 12, 12), (3, "b", 3, 11)]
+
+
+def test_packed_token_lists_lose_nothing(spark):
+    lists = [None, [], [""], ["", ""], ["a", None], [None], ["a" + lookup.SEPARATOR + "b"], ["a", lookup.SEPARATOR], ["a", "b c", ""]]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(lists)], "i int, tokens array<string>")
+    back = df.select("i", lookup.packed("tokens").alias("p")).select("i", lookup.unpacked("p").alias("t")).orderBy("i").collect()
+    assert [r["t"] for r in back] == lists
+
+
+def test_corpus_with_repeated_keys_counts_them_together(spark):
+    rows = [(1, 0, ["a", "b"]), (1, 0, ["a"]), (1, 1, ["a"]), (None, 0, ["b"]), (None, None, ["b"])]
+    c = tp.corpus(spark.createDataFrame(rows, "session_key long, dialogue_idx long, tokens array<string>"))
+    got = {(r["doc_type"], r["session_key"], r["dialogue_idx"], r["term"]): r["count"] for r in c.counts.collect()}
+    assert got == {("dialogue", 1, 0, "a"): 2, ("dialogue", 1, 0, "b"): 1, ("dialogue", 1, 1, "a"): 1, ("dialogue", None, 0, "b"): 1,
+                   ("dialogue", None, None, "b"): 1, ("transcript", 1, -1, "a"): 3, ("transcript", 1, -1, "b"): 1,
+                   ("transcript", None, -1, "b"): 2}
+    assert {r["term"]: r["df"] for r in tp.document_frequency(c).collect()} == {"a": 3, "b": 5}
+
+
+def test_counts_meet_a_broadcast_vocabulary(spark):
+    """The vocabulary is as small as it is, not as large as the counts it was made of; utterance counts need no shuffle."""
+    rows = [(s, i, ["a", "b", "a", "w%d" % (i % 3)]) for s in range(20) for i in range(5)]
+    c = tp.corpus(spark.createDataFrame(rows, "session_key long, dialogue_idx long, tokens array<string>"))
+    assert c.unique
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (tp.bag_of_words(c, tp.vocabulary(c)), tp.tfidf(c)):
+            plan = _plan(df)
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+            df.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
