@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ordering import join_groups, running_sums
 from ..options import EnrichOptions
-from ..session import ensure_checkpoint_dir, with_scalar
+from ..session import ensure_checkpoint_dir, stored, with_scalar
 from . import enrich as en
 
 HEAD, ENTRY, FOOT = 0, 1, 2
@@ -91,8 +91,9 @@ def progress_prompt_parts(sessions: DataFrame, utterances: DataFrame, sentiment_
     keys = list(group_cols)
     patient = en._patient(sessions)
     who = sessions.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min_by(patient, "transcript_idx").alias("__who"))
-    items = progress_items(sessions, utterances, sentiment_info, topic_info, keys)
-    texts = part_texts(packed(items, keys, ITEM_ORDER, budget=budget), keys, ITEM_ORDER)
+    # lengths and texts read the items, and the parts' texts and numbers the parts: each is made once
+    items = stored(progress_items(sessions, utterances, sentiment_info, topic_info, keys), "items")
+    texts = part_texts(stored(packed(items, keys, ITEM_ORDER, budget=budget), "parts"), keys, ITEM_ORDER)
     j = per_group(texts, who, keys)
     ok = F.col("__n") >= 2
     prompt = F.concat(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from parlance.operators import charts as ch
 from parlance.operators import lookup
 from parlance.operators import preprocess as pp
+from parlance.operators import prompt_parts as pt
 from parlance.operators import sentiment as se
 from parlance.operators import topics as tp
 from parlance.options import TextOptions
@@ -135,3 +136,21 @@ def test_counts_meet_a_broadcast_vocabulary(spark):
             df.collect()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_prompt_parts_read_the_entries_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def look(t):
+        seen.add(1)
+        return t
+
+    said = spark.createDataFrame([(s, i, "Client", "word " * 9) for s in (1, 2) for i in range(5)],
+                                 "session_key long, dialogue_idx long, speaker string, text string").withColumn("text", look("text"))
+    sessions = spark.createDataFrame([(1, 0, 1, None), (2, 1, 2, None)],
+                                     "session_key long, transcript_idx long, session_number int, session_date date")
+    info = "session_key long, {} string"
+    parts = pt.progress_prompt_parts(sessions, said, spark.createDataFrame([], info.format("sentiment_info")),
+                                     spark.createDataFrame([], info.format("topic_info")), budget=200).collect()
+    assert len(parts) > 1 and sum(p["prompt"].count("word") for p in parts) == 90 and seen.value == 10
