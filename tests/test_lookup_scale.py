@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from parlance.functions.ordering import rank_within
 from parlance.operators import charts as ch
 from parlance.operators import lookup
 from parlance.operators import preprocess as pp
@@ -10,7 +11,7 @@ from parlance.operators import prompt_parts as pt
 from parlance.operators import sentiment as se
 from parlance.operators import topics as tp
 from parlance.options import TextOptions
-from parlance.session import broadcast_dictionary
+from parlance.session import broadcast_dictionary, stored
 
 OPTS = TextOptions(stopwords=("the",), custom_stopwords=())
 
@@ -165,3 +166,40 @@ def test_stretches_of_an_utterance_are_made_in_its_row(spark):
         (1, 0, 4, "a", 0, 2), (1, 1, 4, "a", 3, 3), (1, 1, 4, "c", 0, 2), (2, 0, 1, "a", 0, 0), (None, 0, 3, "a", 2, 2), (None, 0, 3, "c", 1, 1)}
     assert {tuple(r[k] for k in keys) for r in met.collect()} == {
         (1, -1, 8, "a", 0, 2), (1, -1, 8, "a", 7, 7), (1, -1, 8, "c", 4, 6), (2, -1, 1, "a", 0, 0), (None, -1, 3, "a", 2, 2), (None, -1, 3, "c", 1, 1)}
+
+
+def test_rank_shuffles_the_rows_once(spark):
+    """Window and offsets meet by one key: the rows are not shuffled again, and null keys are a group."""
+    rows = [(s, i, "x") for s in (1, 2, None) for i in range(7)] + [(5, 3, "x"), (5, None, "x")]
+    df = spark.createDataFrame(rows, "session_key long, i long, text string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        r = rank_within(df, ["session_key"], "i", "rk", "n", block=3)
+        assert _plan(r).count("hashpartitioning") == 4  # rows; counts: by block, by group, with the rows
+        got = sorted(((x["session_key"] or 0, x["rk"], x["n"], x["i"]) for x in r.collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert r.columns == ["session_key", "i", "text", "n", "rk"]
+    assert got == sorted([(s, i + 1, 7, i) for s in (0, 1, 2) for i in range(7)] + [(5, 1, 2, None), (5, 2, 2, 3)], key=str)
+
+
+def test_parts_of_a_session_rank_once(spark):
+    rows = [(s, i) for s, n in ((1, 1), (2, 2), (3, 7), (4, 9)) for i in range(n)]
+    mix = spark.createDataFrame(rows, "session_key long, dialogue_idx long").select(
+        F.lit("dialogue").alias("doc_type"), "*", F.expr("array(named_struct('topic_id', 0, 'prob', 1.0D))").alias("topic_distribution"))
+    t = tp.topics_along_session(mix, mix.select("session_key").distinct())
+    assert _plan(t).count("row_number()") == 1
+    sizes = {}
+    for x in t.collect():
+        assert x["prevalence"] == 1.0
+        sizes.setdefault(x["session_key"], {})[x["part"]] = x["utterances"]
+    assert sizes == {1: {1: 1}, 2: {1: 1, 2: 1}, 3: {1: 3, 2: 2, 3: 2}, 4: {1: 3, 2: 3, 3: 3}}
+
+
+def test_what_is_written_is_compressed(spark):
+    words = spark.range(20000).select(F.array(*[F.concat(F.lit("word"), (F.col("id") * k % 9973).cast("string"))
+                                                for k in range(1, 9)]).alias("tokens"))
+    t = stored(words, "tokens")
+    assert all(f.endswith(".zstd.parquet") for f in t.inputFiles())
+    assert t.exceptAll(words).isEmpty() and t.count() == 20000
