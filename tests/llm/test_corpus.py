@@ -83,6 +83,32 @@ def test_linked_components_equal_all_pairs(spark):
     assert all(got.get(i, i) == want[i] for i in range(len(fps)))
 
 
+def test_linked_components_check_a_pair_once(spark):
+    """Buckets of one to six members: all links of all pairs, and no pair is checked a second time."""
+    rng = random.Random(3)
+    rows = [(k, 100 * k + i, rng.randrange(8), rng.randint(10, 14)) for k in range(60) for i in range(1 + k % 6)]
+    rows += [(60 + k % 20, i, f, n) for k, i, f, n in rows]  # each in a second bucket, with members of others
+    members = spark.createDataFrame(rows, "key long, id long, fp long, len long")
+    asked = []
+
+    def ok(a, b):
+        return (a * 7 + b * 3) % 5 != 0
+
+    def verify(pairs):
+        asked.extend((r["a"], r["b"]) for r in pairs.collect())
+        return pairs.where((F.col("a") * 7 + F.col("b") * 3) % 5 != 0)
+
+    for near in (None, lambda x, y: F.abs(x - y) <= 2):
+        asked.clear()
+        cols = ["key", "id", "fp", "len"] if near else ["key", "id", "fp"]
+        got = {r["id"]: r["root"] for r in components.linked_components(members.select(cols), 2, verify, near).collect()}
+        links = {(min(i, j), max(i, j)) for k, i, f, n in rows for q, j, g, m in rows
+                 if k == q and i != j and (f ^ g).bit_count() <= 2 and (near is None or abs(n - m) <= 2)}
+        assert len(asked) == len(set(asked)) and set(asked) <= links
+        want = roots(6000, [x for x in links if ok(*x)])
+        assert all(got.get(i, i) == want[i] for _, i, _, _ in rows)
+
+
 def test_golay_keys_meet_within_two_bits():
     rng = np.random.default_rng(4)
     a = rng.integers(-2 ** 63, 2 ** 63 - 1, 3000, dtype=np.int64)
