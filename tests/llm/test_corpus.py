@@ -449,6 +449,51 @@ def test_decontamination_finds_leaks(spark, odd, none):
     assert kept.count() == len(ODD) and kept.columns == odd.columns
 
 
+def basis_and_products(texts, bases):
+    """For each block's (items, idf, vocabulary, basis) the exact AᵀA of all passages of 48 words and of the items, and the basis."""
+    for block, idf, vocab, basis in bases:
+        gram = np.zeros((len(vocab), len(vocab)))
+        passages = [w[i:i + 48] for w in map(str.split, texts) for i in range(0, len(w), 48)]
+        passages = [p for p in passages if any(w.encode() in vocab for w in p)]
+        weight = max(1, len(passages) / 20_000)
+        for k, p in enumerate(passages + [x.words for x in block]):
+            ids = [i for w in p if (i := vocab.get(w if isinstance(w, bytes) else w.encode())) is not None]
+            if ids:
+                a = np.bincount(ids, minlength=len(vocab)) * idf
+                a /= np.linalg.norm(a)
+                at = np.unique(ids)
+                gram[np.ix_(at, at)] += np.outer(a[at], a[at]) * (weight if k >= len(passages) else 1)
+        yield gram, basis
+
+
+def test_decontamination_basis_is_that_of_all_passages(spark, monkeypatch):
+    """Two corpora, one of more than 20,000 passages: the basis diagonalises the products of all passages, in every block."""
+    rng = random.Random(31)
+    words = [f"w{i}" for i in range(40)]
+    items = [(k, " ".join(rng.choices(words[4 * k:4 * k + 12], k=12))) for k in range(8)]
+    bases = []
+
+    class Spy(decontam.Search):
+        def __init__(self, items, idf, vocab, basis):
+            bases.append((items, idf, vocab, basis))
+            super().__init__(items, idf, vocab, basis)
+
+    monkeypatch.setattr(decontam, "Search", Spy)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for n_docs, block, terms in ((400, 1000, 4096), (20, 3, 4096), (20, 3, 0)):
+        texts = [" ".join(rng.choices(words[k % 9 * 4:k % 9 * 4 + 8] + ["x", "y"], k=2600)) for k in range(n_docs)]
+        docs = spark.createDataFrame([*enumerate(texts), (None, None), (-1, "")], "doc_id long, text string")
+        monkeypatch.setattr(decontam, "BLOCK_ITEMS", block)
+        monkeypatch.setattr(decontam, "GRAM_TERMS", terms, raising=False)
+        bases.clear()
+        decontam.contaminated(docs, bench)
+        assert len(bases) > 1 or block > 3
+        for gram, basis in basis_and_products(texts, bases):
+            values = basis.T @ gram @ basis
+            assert np.abs(values - np.diag(np.diag(values))).max() < 1e-8 * values.max()
+            assert np.allclose(basis.T @ basis, np.eye(basis.shape[1])) and (np.diff(np.diag(values)) <= 1e-6).all()
+
+
 def test_decontamination_among_other_items_and_short_items():
     rng = random.Random(23)
     vocab = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(400)]
