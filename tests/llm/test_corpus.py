@@ -238,6 +238,44 @@ def test_line_similarity_equals_brute_force(spark):
     assert 50 < sum(r["ok"] for r in got) < len(rows)
 
 
+def test_long_line_similarity_is_decided_early(spark):
+    """Equal to brute force on long lines; long lines with changed words cost far less than their distance."""
+    import time
+    rng = random.Random(32)
+    word = lambda n: "".join(rng.choice("abß") for _ in range(rng.randint(1, n)))
+
+    def variant(a, n, shift):
+        b = list(a)
+        for _ in range(n):
+            at = rng.randrange(len(b))
+            b[at:at + rng.randint(1 - shift, 1)] = [word(6)] * (1 + rng.randint(0, shift))
+        return b
+
+    rows = []
+    for k in range(60):
+        a = [word(6) for _ in range(rng.randint(30, 90))]
+        b = variant(a, rng.randint(0, 40), k % 2) if k % 3 else [word(6) for _ in a]
+        rows.append((" ".join(a), " ".join(b)))
+    got = lines.with_similar(spark.createDataFrame(rows, "l string, r string"), "l", "r", 0.85, "ok").collect()
+    near = lambda a, b: levenshtein(a, b) <= int(max(len(a), len(b)) * 0.15 + 1e-9)
+    assert sorted((r["l"], r["r"], r["ok"]) for r in got) == sorted((a, b, near(a, b)) for a, b in rows)
+    assert 8 < sum(r["ok"] for r in got) < 52
+    a = [word(6) for _ in range(1000)]
+    pairs = spark.createDataFrame([(" ".join(a), " ".join(variant(a, 20, 0))) for _ in range(60)], "l string, r string")
+    pairs = pairs.repartition(1).cache()
+    assert pairs.count() == 60
+
+    def seconds(df):
+        begin = time.time()
+        df.write.format("noop").mode("overwrite").save()
+        return time.time() - begin
+
+    checked = lines.with_similar(pairs, "l", "r", 0.9, "ok")
+    assert checked.where("ok").count() == 60
+    assert seconds(checked) < seconds(pairs.select(F.levenshtein("l", "r", 450))) / 2
+    pairs.unpersist()
+
+
 def test_lines_odd(odd, none):
     got = lines.dedup_lines(odd)
     assert lines.dedup_lines(none).count() == 0 and set(odd.columns) <= set(got.columns)
