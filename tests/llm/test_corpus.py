@@ -532,6 +532,32 @@ def test_decontamination_basis_is_that_of_all_passages(spark, monkeypatch):
             assert np.allclose(basis.T @ basis, np.eye(basis.shape[1])) and (np.diff(np.diag(values)) <= 1e-6).all()
 
 
+def test_pipeline_stage_fits_the_basis_on_all_passages(spark, monkeypatch, tmp_path):
+    import corpus_pipeline
+    rng = random.Random(33)
+    words = [f"w{i}" for i in range(40)]
+    bases = []
+
+    class Spy(decontam.Search):
+        def __init__(self, items, idf, vocab, basis):
+            bases.append((items, idf, vocab, basis))
+            super().__init__(items, idf, vocab, basis)
+
+    monkeypatch.setattr(decontam, "Search", Spy)
+    monkeypatch.setattr(decontam, "SAMPLE_PASSAGES", 50, raising=False)  # the former limit, for a small corpus
+    leak = " ".join(rng.choices(words, k=20))
+    spark.createDataFrame([(1, leak), (2, " ".join(rng.choices(words, k=20)))], "item_id long, text string") \
+        .write.parquet(str(tmp_path / "benchmark.parquet"))
+    texts = [" ".join(rng.choices(words[k % 9 * 4:k % 9 * 4 + 8], k=500)) for k in range(20)]
+    texts[3] += " " + leak
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    kept = corpus_pipeline.without_benchmark(spark, docs, str(tmp_path))
+    assert {r["doc_id"] for r in kept.collect()} == set(range(20)) - {3}
+    for gram, basis in basis_and_products(texts, bases):
+        values = basis.T @ gram @ basis
+        assert np.abs(values - np.diag(np.diag(values))).max() < 1e-8 * values.max()
+
+
 def test_decontamination_among_other_items_and_short_items():
     rng = random.Random(23)
     vocab = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(400)]
